@@ -81,6 +81,18 @@ def event_counter(events: DataFrame, keys: Sequence[str], ts: Column, amount: Co
     return running.withColumn("value", F.col("value").cast("double")).drop("__amount")
 
 
+def quality_failures_total(folded: DataFrame, keys: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Running count of recorded ``failed`` verdicts, from a folded action log."""
+    failed = folded.filter((F.col("action") == "quality") & (F.col("outcome") == "ok") & (F.col("status") == "failed"))
+    return event_counter(failed, keys, F.col("ts"))
+
+
+def freeze_rejected_total(folded: DataFrame, keys: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Running count of freezes the gate refused, from a folded action log."""
+    refused = folded.filter((F.col("action") == "freeze") & (F.col("outcome") == "quality_not_passed"))
+    return event_counter(refused, keys, F.col("ts"))
+
+
 # ---------------------------------------------------------------- counters --
 
 

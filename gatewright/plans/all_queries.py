@@ -1,7 +1,9 @@
 """Imports every module that registers queries."""
 
 from gatewright.plans import (  # noqa: F401
+    catalog_queries,
     dataset_queries,
+    metric_queries,
     quality_queries,
 )
 from gatewright.plans.registry import ORACLES, QUERIES
