@@ -19,6 +19,8 @@ from gatewright.functions.chunks import micros, ordered_scan, time_chunk
 from gatewright.functions.labels import full_match
 
 SECOND = 1_000_000
+# Relative slack on the rank, so a sum of rates that should meet it exactly is not lost to rounding.
+RANK_SLACK = 1e-12
 HOUR, DAY = 3_600, 86_400
 
 
@@ -291,7 +293,7 @@ def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str] = (), val
             "__top": F.max("le").over(whole),
             "__buckets": F.count(F.lit(1)).over(whole),
         }
-    ).withColumn("__rank", F.col("__total") * q)
+    ).withColumn("__rank", F.col("__total") * (q * (1 - RANK_SLACK)))
     usable = (F.col("__top") == F.lit(math.inf)) & (F.col("__buckets") >= 2) & (F.col("__total") > 0)
     holds = (F.col("__n") >= F.col("__rank")) & ((F.col("__below") < F.col("__rank")) | F.col("__lower").isNull())
     lower = F.coalesce("__lower", F.when(F.col("le") > 0, F.lit(0.0)))

@@ -2,7 +2,9 @@
 
 from gatewright.plans import (  # noqa: F401
     catalog_queries,
+    alert_queries,
     dataset_queries,
+    governance_queries,
     metric_queries,
     quality_queries,
 )

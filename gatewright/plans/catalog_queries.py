@@ -1,9 +1,9 @@
 """Catalog operators on the given tables.
 
 Sources are suppliers, datasets are nations, version requests are orders, and
-the action log is read from events: signup and most purchases record ``passed``,
-error records ``failed``, view an invalid verdict, a small purchase asks for a
-freeze.
+the action log is read from events: most purchases record ``passed``, signup
+and error record ``failed``, view an invalid verdict, a small purchase asks for
+a freeze.
 """
 
 from __future__ import annotations
@@ -142,8 +142,8 @@ def lineage(t: Tables) -> DataFrame:
 # ------------------------------------------------------------------- gate --
 
 LOG_SQL = """(SELECT event_id AS seq, ts, 'set-' || (user_id % 5)::VARCHAR AS dataset, user_id::INTEGER AS version, user_id IN (SELECT s_suppkey FROM supplier) AS known,
-  CASE WHEN event_type = 'purchase' AND value < 3 THEN 'freeze' ELSE 'quality' END AS action,
-  CASE WHEN event_type = 'purchase' AND value < 3 THEN NULL WHEN event_type = 'error' THEN 'failed'
+  CASE WHEN event_type = 'purchase' AND value < 6 THEN 'freeze' ELSE 'quality' END AS action,
+  CASE WHEN event_type = 'purchase' AND value < 6 THEN NULL WHEN event_type IN ('error', 'signup') THEN 'failed'
     WHEN event_type = 'view' THEN 'maybe' ELSE 'passed' END AS status
   FROM events WHERE event_type <> 'click')"""
 
@@ -164,14 +164,14 @@ outcomes AS (SELECT *, CASE
 
 def action_log(t: Tables) -> DataFrame:
     kind = F.col("event_type")
-    freeze = (kind == "purchase") & (F.col("value") < 3)
+    freeze = (kind == "purchase") & (F.col("value") < 6)
     return t.events.filter(kind != "click").select(
         F.col("event_id").alias("seq"),
         "ts",
         log_dataset("user_id").alias("dataset"),
         F.col("user_id").cast("int").alias("version"),
         F.when(freeze, "freeze").otherwise("quality").alias("action"),
-        F.when(freeze, F.lit(None)).when(kind == "error", "failed").when(kind == "view", "maybe").otherwise("passed").alias("status"),
+        F.when(freeze, F.lit(None)).when(kind.isin("error", "signup"), "failed").when(kind == "view", "maybe").otherwise("passed").alias("status"),
     )
 
 

@@ -288,12 +288,12 @@ def histogram_build(t: Tables) -> DataFrame:
 
 def quantile_sql(buckets: str, by: str, value: str, q: float) -> str:
     return f"""(SELECT {by}, CASE WHEN isinf(le) THEN lower ELSE coalesce(lower, 0)
-        + (le - coalesce(lower, 0)) * (total * {q} - below) / (n - below) END AS quantile FROM (
+        + (le - coalesce(lower, 0)) * (total * {q * (1 - metrics.RANK_SLACK)!r} - below) / (n - below) END AS quantile FROM (
       SELECT *, lag(le) OVER g AS lower, coalesce(lag(n) OVER g, 0) AS below, max(n) OVER (PARTITION BY {by}) AS total FROM (
         SELECT {by}, le, max(n) OVER (PARTITION BY {by} ORDER BY le) AS n FROM (
           SELECT {by}, le, sum({value}) AS n FROM {buckets} GROUP BY ALL))
       WINDOW g AS (PARTITION BY {by} ORDER BY le))
-      WHERE total > 0 AND n >= total * {q} AND (below < total * {q}))"""
+      WHERE total > 0 AND n >= total * {q * (1 - metrics.RANK_SLACK)!r} AND (below < total * {q * (1 - metrics.RANK_SLACK)!r}))"""
 
 
 @query(f"SELECT user_id, round(quantile, 6) AS quantile FROM {quantile_sql(HISTOGRAM_SQL, 'user_id', 'bucket_count', 0.95)}")
