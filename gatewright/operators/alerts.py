@@ -26,39 +26,66 @@ def threshold_alert(df: DataFrame, value: str, op: str, limit: float) -> DataFra
     return df.filter(over_limit(F.col(value), op, limit))
 
 
-def sustained_for(
+def evaluate_runs(
     df: DataFrame,
     keys: Sequence[str],
     condition: Column,
-    for_seconds: int,
     max_gap_seconds: int | None = None,
     chunk_seconds: int = DAY,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Evaluations (``ts``) where ``condition`` holds, with ``active_since`` and ``firing``.
+    """Every evaluation (``ts``) with ``is_on`` and, while on, ``active_since``.
 
-    ``firing`` is true once the condition has held without a break for the
-    duration. A false evaluation breaks the run; so does a silence longer than
-    ``max_gap_seconds``, because an expression without a result resets its alert.
+    ``state`` holds the last known evaluation per key (``ts``, ``is_on``,
+    ``active_since``) from earlier data; runs continue from it.
     """
     chunk = time_chunk("ts", chunk_seconds)
-    rows = df.withColumn("__on", F.coalesce(condition, F.lit(False)))
-    previous = {"__was_on": F.col("__on")}
+    rows = df.withColumn("is_on", F.coalesce(condition, F.lit(False)))
+    if state is not None:
+        earlier = state.select(*keys, "ts", "is_on", F.col("active_since").alias("__given"), F.lit(True).alias("__state"))
+        rows = rows.withColumns({"__given": F.lit(None).cast(df.schema["ts"].dataType), "__state": F.lit(False)})
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
+    previous = {"__was_on": F.col("is_on")}
     if max_gap_seconds is not None:
         previous["__prev_ts"] = F.col("ts")
     rows = ordered_scan(rows, keys, ["ts"], chunk, last_before=previous)
-    resumes = F.col("__on") & ~F.coalesce("__was_on", F.lit(False))
+    broken = ~F.coalesce("__was_on", F.lit(False))
     if max_gap_seconds is not None:
         silence = micros("ts") - micros("__prev_ts") > max_gap_seconds * SECOND
-        resumes = F.col("__on") & (~F.coalesce("__was_on", F.lit(False)) | F.coalesce(silence, F.lit(False)))
+        broken = broken | F.coalesce(silence, F.lit(False))
+    start = F.when(F.col("is_on") & broken, F.col("ts"))
+    if state is not None:
+        start = F.when(F.col("__state"), F.when(F.col("is_on"), F.col("__given"))).otherwise(start)
     rows = ordered_scan(
-        rows.withColumn("__start", F.when(resumes, F.col("ts"))).drop("__was_on", "__prev_ts"),
+        rows.withColumn("__start", start).drop("__was_on", "__prev_ts", "__given"),
         keys,
         ["ts"],
         chunk,
         last_upto={"active_since": F.col("__start")},
     )
-    held = micros("ts") - micros("active_since") >= for_seconds * SECOND
-    return rows.filter("__on").withColumn("firing", held).drop("__on", "__start")
+    return rows.withColumn("active_since", F.when(F.col("is_on"), F.col("active_since"))).drop("__start")
+
+
+def held_for(for_seconds: int) -> Column:
+    return micros("ts") - micros("active_since") >= for_seconds * SECOND
+
+
+def sustained_for(
+    df: DataFrame,
+    keys: Sequence[str],
+    condition: Column,
+    for_seconds: int,
+    max_gap_seconds: int | None = None,
+    chunk_seconds: int = DAY,
+) -> DataFrame:
+    """Evaluations (``ts``) where ``condition`` holds, with ``active_since`` and ``firing``.
+
+    ``firing`` is true once the condition has held without a break for the
+    duration. A false evaluation breaks the run; so does a silence longer than
+    ``max_gap_seconds``, because an expression without a result resets its alert.
+    """
+    runs = evaluate_runs(df, keys, condition, max_gap_seconds, chunk_seconds)
+    return runs.filter("is_on").withColumn("firing", held_for(for_seconds)).drop("is_on")
 
 
 def fire(

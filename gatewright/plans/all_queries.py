@@ -7,6 +7,8 @@ from gatewright.plans import (  # noqa: F401
     governance_queries,
     metric_queries,
     quality_queries,
+    source_queries,
+    stream_queries,
 )
 from gatewright.plans.registry import ORACLES, QUERIES
 
