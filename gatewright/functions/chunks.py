@@ -10,12 +10,12 @@ extra leading row. The result equals the plain window for any chunk width.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-_CHUNK, _LEAD = "__chunk", "__lead"
+CHUNK, LEAD = "__chunk", "__lead"
 
 
 def micros(ts: Column | str) -> Column:
@@ -33,6 +33,40 @@ def _order_value(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
+def in_chunk(keys: Sequence[str], order: Sequence[str], lead: bool = True) -> WindowSpec:
+    """Rows of one chunk in order, the leading row first."""
+    return Window.partitionBy(*keys, CHUNK).orderBy(*([LEAD] if lead else []), *order)
+
+
+def rows_before(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def rows_upto(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def with_opening(
+    rows: DataFrame,
+    keys: Sequence[str],
+    closing: DataFrame,
+    opening: Callable[[DataFrame, WindowSpec], DataFrame],
+) -> DataFrame:
+    """Put one leading row (``__lead`` = 0) with the opening state in front of every chunk.
+
+    ``closing`` has one row per (keys, chunk). ``opening`` adds or replaces its
+    columns by the state at the chunk's start, given the window that lists a
+    group's chunks in order; columns named like those of ``rows`` enter the scan.
+    """
+    leads = opening(closing, Window.partitionBy(*keys).orderBy(CHUNK)).withColumn(LEAD, F.lit(0))
+    wanted = [c for c in leads.columns if c in (*rows.columns, LEAD)]
+    return rows.withColumn(LEAD, F.lit(1)).unionByName(leads.select(wanted), allowMissingColumns=True)
+
+
+def without_leads(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col(LEAD) == 1).drop(CHUNK, LEAD)
+
+
 def ordered_scan(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,32 +90,29 @@ def ordered_scan(
     lasts, sums = [*last_before, *last_upto], list(sum_upto)
 
     rows = df.withColumns(
-        {_CHUNK: chunk, **{src[n]: e for n, e in {**last_before, **last_upto, **sum_upto}.items()}}
+        {CHUNK: chunk, **{src[n]: e for n, e in {**last_before, **last_upto, **sum_upto}.items()}}
     )
-
     position = _order_value(order)
-    closing = rows.groupBy(*keys, _CHUNK).agg(
+    closing = rows.groupBy(*keys, CHUNK).agg(
         *[F.max_by(src[n], F.when(F.col(src[n]).isNotNull(), position)).alias(src[n]) for n in lasts],
         *[F.sum(src[n]).alias(src[n]) for n in sums],
     )
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    opening = closing.select(
-        *keys,
-        _CHUNK,
-        *[F.last(src[n], ignorenulls=True).over(earlier).alias(src[n]) for n in lasts],
-        *[F.sum(src[n]).over(earlier).alias(src[n]) for n in sums],
-        F.lit(0).alias(_LEAD),
-    )
 
-    both = rows.withColumn(_LEAD, F.lit(1)).unionByName(opening, allowMissingColumns=True)
-    in_chunk = Window.partitionBy(*keys, _CHUNK).orderBy(_LEAD, *order)
-    before = in_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = both.withColumns(
+    def opening(ends: DataFrame, along: WindowSpec) -> DataFrame:
+        earlier = rows_before(along)
+        return ends.withColumns(
+            {
+                **{src[n]: F.last(src[n], ignorenulls=True).over(earlier) for n in lasts},
+                **{src[n]: F.sum(src[n]).over(earlier) for n in sums},
+            }
+        )
+
+    window = in_chunk(keys, order)
+    scanned = with_opening(rows, keys, closing, opening).withColumns(
         {
-            **{n: F.last(src[n], ignorenulls=True).over(before) for n in last_before},
-            **{n: F.last(src[n], ignorenulls=True).over(upto) for n in last_upto},
-            **{n: F.coalesce(F.sum(src[n]).over(upto), F.lit(0)) for n in sums},
+            **{n: F.last(src[n], ignorenulls=True).over(rows_before(window)) for n in last_before},
+            **{n: F.last(src[n], ignorenulls=True).over(rows_upto(window)) for n in last_upto},
+            **{n: F.coalesce(F.sum(src[n]).over(rows_upto(window)), F.lit(0)) for n in sums},
         }
     )
-    return scanned.filter(F.col(_LEAD) == 1).drop(_CHUNK, _LEAD, *src.values())
+    return without_leads(scanned).drop(*src.values())

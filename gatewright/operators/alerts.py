@@ -5,10 +5,20 @@ from __future__ import annotations
 import operator
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from gatewright.functions.chunks import micros, ordered_scan, time_chunk
+from gatewright.functions.chunks import (
+    CHUNK,
+    LEAD,
+    in_chunk,
+    micros,
+    rows_before,
+    rows_upto,
+    time_chunk,
+    with_opening,
+    without_leads,
+)
 from gatewright.functions.labels import alert_text
 from gatewright.operators.metrics import DAY, HOUR, SECOND, counter_increase, counter_rate, error_ratio, histogram_quantile
 
@@ -39,31 +49,59 @@ def evaluate_runs(
     ``state`` holds the last known evaluation per key (``ts``, ``is_on``,
     ``active_since``) from earlier data; runs continue from it.
     """
-    chunk = time_chunk("ts", chunk_seconds)
-    rows = df.withColumn("is_on", F.coalesce(condition, F.lit(False)))
+    given = F.lit(None).cast(df.schema["ts"].dataType)
+    rows = df.withColumns({"is_on": F.coalesce(condition, F.lit(False)), "__start": given, "__state": F.lit(False)})
     if state is not None:
-        earlier = state.select(*keys, "ts", "is_on", F.col("active_since").alias("__given"), F.lit(True).alias("__state"))
-        rows = rows.withColumns({"__given": F.lit(None).cast(df.schema["ts"].dataType), "__state": F.lit(False)})
+        earlier = state.select(*keys, "ts", "is_on", F.col("active_since").alias("__start"), F.lit(True).alias("__state"))
         rows = rows.unionByName(earlier, allowMissingColumns=True)
-    previous = {"__was_on": F.col("is_on")}
-    if max_gap_seconds is not None:
-        previous["__prev_ts"] = F.col("ts")
-    rows = ordered_scan(rows, keys, ["ts"], chunk, last_before=previous)
-    broken = ~F.coalesce("__was_on", F.lit(False))
-    if max_gap_seconds is not None:
-        silence = micros("ts") - micros("__prev_ts") > max_gap_seconds * SECOND
-        broken = broken | F.coalesce(silence, F.lit(False))
-    start = F.when(F.col("is_on") & broken, F.col("ts"))
-    if state is not None:
-        start = F.when(F.col("__state"), F.when(F.col("is_on"), F.col("__given"))).otherwise(start)
-    rows = ordered_scan(
-        rows.withColumn("__start", start).drop("__was_on", "__prev_ts", "__given"),
-        keys,
-        ["ts"],
-        chunk,
-        last_upto={"active_since": F.col("__start")},
+    rows = rows.withColumn(CHUNK, time_chunk("ts", chunk_seconds))
+
+    def broken(was_on: Column, was_ts: Column) -> Column:
+        """The run before this row has ended."""
+        ended = ~F.coalesce(was_on, F.lit(False))
+        if max_gap_seconds is None:
+            return ended
+        return ended | F.coalesce(micros("ts") - micros(was_ts) > max_gap_seconds * SECOND, F.lit(False))
+
+    def started(window: WindowSpec) -> Column:
+        """Start of the run a row opens: an earlier state's own start, or the row's time."""
+        opens = broken(F.lag("is_on").over(window), F.lag("ts").over(window))
+        return F.when(F.col("is_on"), F.when(F.col("__state"), F.col("__start")).when(opens, F.col("ts")))
+
+    # A chunk closes with its last evaluation and its last start. Whether its first row
+    # starts a run depends on the chunk before, so that row is settled among the chunks.
+    alone = in_chunk(keys, ["ts"], lead=False)
+    core = rows.select(*keys, CHUNK, "ts", "is_on", "__start", "__state")
+    first = F.lag("ts").over(alone).isNull() & ~F.col("__state")
+    closing = (
+        core.withColumns({"__begun": started(alone), "__first": first})
+        .groupBy(*keys, CHUNK)
+        .agg(
+            F.min("ts").alias("__first_ts"),
+            F.max(F.col("__first") & F.col("is_on")).alias("__first_on"),
+            F.max(F.when(~F.col("__first"), F.col("__begun"))).alias("__start"),
+            F.max("ts").alias("__last_ts"),
+            F.max_by("is_on", "ts").alias("__last_on"),
+        )
     )
-    return rows.withColumn("active_since", F.when(F.col("is_on"), F.col("active_since"))).drop("__start")
+
+    def opening(ends: DataFrame, along: WindowSpec) -> DataFrame:
+        carried = ends.withColumns(
+            {"is_on": F.lag("__last_on").over(along), "was_ts": F.lag("__last_ts").over(along), "ts": F.col("__first_ts")}
+        )
+        settled = F.when(F.col("__first_on") & broken(F.col("is_on"), F.col("was_ts")), F.col("ts"))
+        latest = F.last("__start", ignorenulls=True).over(rows_before(along))
+        return (
+            carried.withColumn("__start", F.coalesce("__start", settled))
+            .withColumns({"__start": latest, "ts": F.col("was_ts"), "__state": F.lit(False)})
+        )
+
+    window = in_chunk(keys, ["ts"])
+    scanned = with_opening(rows, keys, closing, opening)
+    scanned = scanned.withColumn("__start", F.when(F.col(LEAD) == 0, F.col("__start")).otherwise(started(window)))
+    since = F.last("__start", ignorenulls=True).over(rows_upto(window))
+    runs = without_leads(scanned.withColumn("active_since", F.when(F.col("is_on"), since))).drop("__start")
+    return runs if state is not None else runs.drop("__state")
 
 
 def held_for(for_seconds: int) -> Column:

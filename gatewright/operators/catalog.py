@@ -11,10 +11,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from gatewright.functions.chunks import ordered_scan, time_chunk
+from gatewright.functions.chunks import (
+    CHUNK,
+    LEAD,
+    in_chunk,
+    ordered_scan,
+    rows_before,
+    time_chunk,
+    with_opening,
+    without_leads,
+)
 from gatewright.functions.hashing import source_id
 from gatewright.operators.build import dedup_first
 
@@ -115,36 +124,57 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     earlier valid verdict counts and no replay is needed.
     """
     created = versions.select(*VERSION_KEY, F.lit(True).alias("__created"))
-    log = actions.join(created, list(VERSION_KEY), "left")
-    is_quality = F.col("action") == "quality"
-    is_freeze = F.col("action") == "freeze"
+    is_quality, is_freeze = F.col("action") == "quality", F.col("action") == "freeze"
     exists = F.col("__created").isNotNull()
-    valid = is_quality & F.col("status").isin("passed", "failed")
-    chunk = time_chunk("ts", chunk_seconds)
+    valid = F.coalesce(is_quality & F.col("status").isin("passed", "failed"), F.lit(False))
     order = ["ts", "seq"]
+    log = actions.join(created, list(VERSION_KEY), "left").withColumns(
+        {
+            CHUNK: time_chunk("ts", chunk_seconds),
+            "__verdict": F.when(exists & valid, F.col("status")),
+            "__asks": exists & is_freeze,
+        }
+    )
+
+    # A chunk closes with its last verdict and with whether it froze the version, either for
+    # certain or only if the verdict standing at its start was "passed".
+    alone = rows_before(in_chunk(VERSION_KEY, order, lead=False))
+    prior = F.last("__verdict", ignorenulls=True).over(alone)
+    core = log.select(*VERSION_KEY, CHUNK, *order, "__verdict", "__asks")
+    closing = (
+        core.withColumn("__prior", prior)
+        .groupBy(*VERSION_KEY, CHUNK)
+        .agg(
+            F.max_by("__verdict", F.when(F.col("__verdict").isNotNull(), F.struct(*order))).alias("__verdict"),
+            F.max(F.col("__asks") & (F.col("__prior") == "passed")).alias("__opens"),
+            F.max(F.col("__asks") & F.col("__prior").isNull()).alias("__may_open"),
+        )
+    )
+
+    def opening(ends: DataFrame, along: WindowSpec) -> DataFrame:
+        carried = ends.withColumn("__verdict", F.last("__verdict", ignorenulls=True).over(rows_before(along)))
+        opens = F.coalesce("__opens", F.lit(False)) | (F.col("__may_open") & (F.col("__verdict") == "passed"))
+        return carried.withColumn("__opens", opens).withColumn("__opens", F.max("__opens").over(rows_before(along)))
 
-    log = ordered_scan(
-        log, VERSION_KEY, order, chunk, last_before={"prior_status": F.when(exists & valid, F.col("status"))}
+    window = rows_before(in_chunk(VERSION_KEY, order))
+    rows = log.withColumn("__opens", F.lit(None).cast("boolean"))
+    scanned = with_opening(rows, VERSION_KEY, closing, opening).withColumn(
+        "prior_status", F.last("__verdict", ignorenulls=True).over(window)
     )
-    opens = exists & is_freeze & (F.coalesce("prior_status", F.lit("")) == "passed")
-    log = ordered_scan(
-        log.withColumn("__opens", opens),
-        VERSION_KEY,
-        order,
-        chunk,
-        last_before={"__frozen": F.when(F.col("__opens"), F.lit(True))},
+    opens = F.when(F.col(LEAD) == 0, F.col("__opens")).otherwise(
+        F.col("__asks") & (F.coalesce("prior_status", F.lit("")) == "passed")
     )
-    frozen = F.coalesce("__frozen", F.lit(False))
+    scanned = scanned.withColumn("__opens", opens).withColumn("__frozen", F.coalesce(F.max("__opens").over(window), F.lit(False)))
+    frozen = F.col("__frozen")
     outcome = (
-        F.when(is_quality & ~F.coalesce(valid, F.lit(False)), "bad_request")
+        F.when(is_quality & ~valid, "bad_request")
         .when(~exists, "not_found")
         .when(is_quality, F.when(frozen, "frozen").otherwise("ok"))
         .when(is_freeze, F.when(frozen | F.col("__opens"), "ok").otherwise("quality_not_passed"))
         .otherwise("bad_request")
     )
-    return log.withColumns(
-        {"outcome": outcome, "freezes": F.col("__opens") & ~frozen}
-    ).drop("__created", "__opens", "__frozen")
+    folded = without_leads(scanned.withColumns({"outcome": outcome, "freezes": F.col("__opens") & ~frozen}))
+    return folded.drop("__created", "__verdict", "__asks", "__opens", "__frozen")
 
 
 def apply_quality(actions: DataFrame, versions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:

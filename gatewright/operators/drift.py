@@ -37,14 +37,12 @@ def quantile_edges(counts: DataFrame, bins: int, features: Sequence[str]) -> Dat
     edges = [
         F.min(F.when(F.col("upto") * bins >= F.col("total") * k, F.col("v"))).alias(f"e{k}") for k in range(1, bins)
     ]
-    return ranked.groupBy("feature").agg(*edges).select(
-        "feature", F.array_sort(F.array_distinct(F.array(*[f"e{k}" for k in range(1, bins)]))).alias("edges")
-    )
+    return ranked.groupBy("feature").agg(*edges)
 
 
-def _bin(value: Column, edges: Column) -> Column:
-    """Number of edges below the value: bins are ``(edge, next edge]``."""
-    return F.size(F.filter(edges, lambda e: e < value))
+def _bin(bins: int) -> Column:
+    """Number of edges below the value: bins are ``(edge, next edge]``; equal edges leave a bin empty."""
+    return sum(((F.col(f"e{k}") < F.col("v")).cast("int") for k in range(1, bins)), F.lit(0))
 
 
 def psi(
@@ -67,7 +65,7 @@ def psi(
     def binned(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
         return (
             counts.join(edges, "feature")
-            .groupBy(*groups, "feature", _bin(F.col("v"), F.col("edges")).alias("bin"))
+            .groupBy(*groups, "feature", _bin(bins).alias("bin"))
             .agg(F.sum("n").alias("n"))
         )
 

@@ -83,6 +83,17 @@ def event_counter(events: DataFrame, keys: Sequence[str], ts: Column, amount: Co
     return running.withColumn("value", F.col("value").cast("double")).drop("__amount")
 
 
+def daily_counter(steps: DataFrame, keys: Sequence[str], amount: str) -> DataFrame:
+    """Counter samples from amounts per time step, restarting every day.
+
+    A group is one series on one day, so it holds at most a day's steps and a
+    plain window does.
+    """
+    day = Window.partitionBy(*keys, F.date_trunc("day", "ts")).orderBy("ts")
+    total = F.sum(amount).over(day.rowsBetween(Window.unboundedPreceding, 0))
+    return steps.select(*keys, "ts", total.cast("double").alias("value"))
+
+
 def quality_failures_total(folded: DataFrame, keys: Sequence[str] = ("dataset",)) -> DataFrame:
     """Running count of recorded ``failed`` verdicts, from a folded action log."""
     failed = folded.filter((F.col("action") == "quality") & (F.col("outcome") == "ok") & (F.col("status") == "failed"))

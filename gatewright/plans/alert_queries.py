@@ -19,8 +19,8 @@ from gatewright.plans.metric_queries import (
     SERIES,
     bucket_counter_sql,
     bucket_samples,
+    count_samples,
     counter_sql,
-    daily_counter,
     grid_increase_sql,
     psi_sql,
     quantile_sql,
@@ -208,7 +208,7 @@ SELECT service, {', '.join(f'round({side}_{v}, 6) AS {side}_{v}' for side in ('c
 FROM p"""
 )
 def promotion_verdict(t: Tables) -> DataFrame:
-    counts = daily_counter(requests(t), ["service", "role", "code"]).withColumnRenamed("code", "response_code")
+    counts = count_samples(t, ["service", "role", "code"]).withColumnRenamed("code", "response_code")
     buckets = bucket_samples(t, ["service", "role"])
     stats = canary.revision_statistics(counts, buckets, AT, WINDOW)
     found = canary.promotion_verdict(stats, min_requests=230, tolerance=0.01)

@@ -6,7 +6,7 @@ otherwise, revision = user parity, latency = value. Counters restart every day.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.functions import labels
@@ -168,9 +168,14 @@ def counter_sql(source: str, keys: str, amount: str = "count(*)") -> str:
       SELECT {keys}, date_trunc('minute', ts) AS ts, date_trunc('day', ts) AS day, {amount} AS n FROM {source} GROUP BY ALL))"""
 
 
-def daily_counter(df: DataFrame, keys: list[str], amount: Column | None = None) -> DataFrame:
-    per_day = df.withColumn("day", F.date_trunc("day", "ts"))
-    return metrics.event_counter(per_day, [*keys, "day"], F.date_trunc("minute", F.col("ts")).cast("timestamp_ntz"), amount).drop("day")
+def per_minute(t: Tables) -> DataFrame:
+    return requests(t).withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
+
+
+def count_samples(t: Tables, keys: list[str]) -> DataFrame:
+    """Request counters per minute."""
+    steps = per_minute(t).groupBy(*keys, "ts").agg(F.count(F.lit(1)).alias("n"))
+    return metrics.daily_counter(steps, keys, "n")
 
 
 SERIES = ["route", "code", "revision"]
@@ -178,7 +183,7 @@ SAMPLES_SQL = counter_sql(REQUESTS_SQL, "route, code, revision")
 
 
 def request_samples(t: Tables) -> DataFrame:
-    return daily_counter(requests(t), SERIES)
+    return count_samples(t, SERIES)
 
 
 def bucket_source_sql(keys: str) -> str:
@@ -192,9 +197,8 @@ def bucket_counter_sql(keys: str) -> str:
 
 def bucket_samples(t: Tables, keys: list[str]) -> DataFrame:
     """Latency bucket counters: cumulative counts per bound, per minute."""
-    minute = requests(t).withColumn("ts", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
-    counts = metrics.histogram_build(minute, "value", BOUNDS, [*keys, "ts"])
-    return daily_counter(counts, [*keys, "le"], F.col("bucket_count"))
+    counts = metrics.histogram_build(per_minute(t), "value", BOUNDS, [*keys, "ts"])
+    return metrics.daily_counter(counts, [*keys, "le"], "bucket_count")
 
 
 def grid_increase_sql(samples: str, keys: str, window: int, step: int, extrapolate: bool = True) -> str:

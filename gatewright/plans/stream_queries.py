@@ -40,7 +40,7 @@ def stream_dedup(t: Tables) -> DataFrame:
     WHERE ts < (SELECT max(ts) FROM {SAMPLES_SQL}) - INTERVAL 1 HOUR"""
 )
 def stream_rate_windows(t: Tables) -> DataFrame:
-    found = rates.stream_rate_windows(request_stream(t), SERIES, 6 * HOUR, HOUR, HOUR)
+    found = rates.stream_rate_windows(request_stream(t), SERIES, 6 * HOUR, HOUR, scrape_seconds=60, delay_seconds=HOUR)
     out = shared_dir(t.spark, "sink")
     drain(found, out, shared_dir(t.spark, "checkpoint"))
     return t.spark.read.parquet(out).select(

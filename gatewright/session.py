@@ -11,11 +11,10 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 # Runtime SQL settings every operator here relies on. Shuffle partition counts
-# are left to the cluster: AQE coalesces small ones and splits skewed ones.
+# and partition coalescing are left to the cluster; AQE splits skewed joins.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
@@ -35,6 +34,8 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
+        # One partition per core already; merging them further would idle cores.
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -16,23 +16,24 @@ def stream_rate_windows(
     keys: Sequence[str],
     window_seconds: int = 300,
     step_seconds: int = 15,
+    scrape_seconds: int = 15,
     delay_seconds: int = 60,
     extrapolate: bool = True,
 ) -> DataFrame:
     """Increase and rate per series over ``(end - window, end]``, for every closed window.
 
-    Samples are first reduced to one small state per step (first and last
-    sample, count), with step = scrape interval; a window then combines at most
-    ``window / step`` of those states. A counter restart is seen between steps
-    and once inside a step.
+    Windows end every ``step_seconds``. A series has at most one sample per
+    scrape interval, so samples are first reduced to one small state per
+    interval, and a window combines at most ``window / scrape`` of those.
+    (Several samples inside one interval count as its first and last one.)
     """
-    if window_seconds % step_seconds:
-        raise ValueError("the window must be a whole number of steps")
+    if window_seconds % scrape_seconds or step_seconds % scrape_seconds:
+        raise ValueError("window and step must be whole numbers of scrape intervals")
     # Windows include their end, Spark's include their start: shift by the smallest unit.
     at = (F.col("ts").cast("timestamp") - F.expr("INTERVAL 1 MICROSECOND")).alias("at")
     point = F.struct(micros("ts").alias("t"), F.col("value").cast("double").alias("v"))
     rows = samples.select(*keys, at, point.alias("point")).withWatermark("at", f"{delay_seconds} seconds")
-    steps = rows.groupBy(F.window("at", f"{step_seconds} seconds"), *keys).agg(
+    steps = rows.groupBy(F.window("at", f"{scrape_seconds} seconds"), *keys).agg(
         F.min("point").alias("head"), F.max("point").alias("tail"), F.count(F.lit(1)).alias("n")
     )
     windows = steps.groupBy(F.window("window", f"{window_seconds} seconds", f"{step_seconds} seconds").alias("over"), *keys).agg(
