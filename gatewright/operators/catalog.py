@@ -191,7 +191,8 @@ def catalog_fold(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     """State per version after the whole log: last verdict that counted, frozen flag and time."""
     accepted = fold_actions(actions, versions, chunk_seconds).filter(F.col("outcome") == "ok")
     at = F.struct("ts", "seq")
-    verdict = F.struct(*[c for c in ("status", "report_uri", "failed_checks", "ts") if c in actions.columns])
+    details = [c for c in ("status", "report_uri", "failed_checks") if c in actions.columns]
+    verdict = F.struct(*details, F.col("ts").alias("recorded_at"))
     state = accepted.groupBy(*VERSION_KEY).agg(
         F.max_by(verdict, F.when(F.col("action") == "quality", at)).alias("quality"),
         F.min(F.when(F.col("freezes"), F.col("ts"))).alias("frozen_at"),

@@ -1,9 +1,8 @@
 """Data-quality suites.
 
 A rule is data: a name, a column and its arguments, plus a function that turns
-them into a "this row is bad" column. A suite evaluates all row rules in one
-aggregation over one scan, and all uniqueness rules in one further grouping,
-whatever the number of rules.
+them into a "this row is bad" column. A suite evaluates all its rules together,
+reading its input once whatever the number of rules.
 """
 
 from __future__ import annotations
@@ -151,43 +150,54 @@ def _unexpected(df: DataFrame, rule: Expectation, index: int) -> Column:
         return F.when(n.between(rule.args["min_value"], rule.args["max_value"]), 0).otherwise(1).cast("bigint")
     if rule.kind == EXISTS:
         return F.lit(0).cast("bigint")
-    if rule.column not in df.columns:
-        return n
-    return F.lit(0).cast("bigint") if rule.kind == UNIQUE else F.col(f"bad_{index}")
+    return F.col(f"bad_{index}") if rule.column in df.columns else n
 
 
-def _repeated(df: DataFrame, rules: Sequence[tuple[int, Expectation]]) -> DataFrame:
-    """Per uniqueness rule: rows that belong to a repeated value (nulls repeat each other).
+def _counts(df: DataFrame, row_rules: Sequence[tuple[int, Expectation]], unique_rules: Sequence[tuple[int, Expectation]]) -> DataFrame:
+    """One row: number of rows ``n`` and bad rows ``bad_<i>`` per rule, from one evaluation of ``df``.
 
-    All rules share one scan and one shuffle: each row is expanded to one typed
-    key per rule, counted map-side first.
+    Without uniqueness rules this is a plain aggregation. With them each row
+    becomes one typed key per uniqueness rule, grouped with map-side counting;
+    the row rules ride along with the first key. Every row of a repeated value
+    is bad, and nulls repeat each other.
     """
-    value = {f"k{i}": F.when(~is_missing(df, r.column), F.col(r.column)) for i, r in rules}
-    empty = {f"k{i}": F.lit(None).cast(_type(df, r.column)) for i, r in rules}
+    flags = {f"bad_{i}": F.coalesce(r.bad_row(df, r.column, r.args), F.lit(False)).cast("bigint") for i, r in row_rules}
+    if not unique_rules:
+        return df.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(f), F.lit(0)).alias(name) for name, f in flags.items()])
+
+    keys = {f"key_{i}": F.when(~is_missing(df, r.column), F.col(r.column)) for i, r in unique_rules}
+    base = df.select(*[c.alias(name) for name, c in {**keys, **flags}.items()])
+    lead = next(iter(keys))
     variants = [
         F.struct(
-            F.lit(i).alias("pos"),
-            *[(value if name == f"k{i}" else empty)[name].alias(name) for name in value],
+            F.lit(name).alias("rule"),
+            *[(F.col(k) if k == name else F.lit(None).cast(base.schema[k].dataType)).alias(k) for k in keys],
+            *[(F.col(f) if name == lead else F.lit(0).cast("bigint")).alias(f) for f in flags],
         )
-        for i, _ in rules
+        for name in keys
     ]
-    expanded = df.select(F.inline(F.array(*variants)))
-    groups = expanded.groupBy("pos", *value).agg(F.count(F.lit(1)).alias("copies"))
-    return groups.groupBy("pos").agg(F.sum(F.when(F.col("copies") > 1, F.col("copies")).otherwise(0)).alias("repeated"))
+    groups = base.select(F.inline(F.array(*variants))).groupBy("rule", *keys).agg(
+        F.count(F.lit(1)).alias("copies"), *[F.sum(f).alias(f) for f in flags]
+    )
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    copies, rule = F.col("copies"), F.col("rule")
+    return groups.agg(
+        total(F.when(rule == lead, copies)).alias("n"),
+        *[total(F.col(f)).alias(f) for f in flags],
+        *[total(F.when((rule == k) & (copies > 1), copies)).alias(k.replace("key_", "bad_")) for k in keys],
+    )
 
 
 def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     """Evaluate every rule; one result row per rule, in suite order (``pos``)."""
     if not suite:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
-    row_rules = [(i, r) for i, r in enumerate(suite) if r.bad_row is not None and r.column in df.columns]
-    unique_rules = [(i, r) for i, r in enumerate(suite) if r.kind == UNIQUE and r.column in df.columns]
-
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(r.bad_row(df, r.column, r.args)).alias(f"bad_{i}") for i, r in row_rules],
-    )
     present = set(df.columns)
+    row_rules = [(i, r) for i, r in enumerate(suite) if r.bad_row is not None and r.column in present]
+    unique_rules = [(i, r) for i, r in enumerate(suite) if r.kind == UNIQUE and r.column in present]
     entries = [
         F.struct(
             F.lit(i).alias("pos"),
@@ -200,12 +210,7 @@ def run_suite(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
         )
         for i, r in enumerate(suite)
     ]
-    results = counts.select(F.inline(F.array(*entries)))
-    if unique_rules:
-        # Both sides hold at most one row per rule of the suite.
-        results = results.join(_repeated(df, unique_rules), "pos", "left").withColumn(
-            "unexpected_count", F.col("unexpected_count") + F.coalesce("repeated", F.lit(0))
-        )
+    results = _counts(df, row_rules, unique_rules).select(F.inline(F.array(*entries)))
     return results.select(
         "pos",
         "expectation_type",

@@ -207,7 +207,7 @@ def state(t: Tables) -> DataFrame:
 @query(f"{STATE_SQL} SELECT version, status, recorded_at, frozen, frozen_at FROM state")
 def catalog_fold(t: Tables) -> DataFrame:
     return state(t).select(
-        "version", F.col("quality.status").alias("status"), F.col("quality.ts").alias("recorded_at"), "frozen", "frozen_at"
+        "version", F.col("quality.status").alias("status"), "quality.recorded_at", "frozen", "frozen_at"
     )
 
 
