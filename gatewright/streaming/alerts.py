@@ -41,8 +41,8 @@ def stream_alerts(
             fresh = F.col("__last").isNull() | (F.col("ts") > F.col("__last"))
             batch = batch.join(last, same, "left").filter(fresh).drop("__last", *[f"__{k}" for k in keys])
         runs = evaluate_runs(batch, keys, condition, max_gap_seconds, state=state)
-        latest = F.max_by(F.struct("ts", "is_on", "active_since"), "ts").alias("s")
-        runs.groupBy(*keys).agg(latest).select(*keys, "s.*").write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
+        latest = F.max_by(F.struct("ts", "is_on", "active_since"), "ts").alias("__latest")
+        runs.groupBy(*keys).agg(latest).select(*keys, "__latest.*").write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
         new = runs if state is None else runs.filter(~F.col("__state")).drop("__state")
         fired = new.filter(F.col("is_on") & held_for(for_seconds)).drop("is_on")
         fired.write.mode("overwrite").parquet(f"{root}/alerts/{batch_id}")

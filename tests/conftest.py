@@ -11,4 +11,4 @@ from gatewright.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(cpus=4, memory="6g", **{"spark__sql__shuffle__partitions": "4"})
+    return local_session(cpus=4, memory="6g", spark__sql__shuffle__partitions="2")
