@@ -49,16 +49,15 @@ def stream_rate_windows(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT 'quarantine' AS place, count(*)::BIGINT AS "rows", count(*) FILTER (NOT (value BETWEEN 0 AND 400))::BIGINT AS bad FROM events"""
+    """SELECT CASE WHEN count(*) FILTER (NOT (value BETWEEN 0 AND 50)) = 0 THEN 'curated' ELSE 'quarantine' END AS place,
+    count(*)::BIGINT AS "rows", count(*) FILTER (NOT (value BETWEEN 0 AND 50))::BIGINT AS bad FROM events"""
 )
 def stream_quality_gate(t: Tables) -> DataFrame:
     root = shared_dir(t.spark, "gate")
-    suite = [quality.not_null("ts"), quality.between("value", 0, 400), quality.unique("event_id")]
+    suite = [quality.not_null("ts"), quality.between("value", 0, 50), quality.unique("event_id")]
     gate.stream_quality_gate(event_stream(t), suite, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
-    kept = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/quarantine")
-    return kept.agg(
-        F.lit("quarantine").alias("place"), F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("value").between(0, 400)).alias("bad")
-    )
+    filed = t.spark.read.parquet(f"{root}/rows")
+    return filed.groupBy("place").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("value").between(0, 50)).alias("bad"))
 
 
 @query(fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "''").replace(", 'critical' AS severity, '' AS summary", ""))

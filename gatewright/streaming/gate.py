@@ -12,11 +12,12 @@ from gatewright.operators.quality import Expectation, run_suite
 
 
 def stream_quality_gate(stream: DataFrame, suite: Sequence[Expectation], root: str, checkpoint: str) -> StreamingQuery:
-    """Run the suite on every micro-batch: rows go to ``curated`` when it passes, to ``quarantine`` when not.
+    """Run the suite on every micro-batch and file its rows under the verdict.
 
-    Each batch writes its own folder named by batch id and overwrites it, so a
-    batch repeated after a failure leaves the same result. The report of a
-    batch stands in ``reports``.
+    ``<root>/rows`` is one table partitioned by ``place`` (``curated`` when the
+    suite passed, ``quarantine`` when not) and ``batch``; the report of a batch
+    stands in ``<root>/reports``. A batch overwrites its own folders, so one
+    repeated after a failure leaves the same result.
     """
 
     def judge(batch: DataFrame, batch_id: int) -> None:
@@ -27,7 +28,7 @@ def stream_quality_gate(stream: DataFrame, suite: Sequence[Expectation], root: s
             results.coalesce(1).write.mode("overwrite").json(report)
             failed = results.sparkSession.read.schema("success boolean").json(report).filter(~F.col("success"))
             place = "curated" if failed.isEmpty() else "quarantine"
-            batch.write.mode("overwrite").parquet(f"{root}/{place}/{batch_id}")
+            batch.write.mode("overwrite").parquet(f"{root}/rows/place={place}/batch={batch_id}")
         finally:
             batch.unpersist()
 

@@ -83,8 +83,9 @@ def test_quality_gate_sorts_batches(spark, tmp_path):
     good, bad = [("a", T0, 1.0), ("b", T0, 2.0)], [("a", T0, 1.0), ("b", T0, 99.0)]
     arrive(spark, f"{tmp_path}/in", [good, bad, good])
     gate.stream_quality_gate(stream(spark, f"{tmp_path}/in"), [quality.between("value", 0, 10)], f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    read = spark.read.option("recursiveFileLookup", "true")
-    assert read.parquet(f"{tmp_path}/out/curated").count() == 4
-    assert sorted(r.value for r in read.parquet(f"{tmp_path}/out/quarantine").collect()) == [1.0, 99.0]
-    reports = {r.batch_id: r.success for r in read.json(f"{tmp_path}/out/reports").collect()}
+    rows = spark.read.parquet(f"{tmp_path}/out/rows").collect()
+    assert sorted((r.place, r.batch, r.value) for r in rows) == [
+        ("curated", 0, 1.0), ("curated", 0, 2.0), ("curated", 2, 1.0), ("curated", 2, 2.0), ("quarantine", 1, 1.0), ("quarantine", 1, 99.0),
+    ]
+    reports = {r.batch_id: r.success for r in spark.read.option("recursiveFileLookup", "true").json(f"{tmp_path}/out/reports").collect()}
     assert reports == {0: True, 1: False, 2: True}
