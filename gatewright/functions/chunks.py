@@ -38,6 +38,15 @@ def in_chunk(keys: Sequence[str], order: Sequence[str], lead: bool = True) -> Wi
     return Window.partitionBy(*keys, CHUNK).orderBy(*([LEAD] if lead else []), *order)
 
 
+def by_chunk(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spread rows by key and chunk.
+
+    Said explicitly: input that is already partitioned by the key alone would
+    satisfy a window over (key, chunk), and a hot key would stay in one task.
+    """
+    return rows.repartition(*keys, CHUNK)
+
+
 def rows_before(window: WindowSpec) -> WindowSpec:
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -60,7 +69,7 @@ def with_opening(
     """
     leads = opening(closing, Window.partitionBy(*keys).orderBy(CHUNK)).withColumn(LEAD, F.lit(0))
     wanted = [c for c in leads.columns if c in (*rows.columns, LEAD)]
-    return rows.withColumn(LEAD, F.lit(1)).unionByName(leads.select(wanted), allowMissingColumns=True)
+    return by_chunk(rows.withColumn(LEAD, F.lit(1)).unionByName(leads.select(wanted), allowMissingColumns=True), keys)
 
 
 def without_leads(rows: DataFrame) -> DataFrame:

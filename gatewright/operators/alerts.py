@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gatewright.functions.chunks import (
     CHUNK,
     LEAD,
+    by_chunk,
     in_chunk,
     micros,
     rows_before,
@@ -71,7 +72,7 @@ def evaluate_runs(
     # A chunk closes with its last evaluation and its last start. Whether its first row
     # starts a run depends on the chunk before, so that row is settled among the chunks.
     alone = in_chunk(keys, ["ts"], lead=False)
-    core = rows.select(*keys, CHUNK, "ts", "is_on", "__start", "__state")
+    core = by_chunk(rows.select(*keys, CHUNK, "ts", "is_on", "__start", "__state"), keys)
     first = F.lag("ts").over(alone).isNull() & ~F.col("__state")
     closing = (
         core.withColumns({"__begun": started(alone), "__first": first})

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from gatewright.functions.chunks import (
     CHUNK,
     LEAD,
+    by_chunk,
     in_chunk,
     ordered_scan,
     rows_before,
@@ -140,7 +141,7 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     # certain or only if the verdict standing at its start was "passed".
     alone = rows_before(in_chunk(VERSION_KEY, order, lead=False))
     prior = F.last("__verdict", ignorenulls=True).over(alone)
-    core = log.select(*VERSION_KEY, CHUNK, *order, "__verdict", "__asks")
+    core = by_chunk(log.select(*VERSION_KEY, CHUNK, *order, "__verdict", "__asks"), VERSION_KEY)
     closing = (
         core.withColumn("__prior", prior)
         .groupBy(*VERSION_KEY, CHUNK)

@@ -4,32 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.functions.chunks import ordered_scan
 
 _SLICES = 1024
+# Bounds what is broadcast: one row per feature.
+MAX_FEATURES = 10_000
 
 
-def _long(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Rows per distinct (feature, value), counted map-side before the shuffle."""
+def _pairs(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row per (feature, value) of every input row, missing values left out."""
+    if len(features) > MAX_FEATURES:
+        raise ValueError(f"at most {MAX_FEATURES} features at a time")
     pairs = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features]))
-    values = df.select(*by, pairs).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    return values.groupBy(*by, "feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*by, pairs).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
-def quantile_edges(counts: DataFrame, bins: int, features: Sequence[str]) -> DataFrame:
-    """Inner bin edges per feature: the smallest value at or above each rank ``k * N / bins``.
+def quantile_edges(counts: DataFrame, bins: int) -> DataFrame:
+    """Inner bin edges ``e1`` .. per feature: the smallest value at or above each rank ``k * N / bins``.
 
-    Exact and distributed: distinct values with their counts are scanned in
-    order, each feature cut into slices of its value range.
+    ``counts`` has one row per (feature, value) with its number ``n``. Exact and
+    distributed: distinct values are scanned in order, each feature cut into
+    slices of its value range.
     """
-    whole = counts.groupBy("feature").agg(
-        F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    # At most one row per name in ``features``, a list fixed by the caller.
-    assert len(features) <= 10_000
+    whole = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     placed = counts.join(F.broadcast(whole), "feature")
     share = F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0))
     chunk = F.floor(share * _SLICES).cast("bigint")
@@ -56,28 +56,21 @@ def psi(
 ) -> DataFrame:
     """Stability index per feature, and per ``by`` group of ``actual``; ``drifted`` above the limit.
 
-    Bins follow the expected data's quantiles. Empty shares are lifted to ``floor``.
+    Bins follow the expected data's quantiles; only finding them shuffles
+    values, everything else is counted per bin before the shuffle. Empty shares
+    are lifted to ``floor``. What is broadcast has one row per listed feature.
     """
-    baseline = _long(expected, features, [])
-    observed = _long(actual, features, by)
-    edges = F.broadcast(quantile_edges(baseline, bins, features))
-
-    def binned(counts: DataFrame, groups: Sequence[str]) -> DataFrame:
-        return (
-            counts.join(edges, "feature")
-            .groupBy(*groups, "feature", _bin(bins).alias("bin"))
-            .agg(F.sum("n").alias("n"))
-        )
-
-    # One array of at most ``bins`` shares per feature.
-    def shares(counts: DataFrame, groups: Sequence[str], name: str) -> DataFrame:
+    baseline = _pairs(expected, features).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
+    edges = F.broadcast(quantile_edges(baseline, bins))
+
+    def shares(values: DataFrame, groups: Sequence[str], number: Column, name: str) -> DataFrame:
+        binned = values.join(edges, "feature").withColumns({"bin": _bin(bins), "n": number})
         slots = [F.coalesce(F.sum(F.when(F.col("bin") == b, F.col("n"))), F.lit(0)) for b in range(bins)]
-        total = F.sum("n")
-        return binned(counts, groups).groupBy(*groups, "feature").agg(
-            F.array(*[F.greatest(s / total, F.lit(floor)) for s in slots]).alias(name)
-        )
+        lifted = [F.greatest(s / F.sum("n"), F.lit(floor)) for s in slots]
+        return binned.groupBy(*groups, "feature").agg(F.array(*lifted).alias(name))
 
-    joined = shares(observed, by, "actual").join(F.broadcast(shares(baseline, [], "expected")), "feature")
+    observed = shares(_pairs(actual, features, by), by, F.lit(1), "actual")
+    joined = observed.join(F.broadcast(shares(baseline, [], F.col("n"), "expected")), "feature")
     terms = F.zip_with("actual", "expected", lambda a, e: (a - e) * F.log(a / e))
     score = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
     return joined.select(*by, "feature", score.alias("psi"), (score > limit).alias("drifted"))

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gatewright.functions.chunks import micros, ordered_scan, time_chunk
+from gatewright.functions.chunks import CHUNK, by_chunk, micros, ordered_scan, time_chunk
 from gatewright.functions.labels import full_match
 
 SECOND = 1_000_000
@@ -158,7 +158,7 @@ def counter_increase(
     with the window.
     """
     window = window_seconds * SECOND
-    width = max(chunk_seconds or 0, DAY, 4 * window_seconds) * SECOND
+    width = max(chunk_seconds or HOUR, 4 * window_seconds) * SECOND
 
     t = F.col("__t")
     home = F.floor(t / F.lit(width)).cast("bigint")
@@ -166,9 +166,9 @@ def counter_increase(
     rows = samples.select(*keys, micros("ts").alias("__t"), F.col("value").cast("double").alias("__v")).filter(
         F.col("__v").isNotNull()
     )
-    rows = rows.withColumn("__chunk", F.explode(F.sequence(home, seen_until)))
+    rows = by_chunk(rows.withColumn(CHUNK, F.explode(F.sequence(home, seen_until))), keys)
 
-    part = Window.partitionBy(*keys, "__chunk")
+    part = Window.partitionBy(*keys, CHUNK)
     by_time = part.orderBy("__t")
     prev = F.lag("__v").over(by_time)
     rows = rows.withColumn("__d", F.coalesce(_step(F.col("__v"), prev), F.lit(0.0)))
@@ -183,7 +183,7 @@ def counter_increase(
 
     # Evaluation times answered by this sample: from its own time up to the next sample,
     # while it is still in the window, and only inside the chunk.
-    begin, end = F.col("__chunk") * F.lit(width), (F.col("__chunk") + 1) * F.lit(width)
+    begin, end = F.col(CHUNK) * F.lit(width), (F.col(CHUNK) + 1) * F.lit(width)
     if step_seconds is None:
         evals = F.when(t >= begin, F.array(t)).otherwise(F.array().cast("array<bigint>"))
     else:
@@ -200,7 +200,7 @@ def counter_increase(
         F.col("__i") == 1,
         F.array(F.struct(t.alias("at"), F.lit(0).alias("kind"), F.col("__me").alias("first"), none.alias("last"))),
     ).otherwise(F.filter(expiry, lambda _: F.lit(False)))
-    points = rows.select(*keys, "__chunk", F.inline(F.concat(opening, expiry, marks)))
+    points = rows.select(*keys, CHUNK, F.inline(F.concat(opening, expiry, marks)))
 
     first = F.last("first", ignorenulls=True).over(
         part.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)

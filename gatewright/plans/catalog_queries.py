@@ -8,7 +8,7 @@ a freeze.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.operators import catalog
@@ -118,7 +118,7 @@ def assign_versions(t: Tables) -> DataFrame:
 @query(
     f"""
 WITH refs AS (SELECT request_id, 'src-' || l_suppkey::VARCHAR AS source_id, l_suppkey,
-    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey, l_linenumber, l_partkey, l_extendedprice)::INTEGER AS pos
+    l_linenumber AS pos
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN (SELECT request_id FROM {REQUESTS_SQL}) ON request_id = o_orderkey),
   good AS (SELECT r.*, s.* FROM refs r JOIN supplier s ON l_suppkey = s_suppkey WHERE s_acctbal > 0)
 SELECT v.dataset, v.version, 'region-' || n_regionkey::VARCHAR AS dataset_owner, g.pos, g.source_id,
@@ -127,13 +127,11 @@ FROM {VERSIONS_SQL} v JOIN nation ON n_name = v.dataset AND n_nationkey <> 7 LEF
 )
 def lineage(t: Tables) -> DataFrame:
     versions = numbered(t).select("dataset", "version", "request_id")
-    listed = t.lineitem.withColumn(
-        "pos",
-        F.row_number().over(
-            # An order has at most a handful of lines.
-            Window.partitionBy("l_orderkey").orderBy("l_suppkey", "l_linenumber", "l_partkey", "l_extendedprice")
-        ),
-    ).select(F.col("l_orderkey").alias("request_id"), "pos", F.concat(F.lit("src-"), F.col("l_suppkey").cast("string")).alias("source_id"))
+    listed = t.lineitem.select(
+        F.col("l_orderkey").alias("request_id"),
+        F.col("l_linenumber").alias("pos"),
+        F.concat(F.lit("src-"), F.col("l_suppkey").cast("string")).alias("source_id"),
+    )
     version_sources = versions.join(listed, "request_id").select("dataset", "version", "pos", "source_id")
     found = catalog.lineage(versions, version_sources, datasets_table(t), sources_table(t))
     return found.select("dataset", "version", "dataset_owner", "pos", "source_id", "source_uri")

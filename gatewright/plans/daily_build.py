@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright import schemas
@@ -86,7 +86,8 @@ def build_day(
     version = catalog.assign_versions(request, held).first().version
 
     # Spark's readers take their paths from the driver, which holds the day's file listing.
-    reads = read_events_csv(spark, [row.uri for row in objects.select("uri").collect()])
+    paths = sorted(row.uri for row in objects.select("uri").collect())
+    reads = read_events_csv(spark, paths)
     storage_uri = curated.write_curated(curate(reads), f"{root}/curated", dataset, version)
     table = curated.read_curated(spark, f"{root}/curated", dataset, version)
     splits = {row.split: row["rows"] for row in build.split_counts(table).collect()}
@@ -110,9 +111,10 @@ def build_day(
         tables["actions"], steps.withColumns({"dataset": F.lit(dataset), "version": F.lit(version), "ts": clock})
     )
     state = catalog.catalog_fold(actions, versions)
-    # One row per object of the day, the same rows as the listing above.
-    order = F.row_number().over(Window.orderBy("uri")) - 1
-    cited = resolved.select(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), order.alias("pos"), F.col("id").alias("source_id"))
+    positions = spark.createDataFrame([(uri, pos) for pos, uri in enumerate(paths)], "uri string, pos int")
+    cited = resolved.join(positions, "uri").select(
+        F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "pos", F.col("id").alias("source_id")
+    )
     save_catalog(
         {
             "sources": _append(tables["sources"], resolved.filter("created")),

@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, salts: int = 8) -> DataFrame:
     """Keep one row per natural key; repeats may arrive up to ``delay`` late.
 
     The event time must be part of the key, as it is for a captured read: then
     a key whose state has expired can only return as late data, which the
     watermark drops, and the result is the distinct keys of the input.
+
+    A key with very many copies is first deduplicated in ``salts`` places by
+    input partition, so only a few copies meet in one task. Which copies share
+    a salt does not affect the result. ``salts=1`` leaves that step out.
     """
     if event_time not in keys:
         raise ValueError(f"{event_time} must be part of the natural key")
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    late = stream.withWatermark(event_time, delay)
+    if salts > 1:
+        salted = late.withColumn("__salt", F.spark_partition_id() % salts)
+        late = salted.dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
+    return late.dropDuplicatesWithinWatermark(list(keys))
