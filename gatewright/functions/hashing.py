@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 def sha256_mod100(text: Column) -> Column:
     """SHA-256 of a string as one 256-bit integer, modulo 100.
 
-    The 64 hex digits are read as 4 + 4 x 15 digits so that every piece fits a
-    signed long; 16**15 leaves 76 when divided by 100.
+    The 64 hex digits are read as four signed 64-bit numbers; 16**16 = 2**64
+    leaves 16 when divided by 100, which also corrects a negative reading.
     """
     digest = F.sha2(text, 256)
-    pieces = [F.substring(digest, 1, 4)] + [F.substring(digest, 5 + 15 * i, 15) for i in range(4)]
-    numbers = [F.conv(p, 16, 10).cast("bigint") for p in pieces]
-    return reduce(lambda acc, piece: (acc * 76 + piece % 100) % 100, numbers[1:], numbers[0] % 100).cast("int")
+    words = [F.conv(F.substring(digest, 1 + 16 * i, 16), 16, -10).cast("bigint") for i in range(4)]
+    parts = [word % 100 + F.when(word < 0, 116).otherwise(0) for word in words]
+    return reduce(lambda acc, part: (acc * 16 + part) % 100, parts, F.lit(0)).cast("int")
 
 
 def split_bucket(key: Column) -> Column:

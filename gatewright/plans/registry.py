@@ -22,6 +22,15 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = apply_settings(spark), folder.rstrip("/")
 
+    def for_streams(self) -> Tables:
+        """The same tables in a session of its own for stateful streams.
+
+        State is partitioned once for the life of a stream: one partition per core.
+        """
+        session = self.spark.newSession()
+        session.conf.set("spark.sql.shuffle.partitions", str(self.spark.sparkContext.defaultParallelism))
+        return Tables(session, self.folder)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in NAMES:
             raise AttributeError(name)

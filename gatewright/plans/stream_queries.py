@@ -24,7 +24,7 @@ def event_stream(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS captured_at FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
-    reads = event_stream(t).select("user_id", "event_type", F.date_trunc("hour", "ts").alias("captured_at"))
+    reads = event_stream(t.for_streams()).select("user_id", "event_type", F.date_trunc("hour", "ts").alias("captured_at"))
     out = shared_dir(t.spark, "sink")
     drain(
         dedup.stream_dedup(reads, ["user_id", "event_type", "captured_at"], "captured_at", "2 hours"),
@@ -40,7 +40,7 @@ def stream_dedup(t: Tables) -> DataFrame:
     WHERE ts < (SELECT max(ts) FROM {SAMPLES_SQL}) - INTERVAL 1 HOUR"""
 )
 def stream_rate_windows(t: Tables) -> DataFrame:
-    found = rates.stream_rate_windows(request_stream(t), SERIES, 6 * HOUR, HOUR, scrape_seconds=60, delay_seconds=HOUR)
+    found = rates.stream_rate_windows(request_stream(t.for_streams()), SERIES, 6 * HOUR, HOUR, scrape_seconds=60, delay_seconds=HOUR)
     out = shared_dir(t.spark, "sink")
     drain(found, out, shared_dir(t.spark, "checkpoint"))
     return t.spark.read.parquet(out).select(
@@ -55,14 +55,14 @@ def stream_rate_windows(t: Tables) -> DataFrame:
 def stream_quality_gate(t: Tables) -> DataFrame:
     root = shared_dir(t.spark, "gate")
     suite = [quality.not_null("ts"), quality.between("value", 0, 50), quality.unique("event_id")]
-    gate.stream_quality_gate(event_stream(t), suite, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
+    gate.stream_quality_gate(event_stream(t.for_streams()), suite, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
     filed = t.spark.read.parquet(f"{root}/rows")
     return filed.groupBy("place").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("value").between(0, 50)).alias("bad"))
 
 
 @query(fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "''").replace(", 'critical' AS severity, '' AS summary", ""))
 def stream_alerts(t: Tables) -> DataFrame:
-    up = event_stream(t).select("user_id", "ts", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"))
+    up = event_stream(t.for_streams()).select("user_id", "ts", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"))
     root = shared_dir(t.spark, "alerts")
     alerts.stream_alerts(up, ["user_id"], F.col("value") == 0, 2 * HOUR, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
     fired = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/alerts")
