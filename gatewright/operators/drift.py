@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from gatewright.functions.chunks import ordered_scan
 
-_SLICES = 1024
-# Bounds what is broadcast: one row per feature.
-MAX_FEATURES = 10_000
+SLICES = 256
+# Bounds what is broadcast: one row with SLICES numbers per feature.
+MAX_FEATURES = 1_000
 
 
 def _pairs(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -27,13 +27,16 @@ def quantile_edges(counts: DataFrame, bins: int) -> DataFrame:
 
     ``counts`` has one row per (feature, value) with its number ``n``. Exact and
     distributed: distinct values are scanned in order, each feature cut into
-    slices of its value range.
+    slices of about equal size. The cuts are approximate quantiles, which only
+    decide the balance; they are fetched first (``SLICES`` numbers per feature)
+    so that every part of the plan uses the same ones.
     """
-    whole = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    points = [i / SLICES for i in range(1, SLICES)]
+    found = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.percentile_approx("v", points, 10_000).alias("cuts"))
+    whole = counts.sparkSession.createDataFrame(found.collect(), "feature string, total bigint, cuts array<double>")
     placed = counts.join(F.broadcast(whole), "feature")
-    share = F.coalesce(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")), F.lit(0.0))
-    chunk = F.floor(share * _SLICES).cast("bigint")
-    ranked = ordered_scan(placed, ["feature"], ["v"], chunk, sum_upto={"upto": F.col("n")})
+    chunk = F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).cast("bigint")
+    ranked = ordered_scan(placed.withColumn("slice", chunk).drop("cuts"), ["feature"], ["v"], F.col("slice"), sum_upto={"upto": F.col("n")})
     edges = [
         F.min(F.when(F.col("upto") * bins >= F.col("total") * k, F.col("v"))).alias(f"e{k}") for k in range(1, bins)
     ]

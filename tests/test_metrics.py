@@ -227,6 +227,15 @@ def test_psi(spark):
     assert next(r.psi for r in moved if r.feature == "x") == pytest.approx(sum((a - 0.1) * math.log(a / 0.1) for a in share), abs=1e-6)
 
 
+def test_quantile_edges_are_exact_with_outliers(spark):
+    rng = random.Random(11)
+    values = [float(rng.randrange(400)) for _ in range(3000)] + [1e15, -1e15] + [7.0] * 1500
+    counts = spark.createDataFrame([("x", v) for v in values], "feature string, v double").groupBy("feature", "v").agg(F.count("*").alias("n"))
+    edges = drift.quantile_edges(counts, 10).first()
+    ordered = sorted(values)
+    assert [edges[f"e{k}"] for k in range(1, 10)] == [ordered[math.ceil(len(values) * k / 10) - 1] for k in range(1, 10)]
+
+
 def test_label_filter_and_relabel(spark):
     df = spark.createDataFrame([({"job": "a", "code": "503"}, 1), ({"job": "a", "code": "5030"}, 2), ({"code": "500"}, 3)], "l map<string,string>, v int")
     assert [r.v for r in labels.label_filter(df, "l", {"job": "a"}, {"code": "5.."}).collect()] == [1]
