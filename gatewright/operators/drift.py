@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from gatewright.functions.chunks import ordered_scan
 
-SLICES = 256
+_BLOCK = 16
+SLICES = _BLOCK * _BLOCK
 # Bounds what is broadcast: one row with SLICES numbers per feature.
 MAX_FEATURES = 1_000
 
@@ -33,10 +34,17 @@ def quantile_edges(counts: DataFrame, bins: int) -> DataFrame:
     """
     points = [i / SLICES for i in range(1, SLICES)]
     found = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.percentile_approx("v", points, 10_000).alias("cuts"))
-    whole = counts.sparkSession.createDataFrame(found.collect(), "feature string, total bigint, cuts array<double>")
-    placed = counts.join(F.broadcast(whole), "feature")
-    chunk = F.size(F.filter("cuts", lambda cut: cut < F.col("v"))).cast("bigint")
-    ranked = ordered_scan(placed.withColumn("slice", chunk).drop("cuts"), ["feature"], ["v"], F.col("slice"), sum_upto={"upto": F.col("n")})
+    rows = [(r.feature, r.total, r.cuts[_BLOCK - 1 :: _BLOCK], r.cuts) for r in found.collect()]
+    whole = counts.sparkSession.createDataFrame(rows, "feature string, total bigint, blocks array<double>, cuts array<double>")
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut < F.col("v")))
+
+    # First the block, then the place among its cuts.
+    placed = counts.join(F.broadcast(whole), "feature").withColumn("slice", below(F.col("blocks")))
+    inside = below(F.slice("cuts", F.col("slice") * _BLOCK + 1, F.lit(_BLOCK - 1)))
+    placed = placed.withColumn("slice", (F.col("slice") * _BLOCK + inside).cast("bigint")).drop("blocks", "cuts")
+    ranked = ordered_scan(placed, ["feature"], ["v"], F.col("slice"), sum_upto={"upto": F.col("n")})
     edges = [
         F.min(F.when(F.col("upto") * bins >= F.col("total") * k, F.col("v"))).alias(f"e{k}") for k in range(1, bins)
     ]
