@@ -152,10 +152,10 @@ def counter_increase(
 
     Series are cut into time chunks and every sample is also given to a later
     chunk whose windows can still see it, so one series spreads over many tasks
-    at one shuffle. Inside a chunk each sample contributes its evaluation times
-    and one expiry mark at ``ts + window``; a running "last expiry" tells the
-    first sample still inside the window, so the cost per sample does not grow
-    with the window.
+    at one shuffle. Inside a chunk each sample contributes the times it answers
+    and the time it becomes the oldest sample in the window, which is when the
+    sample before it leaves. The latest such time at or before ``t`` names the
+    first sample of the window, so the cost per sample does not grow with it.
     """
     window = window_seconds * SECOND
     width = max(chunk_seconds or HOUR, 4 * window_seconds) * SECOND
@@ -170,53 +170,55 @@ def counter_increase(
 
     part = Window.partitionBy(*keys, CHUNK)
     by_time = part.orderBy("__t")
-    prev = F.lag("__v").over(by_time)
-    rows = rows.withColumn("__d", F.coalesce(_step(F.col("__v"), prev), F.lit(0.0)))
+    rows = rows.withColumns(
+        {
+            "__prev": F.lag("__t").over(by_time),
+            "__next": F.lead("__t").over(by_time),
+            "__d": F.coalesce(_step(F.col("__v"), F.lag("__v").over(by_time)), F.lit(0.0)),
+        }
+    )
     rows = rows.withColumns(
         {
             "__s": F.sum("__d").over(by_time.rowsBetween(Window.unboundedPreceding, 0)),
             "__i": F.row_number().over(by_time),
         }
     )
-    state = F.struct("__t", "__v", "__s", "__i")
-    rows = rows.withColumn("__me", state).withColumn("__next", F.lead("__me").over(by_time))
+    # A sample without a neighbour inside the window never meets a second one.
+    near = (t - F.col("__prev") < window) | (F.col("__next") - t < window)
+    rows = rows.filter(F.coalesce(near, F.lit(False)))
 
-    # Evaluation times answered by this sample: from its own time up to the next sample,
-    # while it is still in the window, and only inside the chunk.
+    # Times answered by this sample: from its own time up to the next sample, while it
+    # is still in the window, and only inside the chunk.
     begin, end = F.col(CHUNK) * F.lit(width), (F.col(CHUNK) + 1) * F.lit(width)
     if step_seconds is None:
-        evals = F.when(t >= begin, F.array(t)).otherwise(F.array().cast("array<bigint>"))
+        answers = F.when(t >= begin, F.array(t))
     else:
         step = step_seconds * SECOND
         lowest = F.ceil(F.greatest(t, begin) / F.lit(step)).cast("bigint") * step
-        highest = F.least(F.coalesce(F.col("__next.__t"), t + window), t + window, end) - 1
-        evals = F.when(highest >= lowest, F.sequence(lowest, highest, F.lit(step).cast("bigint"))).otherwise(
-            F.array().cast("array<bigint>")
-        )
-    none = F.lit(None).cast(rows.schema["__me"].dataType)
-    marks = F.transform(evals, lambda at: F.struct(at.alias("at"), F.lit(1).alias("kind"), none.alias("first"), F.col("__me").alias("last")))
-    expiry = F.array(F.struct((t + window).alias("at"), F.lit(0).alias("kind"), F.col("__next").alias("first"), none.alias("last")))
-    opening = F.when(
-        F.col("__i") == 1,
-        F.array(F.struct(t.alias("at"), F.lit(0).alias("kind"), F.col("__me").alias("first"), none.alias("last"))),
-    ).otherwise(F.filter(expiry, lambda _: F.lit(False)))
-    points = rows.select(*keys, CHUNK, F.inline(F.concat(opening, expiry, marks)))
-
-    first = F.last("first", ignorenulls=True).over(
+        highest = F.least(F.coalesce(F.col("__next"), t + window), t + window, end) - 1
+        answers = F.when(highest >= lowest, F.sequence(lowest, highest, F.lit(step).cast("bigint")))
+    leads_at = F.greatest(t, F.col("__prev") + window)
+    marks = F.concat(
+        F.array(F.struct(leads_at.alias("at"), F.lit(0).alias("kind"))),
+        F.coalesce(F.transform(answers, lambda at: F.struct(at.alias("at"), F.lit(1).alias("kind"))), _no_marks()),
+    )
+    points = rows.select(*keys, CHUNK, "__t", "__v", "__s", "__i", F.inline(marks))
+
+    oldest = F.last(F.when(F.col("kind") == 0, F.struct("__t", "__v", "__s", "__i")), ignorenulls=True).over(
         part.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     )
-    points = points.withColumn("first", first).filter(F.col("kind") == 1)
-    n = F.col("last.__i") - F.col("first.__i") + 1
-    raw = F.col("last.__s") - F.col("first.__s")
-    points = points.filter(n >= 2)
-    value = raw
+    points = points.withColumn("first", oldest).filter((F.col("kind") == 1) & (F.col("__i") > F.col("first.__i")))
+    n = F.col("__i") - F.col("first.__i") + 1
+    value = F.col("__s") - F.col("first.__s")
     if extrapolate:
-        value = extrapolated(
-            raw, n, F.col("first.__t"), F.col("last.__t"), F.col("first.__v"), F.col("at") - window, F.col("at")
-        )
+        value = extrapolated(value, n, F.col("first.__t"), t, F.col("first.__v"), F.col("at") - window, F.col("at"))
     return points.select(*keys, _back_to(samples, F.col("at")).alias("ts"), value.alias("increase"))
 
 
+def _no_marks() -> Column:
+    return F.array().cast("array<struct<at: bigint, kind: int>>")
+
+
 def _back_to(samples: DataFrame, at: Column) -> Column:
     """Epoch microseconds in the type of the table's own ``ts``."""
     return F.timestamp_micros(at).cast(samples.schema["ts"].dataType)
