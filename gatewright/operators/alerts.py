@@ -27,6 +27,15 @@ _OPS = {"==": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.g
 
 MINUTE = 60
 
+# Severity and summary text of each rule.
+API_DOWN = ("critical", "dataset-api is not being scraped")
+HIGH_ERROR_RATE = ("warning", "dataset-api 5xx rate above 5%")
+SLOW_P95 = ("warning", "p95 latency above 500ms on {route}")
+QUALITY_FAILING = ("warning", "A dataset version failed its expectation suite in the last hour")
+FREEZE_BLOCKED = ("warning", "The quality gate has blocked more than 3 freezes in 6 hours")
+DRIFT = ("warning", "Drift on {feature} for model {model}")
+CANARY_BURN = ("critical", "Contender revision {revision} exceeding 2% errors — promotion should be blocked")
+
 
 def over_limit(value: Column, op: str, limit: float) -> Column:
     return F.coalesce(_OPS[op](value, F.lit(limit)) & ~F.isnan(value.cast("double")), F.lit(False))
@@ -134,11 +143,11 @@ def fire(
     op: str,
     limit: float,
     for_seconds: int,
-    severity: str,
-    summary: str,
+    text: tuple[str, str],
     max_gap_seconds: int | None = None,
 ) -> DataFrame:
-    """Firing evaluations of one rule, with severity and summary text."""
+    """Firing evaluations of one rule, with its severity and summary (``text``)."""
+    severity, summary = text
     held = sustained_for(df, keys, over_limit(F.col(value), op, limit), for_seconds, max_gap_seconds)
     return held.filter("firing").select(
         *keys,
@@ -152,7 +161,7 @@ def fire(
 
 def alert_api_down(up: DataFrame, keys: Sequence[str], for_seconds: int = 2 * MINUTE, max_gap_seconds: int | None = None) -> DataFrame:
     """A scrape target reports ``up == 0``."""
-    return fire(up, keys, "value", "==", 0.0, for_seconds, "critical", "dataset-api is not being scraped", max_gap_seconds)
+    return fire(up, keys, "value", "==", 0.0, for_seconds, API_DOWN, max_gap_seconds)
 
 
 def alert_high_error_rate(
@@ -165,7 +174,7 @@ def alert_high_error_rate(
 ) -> DataFrame:
     """5xx share of all requests above the limit."""
     ratio = error_ratio(requests, keys, window_seconds, step_seconds)
-    return fire(ratio, [], "ratio", ">", limit, for_seconds, "warning", "dataset-api 5xx rate above 5%", step_seconds)
+    return fire(ratio, [], "ratio", ">", limit, for_seconds, HIGH_ERROR_RATE, step_seconds)
 
 
 def p95_by_route(buckets: DataFrame, keys: Sequence[str], window_seconds: int, step_seconds: int, q: float = 0.95) -> DataFrame:
@@ -184,7 +193,7 @@ def alert_slow_p95(
 ) -> DataFrame:
     """p95 latency of a route above the limit."""
     p95 = p95_by_route(buckets, keys, window_seconds, step_seconds)
-    return fire(p95, ["route"], "quantile", ">", limit, for_seconds, "warning", "p95 latency above 500ms on {route}", step_seconds)
+    return fire(p95, ["route"], "quantile", ">", limit, for_seconds, SLOW_P95, step_seconds)
 
 
 def alert_quality_failing(
@@ -192,10 +201,7 @@ def alert_quality_failing(
 ) -> DataFrame:
     """Any suite failure within the window."""
     grown = counter_increase(failures, keys, window_seconds, step_seconds)
-    return fire(
-        grown, keys, "increase", ">", 0.0, for_seconds, "warning",
-        "A dataset version failed its expectation suite in the last hour", step_seconds,
-    )
+    return fire(grown, keys, "increase", ">", 0.0, for_seconds, QUALITY_FAILING, step_seconds)
 
 
 def alert_freeze_blocked(
@@ -208,18 +214,12 @@ def alert_freeze_blocked(
 ) -> DataFrame:
     """More than ``limit`` refused freezes within the window."""
     grown = counter_increase(rejections, keys, window_seconds, step_seconds)
-    return fire(
-        grown, keys, "increase", ">", limit, for_seconds, "warning",
-        "The quality gate has blocked more than 3 freezes in 6 hours", step_seconds,
-    )
+    return fire(grown, keys, "increase", ">", limit, for_seconds, FREEZE_BLOCKED, step_seconds)
 
 
 def alert_drift(scores: DataFrame, limit: float = 0.3, for_seconds: int = 15 * MINUTE, max_gap_seconds: int | None = None) -> DataFrame:
     """Drift score of a (feature, model) above the limit."""
-    return fire(
-        scores, ["feature", "model"], "value", ">", limit, for_seconds, "warning",
-        "Drift on {feature} for model {model}", max_gap_seconds,
-    )
+    return fire(scores, ["feature", "model"], "value", ">", limit, for_seconds, DRIFT, max_gap_seconds)
 
 
 def alert_canary_burn(
@@ -232,7 +232,4 @@ def alert_canary_burn(
 ) -> DataFrame:
     """5xx share of one revision above the limit."""
     ratio = error_ratio(requests, keys, window_seconds, step_seconds, by=["revision"])
-    return fire(
-        ratio, ["revision"], "ratio", ">", limit, for_seconds, "critical",
-        "Contender revision {revision} exceeding 2% errors — promotion should be blocked", step_seconds,
-    )
+    return fire(ratio, ["revision"], "ratio", ">", limit, for_seconds, CANARY_BURN, step_seconds)
