@@ -4,6 +4,7 @@ import check
 import pytest
 
 import __spark_entry__ as entry
+from gatewright.plans import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +15,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert all_queries.QUERIES.keys() == all_queries.ORACLES.keys()
+    assert all_queries.QUERIES.keys() <= entry.queries().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     verdict = check.compare(entry.queries()[name](spark, FOLDER), duck, entry.oracle_sql()[name])
     assert verdict.startswith("ok"), verdict
