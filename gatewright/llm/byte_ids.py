@@ -1,0 +1,110 @@
+"""Ids of whole texts by a byte-level BPE file of the tokenizers library, with a bounded cache of words.
+
+The file's pre-tokenizer never joins what stands before a blank with what
+follows it, so a text may be cut in front of any blank, and on both sides of any
+line feed, that has a non-blank on either side: the ids of the units, one after
+the other, are the ids of the text.
+Units are looked up in a cache that lives as long as the Python worker; only
+unknown ones go through the library, all of a text at once.
+"""
+
+from __future__ import annotations
+
+import functools
+import os
+import re
+from array import array
+
+CUT = re.compile(r"(?<=\S)(?= \S)")
+#: White space other than blank and line feed, and the mark used for cutting.
+OTHER_SPACE = re.compile(r"[^\S \n]|[\x00\u180e]")
+#: A word of Latin letters followed by closing marks: the pre-tokenizer always parts them.
+TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([,.;:!?%&#*$)\]]+)", re.DOTALL)
+#: One piece of the pre-tokenizer: the model alone gives its ids.
+WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LONG_UNIT = 64
+
+
+def byte_alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + others.index(b)) for b in others}
+
+
+class ByteIds:
+    """``ids(text)`` gives the little-endian unsigned 32-bit ids of a text as bytes."""
+
+    def __init__(self, file: str, cache_units: int = 400_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(file)
+        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.alphabet = byte_alphabet()
+        self.cache_units = cache_units
+        # Two generations bound the cache: a full young one becomes the old one.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        model, alphabet, out, rest = self.tokenizer.model, self.alphabet, {}, []
+        for u in units:
+            if len(u) <= LONG_UNIT and WORD.fullmatch(u):
+                pieces = model.tokenize(u.encode().decode("latin-1").translate(alphabet))
+                out[u] = array("I", [p.id for p in pieces]).tobytes()
+            else:
+                rest.append(u)
+        for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            out[u] = array("I", e.ids).tobytes()
+        return [out[u] for u in units]
+
+    def _keep(self, key: str, value: bytes) -> None:
+        if len(key) <= LONG_UNIT:
+            if len(self.young) >= self.cache_units:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
+
+    def _learn(self, keys: list[str]) -> dict[str, bytes]:
+        """Values of keys that are not in the young generation. A key is a unit as the library gets it."""
+        found, split, missing = {}, {}, {}
+        for key in keys:
+            if key in self.old:
+                found[key] = self.old[key]
+            elif m := TAIL.fullmatch(key):
+                split[key] = m.groups()
+                for part in m.groups():
+                    if (value := self.young.get(part) or self.old.get(part)) is not None:
+                        found[part] = value
+                    else:
+                        missing[part] = None
+            else:
+                missing[key] = None
+        fresh = [k for k in missing if k not in found]
+        found.update(zip(fresh, self._encode(fresh)))
+        for key, (word, tail) in split.items():
+            found[key] = found[word] + found[tail]
+        for key, value in found.items():
+            self._keep(key, value)
+        return found
+
+    def _units(self, units: list[str]) -> bytes:
+        values = list(map(self.young.get, units))
+        if None in values:
+            learned = self._learn(list({u for u, v in zip(units, values) if v is None}))
+            values = [learned[u] if v is None else v for u, v in zip(units, values)]
+        return b"".join(values)
+
+    def ids(self, text: str) -> bytes:
+        if not text:
+            return b""
+        simple = not ("  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n")
+        if simple and not OTHER_SPACE.search(text):
+            return self._units(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
+        return self._units(CUT.split(text))
+
+
+@functools.lru_cache(maxsize=4)
+def byte_ids(file: str) -> ByteIds:
+    """One instance per file and Python worker."""
+    return ByteIds(file)
