@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing
+from gatewright.llm import exact_dedup, packing, token_files
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
+
+
+@query()
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(spark, table(spark, folder, "documents"))
