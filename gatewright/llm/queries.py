@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing, token_files
+from gatewright.llm import exact_dedup, packing, piece_codec, token_files
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,8 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.round_trip(spark, table(spark, folder, "documents"))
+
+
+@query()
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_codec.piece_digests(table(spark, folder, "documents"))
