@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing, piece_codec, token_files
+from gatewright.llm import exact_dedup, packing, piece_codec, token_files, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,16 @@ def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_codec.piece_digests(table(spark, folder, "documents"))
+
+
+@query("""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+""")
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive_pages(spark, table(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
