@@ -20,8 +20,14 @@ SQL_SETTINGS = {
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set the runtime settings and let Python workers import this package from any working directory."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    workers = spark.sparkContext.environment
+    known = workers.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        workers["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
     return spark
 
 
