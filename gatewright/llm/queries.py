@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing, piece_codec, token_files, warc
+from gatewright.llm import exact_dedup, packing, pii, piece_codec, token_files, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ FROM p LEFT JOIN f USING (payload_digest)
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.archive_pages(spark, table(spark, folder, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_spans(table(spark, folder, "documents"))
