@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing, pii, piece_codec, token_files, warc
+from gatewright.llm import exact_dedup, packing, pii, piece_codec, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_spans(table(spark, folder, "documents"))
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
