@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, packing, pii, piece_codec, token_files, toxicity, warc
+from gatewright.llm import exact_dedup, html_consensus, packing, pii, piece_codec, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query()
+def op10_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    return html_consensus.main_text(table(spark, folder, "pages"))
