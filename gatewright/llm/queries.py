@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, html_consensus, packing, pii, piece_codec, token_files, toxicity, warc
+from gatewright.llm import exact_dedup, html_consensus, packing, pii, piece_codec, pq_neardup, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
     return html_consensus.main_text(table(spark, folder, "pages"))
+
+
+@query()
+def op8_pq_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return pq_neardup.near_duplicates(table(spark, folder, "embeddings"))
