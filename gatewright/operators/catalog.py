@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gatewright.functions.chunks import (
@@ -37,13 +37,15 @@ def register_sources(new: DataFrame, existing: DataFrame, order: Sequence[str])
 
     Repeats of a uri within ``new`` collapse to the first in ``order``.
     ``created`` tells which rows must be appended to the ``sources`` table.
+    A source without uri is a bad request: it gets no id and is not created.
     """
+    named = F.coalesce(F.col("uri"), F.lit("")) != ""
     first = dedup_first(new, ["uri"], order)
     known = existing.select("uri", F.col("id").alias("known_id"))
     return first.join(known, "uri", "left").select(
-        F.coalesce("known_id", source_id(F.col("uri"))).alias("id"),
+        F.when(named, F.coalesce("known_id", source_id(F.col("uri")))).alias("id"),
         *first.columns,
-        F.col("known_id").isNull().alias("created"),
+        (F.col("known_id").isNull() & named).alias("created"),
     )
 
 
@@ -51,7 +53,8 @@ def create_datasets(new: DataFrame, existing: DataFrame, order: Sequence[str], e
     """Outcome per requested dataset: ``created`` or, when the name is taken, ``conflict``.
 
     The first request for a name wins; later ones in the same batch conflict.
-    With ``ensure`` a taken name counts as ``ok``.
+    With ``ensure`` a taken name counts as ``ok``. A missing or empty name is a
+    ``bad_request``.
     """
     taken = "ok" if ensure else "conflict"
     names = existing.select("name", F.lit(True).alias("exists"))
@@ -62,7 +65,8 @@ def create_datasets(new: DataFrame, existing: DataFrame, order: Sequence[str], e
         .select("name", *order, F.coalesce(~F.col("exists"), F.lit(True)).alias("free"))
     )
     # ``order`` belongs to the join key, so a name requested very often is spread over tasks.
-    outcome = F.when(F.col("free"), F.lit("created")).otherwise(F.lit(taken))
+    nameless = F.coalesce(F.col("name"), F.lit("")) == ""
+    outcome = F.when(nameless, F.lit("bad_request")).when(F.col("free"), F.lit("created")).otherwise(F.lit(taken))
     return new.join(winners, ["name", *order], "left").select(*new.columns, outcome.alias("outcome"))
 
 
@@ -123,8 +127,13 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     than passed/failed is a ``bad_request``; a version never created is
     ``not_found``. No verdict can be refused before the first success, so every
     earlier valid verdict counts and no replay is needed.
+
+    What ``versions`` already holds (``quality``, ``frozen``) is the state the
+    log starts from, so the log need only have the actions since then.
     """
-    created = versions.select(*VERSION_KEY, F.lit(True).alias("__created"))
+    created = versions.select(
+        *VERSION_KEY, F.lit(True).alias("__created"), stored_frozen(versions).alias("__stored_frozen"), stored_status(versions).alias("__stored")
+    )
     is_quality, is_freeze = F.col("action") == "quality", F.col("action") == "freeze"
     exists = F.col("__created").isNotNull()
     valid = F.coalesce(is_quality & F.col("status").isin("passed", "failed"), F.lit(False))
@@ -132,7 +141,8 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     log = actions.join(created, list(VERSION_KEY), "left").withColumns(
         {
             CHUNK: time_chunk("ts", chunk_seconds),
-            "__verdict": F.when(exists & valid, F.col("status")),
+            # A version frozen from the start takes no verdict at all.
+            "__verdict": F.when(exists & valid & ~F.col("__stored_frozen"), F.col("status")),
             "__asks": exists & is_freeze,
         }
     )
@@ -141,7 +151,7 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     # certain or only if the verdict standing at its start was "passed".
     alone = rows_before(in_chunk(VERSION_KEY, order, lead=False))
     prior = F.last("__verdict", ignorenulls=True).over(alone)
-    core = by_chunk(log.select(*VERSION_KEY, CHUNK, *order, "__verdict", "__asks"), VERSION_KEY)
+    core = by_chunk(log.select(*VERSION_KEY, CHUNK, *order, "__verdict", "__asks", "__stored"), VERSION_KEY)
     closing = (
         core.withColumn("__prior", prior)
         .groupBy(*VERSION_KEY, CHUNK)
@@ -149,11 +159,13 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
             F.max_by("__verdict", F.when(F.col("__verdict").isNotNull(), F.struct(*order))).alias("__verdict"),
             F.max(F.col("__asks") & (F.col("__prior") == "passed")).alias("__opens"),
             F.max(F.col("__asks") & F.col("__prior").isNull()).alias("__may_open"),
+            F.first("__stored").alias("__stored"),
         )
     )
 
     def opening(ends: DataFrame, along: WindowSpec) -> DataFrame:
-        carried = ends.withColumn("__verdict", F.last("__verdict", ignorenulls=True).over(rows_before(along)))
+        earlier = F.last("__verdict", ignorenulls=True).over(rows_before(along))
+        carried = ends.withColumn("__verdict", F.coalesce(earlier, "__stored"))
         opens = F.coalesce("__opens", F.lit(False)) | (F.col("__may_open") & (F.col("__verdict") == "passed"))
         return carried.withColumn("__opens", opens).withColumn("__opens", F.max("__opens").over(rows_before(along)))
 
@@ -165,7 +177,8 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     opens = F.when(F.col(LEAD) == 0, F.col("__opens")).otherwise(
         F.col("__asks") & (F.coalesce("prior_status", F.lit("")) == "passed")
     )
-    scanned = scanned.withColumn("__opens", opens).withColumn("__frozen", F.coalesce(F.max("__opens").over(window), F.lit(False)))
+    froze = F.coalesce(F.max("__opens").over(window), F.lit(False))
+    scanned = scanned.withColumn("__opens", opens).withColumn("__frozen", froze | F.coalesce("__stored_frozen", F.lit(False)))
     frozen = F.col("__frozen")
     outcome = (
         F.when(is_quality & ~valid, "bad_request")
@@ -175,7 +188,15 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
         .otherwise("bad_request")
     )
     folded = without_leads(scanned.withColumns({"outcome": outcome, "freezes": F.col("__opens") & ~frozen}))
-    return folded.drop("__created", "__verdict", "__asks", "__opens", "__frozen")
+    return folded.drop("__created", "__verdict", "__asks", "__opens", "__frozen", "__stored", "__stored_frozen")
+
+
+def stored_frozen(versions: DataFrame) -> Column:
+    return F.coalesce(F.col("frozen"), F.lit(False)) if "frozen" in versions.columns else F.lit(False)
+
+
+def stored_status(versions: DataFrame) -> Column:
+    return F.col("quality.status") if "quality" in versions.columns else F.lit(None).cast("string")
 
 
 def apply_quality(actions: DataFrame, versions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
@@ -189,18 +210,42 @@ def freeze_gate(actions: DataFrame, versions: DataFrame, chunk_seconds: int = DA
 
 
 def catalog_fold(actions: DataFrame, versions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
-    """State per version after the whole log: last verdict that counted, frozen flag and time."""
+    """State per version after the log: last verdict that counted, frozen flag and time.
+
+    Versions without an accepted action keep the state they have.
+    """
     accepted = fold_actions(actions, versions, chunk_seconds).filter(F.col("outcome") == "ok")
     at = F.struct("ts", "seq")
-    details = [c for c in ("status", "report_uri", "failed_checks") if c in actions.columns]
-    verdict = F.struct(*details, F.col("ts").alias("recorded_at"))
     state = accepted.groupBy(*VERSION_KEY).agg(
-        F.max_by(verdict, F.when(F.col("action") == "quality", at)).alias("quality"),
-        F.min(F.when(F.col("freezes"), F.col("ts"))).alias("frozen_at"),
+        F.max_by(_verdict(actions, versions), F.when(F.col("action") == "quality", at)).alias("__quality"),
+        F.min(F.when(F.col("freezes"), F.col("ts"))).alias("__frozen_at"),
     )
-    return versions.drop("quality", "frozen", "frozen_at").join(state, list(VERSION_KEY), "left").withColumn(
-        "frozen", F.col("frozen_at").isNotNull()
+    held = versions.withColumns(
+        {
+            "__held_quality": F.col("quality") if "quality" in versions.columns else F.lit(None),
+            "__held_at": F.col("frozen_at") if "frozen_at" in versions.columns else F.lit(None).cast("timestamp"),
+            "__held_frozen": stored_frozen(versions),
+        }
     )
+    joined = held.drop("quality", "frozen", "frozen_at").join(state, list(VERSION_KEY), "left")
+    quality = F.coalesce("__quality", "__held_quality") if "quality" in versions.columns else F.col("__quality")
+    return joined.withColumns(
+        {
+            "quality": quality,
+            "frozen_at": F.coalesce("__held_at", "__frozen_at"),
+            "frozen": F.col("__held_frozen") | F.col("__frozen_at").isNotNull(),
+        }
+    ).drop("__quality", "__frozen_at", "__held_quality", "__held_at", "__held_frozen")
+
+
+def _verdict(actions: DataFrame, versions: DataFrame) -> Column:
+    """A verdict as one struct, in the shape ``versions`` stores it where it does."""
+    details = {c: F.col(c) for c in ("status", "report_uri", "failed_checks") if c in actions.columns}
+    found = {**details, "recorded_at": F.col("ts")}
+    if "quality" not in versions.columns:
+        return F.struct(*[c.alias(n) for n, c in found.items()])
+    shape = versions.schema["quality"].dataType
+    return F.struct(*[found.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
 
 
 def freezable_versions(state: DataFrame) -> DataFrame:

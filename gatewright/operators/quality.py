@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatewright.functions.numbers import parse_number
 from gatewright.functions.labels import full_match
 
 EXISTS = "expect_column_to_exist"
@@ -67,7 +68,8 @@ def in_set(column: str, value_set: Sequence[Any]) -> Expectation:
     return Expectation(IN_SET, column, {"value_set": list(value_set)}, _not_in_set)
 
 
-def row_count(min_value: int, max_value: int) -> Expectation:
+def row_count(min_value: int, max_value: int | None = None) -> Expectation:
+    """Number of rows; without ``max_value`` there is no upper bound."""
     return Expectation(ROW_COUNT, None, {"min_value": min_value, "max_value": max_value})
 
 
@@ -107,8 +109,7 @@ def is_missing(df: DataFrame, column: str) -> Column:
 def _outside(df: DataFrame, column: str, args: Mapping[str, Any]) -> Column:
     col, kind = F.col(column), _type(df, column)
     if isinstance(kind, T.StringType):
-        # Java also parses a trailing d or f as a type suffix; that is not a number here.
-        number = F.when(~col.rlike(r"[dDfF]\s*\z") | F.lower(F.trim(col)).rlike(r"\A[+-]?inf\z"), col.try_cast("double"))
+        number = parse_number(col)
     elif isinstance(kind, (T.NumericType, T.BooleanType)):
         number = col if isinstance(kind, T.NumericType) else col.cast("int")
     else:
@@ -147,7 +148,9 @@ def _details(rule: Expectation, missing: bool) -> Column:
 def _unexpected(df: DataFrame, rule: Expectation, index: int) -> Column:
     n = F.col("n")
     if rule.kind == ROW_COUNT:
-        return F.when(n.between(rule.args["min_value"], rule.args["max_value"]), 0).otherwise(1).cast("bigint")
+        low, high = rule.args["min_value"], rule.args["max_value"]
+        inside = n >= low if high is None else n.between(low, high)
+        return F.when(inside, 0).otherwise(1).cast("bigint")
     if rule.kind == EXISTS:
         return F.lit(0).cast("bigint")
     return F.col(f"bad_{index}") if rule.column in df.columns else n

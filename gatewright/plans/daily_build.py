@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright import schemas
@@ -61,11 +61,14 @@ def build_day(
     git_commit: str = "unknown",
     created_by: str = "daily_build",
     min_rows: int = 1,
+    max_rows: int | None = 10_000_000,
 ) -> BuildOutcome:
     """Build, check and publish one version of ``dataset`` from the objects of ``day``.
 
     ``now`` is passed in, so a rerun of a past day is reproducible. A version
-    that fails its suite stays in the catalog unfrozen, with its report.
+    that fails its suite stays in the catalog unfrozen, with its report. A run
+    that dies publishes nothing; the next one takes the same version number and
+    replaces what it left.
     """
     tables = load_catalog(spark, f"{root}/catalog")
     clock = F.lit(now).cast("timestamp")
@@ -87,29 +90,32 @@ def build_day(
 
     # Spark's readers take their paths from the driver, which holds the day's file listing.
     paths = sorted(row.uri for row in objects.select("uri").collect())
-    reads = read_events_csv(spark, paths)
-    storage_uri = curated.write_curated(curate(reads), f"{root}/curated", dataset, version)
+    seen = Observation()
+    reads = read_events_csv(spark, paths).observe(seen, F.count(F.lit(1)).alias("rows"))
+    storage_uri = curated.write_curated(curate(reads), f"{root}/curated", dataset, version, replace=True)
     table = curated.read_curated(spark, f"{root}/curated", dataset, version)
     splits = {row.split: row["rows"] for row in build.split_counts(table).collect()}
-    row_count = sum(splits.values())
-    duplicates = reads.count() - row_count
+    content = build.fingerprint(table).first()
+    row_count = content.row_count
+    duplicates = seen.get["rows"] - row_count
 
-    results = quality.run_suite(table, event_suite(min_rows))
-    report_uri = curated.write_quality_report(results, f"{root}/curated", dataset, version)
+    results = quality.run_suite(table, event_suite(min_rows, max_rows))
+    report_uri = curated.write_quality_report(results, f"{root}/curated", dataset, version, replace=True)
     recorded = spark.read.schema(results.schema).json(report_uri)
     verdict = quality.quality_verdict(recorded, report_uri).first()
 
     created = spark.createDataFrame([(dataset, version, row_count, splits, storage_uri, git_commit, created_by)],
         "dataset string, version int, row_count long, splits map<string,bigint>, storage_uri string, git_commit string, created_by string",
     ).withColumn("created_at", clock)
-    versions = _append(tables["versions"], created)
+    versions = _append(spark.createDataFrame([], schemas.VERSIONS), created.withColumn("fingerprint", F.lit(str(content.fingerprint))))
     log = [("quality", 1, verdict.status, report_uri, verdict.failed_checks)]
     if verdict.status == "passed":
         log.append(("freeze", 2, None, None, None))
     steps = spark.createDataFrame(log, "action string, seq bigint, status string, report_uri string, failed_checks array<string>")
     actions = _append(
-        tables["actions"], steps.withColumns({"dataset": F.lit(dataset), "version": F.lit(version), "ts": clock})
+        spark.createDataFrame([], schemas.ACTIONS), steps.withColumns({"dataset": F.lit(dataset), "version": F.lit(version), "ts": clock})
     )
+    # Only this run's actions, on the one version they concern; all other versions stay as they are stored.
     state = catalog.catalog_fold(actions, versions)
     positions = spark.createDataFrame([(uri, pos) for pos, uri in enumerate(paths)], "uri string, pos int")
     cited = resolved.join(positions, "uri").select(
@@ -117,10 +123,10 @@ def build_day(
     )
     save_catalog(
         {
-            "sources": _append(tables["sources"], resolved.filter("created")),
-            "datasets": _append(tables["datasets"], made.filter(F.col("outcome") == "created")),
+            "sources": _append(spark.createDataFrame([], schemas.SOURCES), resolved.filter("created")),
+            "datasets": _append(spark.createDataFrame([], schemas.DATASETS), made.filter(F.col("outcome") == "created")),
             "versions": _append(spark.createDataFrame([], schemas.VERSIONS), state),
-            "version_sources": _append(tables["version_sources"], cited),
+            "version_sources": _append(spark.createDataFrame([], schemas.VERSION_SOURCES), cited),
             "actions": actions,
         },
         f"{root}/catalog",

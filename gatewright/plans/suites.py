@@ -9,7 +9,8 @@ PLATE_PATTERN = r"[A-Z0-9][A-Z0-9 \-]{1,8}[A-Z0-9]"
 SPLITS = ("train", "val", "test")
 
 
-def event_suite(min_rows: int = 1, max_rows: int = 10_000_000) -> list[Expectation]:
+def event_suite(min_rows: int = 1, max_rows: int | None = 10_000_000) -> list[Expectation]:
+    """The rules of a day of plate reads; ``max_rows`` None lifts the upper bound."""
     return [
         row_count(min_rows, max_rows),
         *[column_exists(c) for c in ("plate", "camera_id", "captured_at", "confidence")],

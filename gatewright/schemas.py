@@ -14,7 +14,7 @@ DATASETS = "name STRING, description STRING, owner STRING, pii STRING, retention
 QUALITY = "STRUCT<status: STRING, report_uri: STRING, failed_checks: ARRAY<STRING>, recorded_at: TIMESTAMP>"
 VERSIONS = (
     "dataset STRING, version INT, row_count BIGINT, splits MAP<STRING, BIGINT>, storage_uri STRING, git_commit STRING, "
-    f"created_by STRING, created_at TIMESTAMP, quality {QUALITY}, frozen BOOLEAN, frozen_at TIMESTAMP"
+    f"created_by STRING, created_at TIMESTAMP, quality {QUALITY}, frozen BOOLEAN, frozen_at TIMESTAMP, fingerprint STRING"
 )
 VERSION_SOURCES = "dataset STRING, version INT, pos INT, source_id STRING"
 ACTIONS = (

@@ -34,7 +34,9 @@ def empty_catalog(spark: SparkSession) -> dict[str, DataFrame]:
 def import_catalog_snapshot(spark: SparkSession, path: str, multiline: bool = True) -> dict[str, DataFrame]:
     """Catalog tables from JSON snapshots: one document per file, or one per line.
 
-    A missing path is an empty catalog; unreadable text is an error.
+    A missing path is an empty catalog; unreadable text is an error. A document
+    is one value and is read by one task: this migrates catalogs that one
+    process could hold, larger ones come as one document per line.
     """
     reader = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", str(multiline).lower()).option("mode", "FAILFAST")
     try:
@@ -65,24 +67,33 @@ def published_state(spark: SparkSession, root: str) -> int:
     return marks.agg(F.max("state")).first()[0] or 0
 
 
-def save_catalog(tables: Mapping[str, DataFrame], root: str) -> int:
-    """Write all tables as the next state, then publish it with one small marker.
+def save_catalog(changes: Mapping[str, DataFrame], root: str) -> int:
+    """Append the rows of one run to their tables, then publish them with one small marker.
 
-    Readers only look at published states, so a job that dies half-way changes
-    nothing for them. One writer at a time.
+    A run writes its own rows only: new sources, citations and actions, and the
+    new state of the versions it created or changed. Readers only look at
+    published runs, so a job that dies half-way changes nothing for them, and
+    its successor takes the same number and replaces its files. One writer at a time.
     """
-    spark = next(iter(tables.values())).sparkSession
+    spark = next(iter(changes.values())).sparkSession
     state = published_state(spark, root) + 1
-    for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{root}/states/{state}/{name}")
+    for name in schemas.CATALOG:
+        rows = changes.get(name, spark.createDataFrame([], schemas.CATALOG[name]))
+        rows.write.mode("overwrite").parquet(f"{root}/{name}/run={state}")
     mark = spark.range(1).select(F.lit(state).alias("state")).coalesce(1)
     mark.write.mode("append").parquet(f"{root}/published")
     return state
 
 
 def load_catalog(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The newest published tables, or an empty catalog."""
+    """The published tables, or an empty catalog. Of a version's states, the newest counts."""
     state = published_state(spark, root)
     if state == 0:
         return empty_catalog(spark)
-    return {name: spark.read.schema(ddl).parquet(f"{root}/states/{state}/{name}") for name, ddl in schemas.CATALOG.items()}
+    found = {}
+    for name, ddl in schemas.CATALOG.items():
+        rows = spark.read.schema(f"{ddl}, run INT").option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
+        found[name] = rows.filter(F.col("run") <= state)
+    newest = found["versions"].groupBy("dataset", "version").agg(F.max("run").alias("run"))
+    found["versions"] = found["versions"].join(newest, ["dataset", "version", "run"], "left_semi")
+    return {name: rows.drop("run") for name, rows in found.items()}

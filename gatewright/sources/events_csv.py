@@ -3,48 +3,57 @@
 from __future__ import annotations
 
 import csv
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from urllib.parse import unquote
 
-import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatewright.functions.numbers import parse_number
 from gatewright.operators.build import union_by_name
 
-_HEAD_BYTES = 1 << 16
 FILE_ORDER = ("source_uri", "source_block", "source_row")
 
 
-def _first_line(path: str) -> str:
-    if "://" not in path:
-        path = "file://" + path.removeprefix("file:")
-    system, name = fs.FileSystem.from_uri(path)
-    with system.open_input_file(name) as handle:
-        head = b""
-        while b"\n" not in head:
-            block = handle.read(_HEAD_BYTES)
-            if not block:
-                break
-            head += block
-    return head.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+class NoHeader(ValueError):
+    """A file without any line that could be its header."""
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(header=[_first_line(p) for p in batch["path"]])
+def header_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``file, header``: the first line of each file that is not blank, read by Spark's own file systems.
+
+    Blank lines before the header are skipped, as the CSV reader does. Files
+    without any such line have no row.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+    )
+    filled = lines.filter(F.trim(F.regexp_replace("value", "^\ufeff", "")) != "")
+    first = filled.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return first.select("file", F.regexp_replace("header", "^\ufeff|\r$", "").alias("header"))
 
 
 def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """File paths by header layout. Tasks read the head of each file; the driver gets one line per listed path."""
-    listing = spark.createDataFrame([(p,) for p in paths], "path string")
-    heads = listing.repartition(max(1, min(len(paths) // 16, 1000))).mapInPandas(_headers, "path string, header string")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in heads.collect():
-        groups[tuple(next(csv.reader([row.header]), []))].append(row.path)
-    return {header: sorted(found) for header, found in sorted(groups.items()) if header}
+    """File paths by header layout.
+
+    The driver gets one row per layout; file names come back only if there are several, since the reader of
+    each layout needs its own.
+    """
+    heads = header_lines(spark, paths).persist()
+    try:
+        layouts = {r.header: r.files for r in heads.groupBy("header").agg(F.count(F.lit(1)).alias("files")).collect()}
+        if sum(layouts.values()) < len(set(paths)):
+            raise NoHeader(f"{len(set(paths)) - sum(layouts.values())} of {len(set(paths))} files have no header")
+        if len(layouts) == 1:
+            found = {next(iter(layouts)): sorted(set(paths))}
+        else:
+            found = {h: sorted(unquote(r.file) for r in heads.filter(F.col("header") == h).select("file").collect()) for h in layouts}
+    finally:
+        heads.unpersist()
+    return {tuple(next(csv.reader([header]))): files for header, files in sorted(found.items())}
 
 
 def read_events_csv(spark: SparkSession, paths: Sequence[str], numeric: Sequence[str] = ("confidence",)) -> DataFrame:
@@ -54,7 +63,7 @@ def read_events_csv(spark: SparkSession, paths: Sequence[str], numeric: Sequence
     shift values, and a column missing from a file is null there. Fields stay
     text (an empty field is null); ``numeric`` columns become doubles, null
     where the text is no number. ``source_block`` and ``source_row`` give the
-    rows of a file their order.
+    rows of a file their order. A file without a header is an error.
     """
     if not paths:
         raise ValueError("no files to read")
@@ -71,7 +80,7 @@ def read_events_csv(spark: SparkSession, paths: Sequence[str], numeric: Sequence
             )
         )
     table = union_by_name(frames)
-    return table.withColumns({c: F.col(c).try_cast("double") for c in numeric if c in table.columns})
+    return table.withColumns({c: parse_number(F.col(c)) for c in numeric if c in table.columns})
 
 
 def add_source_uri(df: DataFrame, column: str = "source_uri") -> DataFrame:

@@ -160,3 +160,64 @@ def test_daily_build(spark, tmp_path):
     report = spark.read.json(dirty.report_uri)
     assert sorted(r.unexpected_count for r in report.filter("not success").collect()) == [3, 3, 6]
     assert curated.read_curated(spark, root + "/curated", "gate-reads", 2).select(*READ_KEY).distinct().count() == 606
+
+
+def test_reader_skips_blank_lines_and_wants_a_header(spark, tmp_path):
+    folder = tmp_path / "a day"
+    folder.mkdir()
+    (folder / "a b.csv").write_text("\n  \nplate,camera_id,confidence\nAA 1,c1,0.5f\n")
+    (folder / "c.csv").write_text("﻿confidence,plate,camera_id\n0.25,BB 2,c2\n\n")
+    (folder / "d%20.csv").write_text("plate,confidence\nCC 3,1e0\n")
+    rows = events_csv.read_events_csv(spark, [str(folder / n) for n in ("a b.csv", "c.csv", "d%20.csv")]).collect()
+    assert sorted((r.plate, r.camera_id, r.confidence) for r in rows) == [("AA 1", "c1", None), ("BB 2", "c2", 0.25), ("CC 3", None, 1.0)]
+    (folder / "empty.csv").write_text("\n\n")
+    with pytest.raises(events_csv.NoHeader):
+        events_csv.read_events_csv(spark, [str(folder / "c.csv"), str(folder / "empty.csv")])
+
+
+def test_curated_csv_is_read_back(spark, tmp_path):
+    df = spark.createDataFrame([("001", "x,y")], "a string, b string")
+    curated.write_curated(df, str(tmp_path), "d", 1, "csv")
+    assert curated.read_curated(spark, str(tmp_path), "d", 1, file_format="csv").collect() == df.collect()
+
+
+def raw_day(tmp_path, rows=40):
+    folder = tmp_path / "raw" / "alpr" / "2026-09-01" / "gate"
+    folder.mkdir(parents=True)
+    lines = [f"AB {i:04d},cam-1,gate,2026-09-01T00:00:{i % 60:02d}Z,0.9,in" for i in range(rows)]
+    (folder / "cam-1.csv").write_text("plate,camera_id,site,captured_at,confidence,direction\n" + "\n".join([*lines, lines[0]]) + "\n")
+    return str(tmp_path / "raw")
+
+
+def test_build_after_a_run_that_died(spark, tmp_path):
+    from gatewright.plans.daily_build import build_day
+    from gatewright.sources.catalog_store import load_catalog
+
+    raw, root = raw_day(tmp_path), str(tmp_path / "lake")
+    spark.range(3).write.parquet(curated.curated_path(f"{root}/curated", "reads", 1))
+    spark.range(3).write.json(curated.report_path(f"{root}/curated", "reads", 1))
+    spark.range(3).write.parquet(f"{root}/catalog/actions/run=1")
+    done = build_day(spark, raw, "2026-09-01", root, "reads", now="2026-09-01 23:00:00", max_rows=None)
+    assert (done.version, done.row_count, done.duplicates_removed, done.frozen) == (1, 40, 1, True)
+    stored = load_catalog(spark, f"{root}/catalog")
+    assert stored["versions"].first().fingerprint and stored["actions"].count() == 2
+    bounded = build_day(spark, raw, "2026-09-01", root, "reads", now="2026-09-02 23:00:00", max_rows=39)
+    assert bounded.version == 2 and not bounded.frozen
+    assert len(list((tmp_path / "lake" / "catalog" / "sources" / "run=2").glob("*.parquet"))) <= 1
+
+
+def test_build_leaves_an_imported_version_alone(spark, tmp_path):
+    import json
+
+    from gatewright.plans.daily_build import build_day
+    from gatewright.sources import catalog_store
+
+    held = {"dataset": "old", "version": 1, "source_ids": [], "row_count": 7, "frozen": True, "frozen_at": "2026-01-01T00:00:00Z",
+            "quality": {"status": "passed", "report_uri": "r", "failed_checks": [], "recorded_at": "2026-01-01T00:00:00Z"}}
+    (tmp_path / "snapshot.json").write_text(json.dumps({"sources": {}, "datasets": {}, "versions": {"old": [held]}}))
+    root = str(tmp_path / "lake")
+    catalog_store.save_catalog(catalog_store.import_catalog_snapshot(spark, str(tmp_path / "snapshot.json")), f"{root}/catalog")
+    before = catalog_store.load_catalog(spark, f"{root}/catalog")["versions"].filter("dataset = 'old'").collect()
+    build_day(spark, raw_day(tmp_path), "2026-09-01", root, "reads", now="2026-09-01 23:00:00")
+    after = catalog_store.load_catalog(spark, f"{root}/catalog")["versions"].filter("dataset = 'old'").collect()
+    assert before == after and after[0].frozen and after[0].quality.status == "passed"

@@ -177,7 +177,47 @@ def test_missing_snapshot_is_empty_and_bad_text_fails(spark, tmp_path):
 def test_unpublished_state_is_invisible(spark, tmp_path):
     root = str(tmp_path)
     tables = catalog_store.empty_catalog(spark)
-    spark.range(1).write.parquet(f"{root}/states/1/sources")
+    spark.range(1).write.parquet(f"{root}/sources/run=1")
     assert catalog_store.published_state(spark, root) == 0
     assert catalog_store.save_catalog(tables, root) == 1 and catalog_store.save_catalog(tables, root) == 2
     assert catalog_store.published_state(spark, root) == 2
+
+
+STORED = "dataset string, version int, quality struct<status: string, report_uri: string>, frozen boolean, frozen_at timestamp"
+
+
+def test_fold_starts_from_the_stored_state(spark):
+    versions = spark.createDataFrame(
+        [("d", 1, ("passed", "r1"), True, T0), ("d", 2, ("passed", "r2"), False, None), ("d", 3, ("failed", "r3"), False, None), ("d", 4, None, None, None)], STORED
+    )
+    steps = [(1, "quality", "failed"), (1, "freeze", None), (2, "freeze", None), (2, "quality", "failed"), (3, "freeze", None), (4, "freeze", None)]
+    actions = spark.createDataFrame([("d", v, T0 + timedelta(days=9, hours=i), i, a, s) for i, (v, a, s) in enumerate(steps)], LOG)
+    outcomes = {r.seq: r.outcome for r in catalog.fold_actions(actions, versions, chunk_seconds=3600).collect()}
+    assert outcomes == {0: "frozen", 1: "ok", 2: "ok", 3: "frozen", 4: "quality_not_passed", 5: "quality_not_passed"}
+    state = {r.version: r for r in catalog.catalog_fold(actions, versions).collect()}
+    assert {v: (r.frozen, r.frozen_at) for v, r in state.items()} == {
+        1: (True, T0), 2: (True, T0 + timedelta(days=9, hours=2)), 3: (False, None), 4: (False, None)
+    }
+    assert {v: r.quality and tuple(r.quality) for v, r in state.items()} == {1: ("passed", "r1"), 2: ("passed", "r2"), 3: ("failed", "r3"), 4: None}
+    assert sorted(r.version for r in catalog.freezable_versions(versions.fillna(False, ["frozen"])).collect()) == [2]
+
+
+def test_folding_in_two_runs_equals_one(spark):
+    rng = random.Random(5)
+    rows = [("d", rng.randrange(1, 9), T0 + timedelta(hours=i), i, *rng.choice([("quality", "passed"), ("quality", "failed"), ("freeze", None)])) for i in range(120)]
+    versions = spark.createDataFrame([("d", v) for v in range(1, 9)], "dataset string, version int")
+    whole = catalog.catalog_fold(spark.createDataFrame(rows, LOG), versions)
+    half = catalog.catalog_fold(spark.createDataFrame(rows[:60], LOG), versions)
+    both = catalog.catalog_fold(spark.createDataFrame(rows[60:], LOG), half)
+    columns = ["version", "quality", "frozen", "frozen_at"]
+    assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, both.select(columns).collect()))
+
+
+def test_empty_names_are_bad_requests(spark):
+    new = spark.createDataFrame([(None, 1), ("", 2), ("a", 3)], "name string, o int")
+    found = {r.o: r.outcome for r in catalog.create_datasets(new, new.limit(0), ["o"]).collect()}
+    assert found == {1: "bad_request", 2: "bad_request", 3: "created"}
+    listed = spark.createDataFrame([(None, 1), ("", 2), ("u", 3)], "uri string, n int")
+    known = spark.createDataFrame([], "id string, uri string")
+    rows = {r.n: (r.id is None, r.created) for r in catalog.register_sources(listed, known, ["n"]).collect()}
+    assert rows == {1: (True, False), 2: (True, False), 3: (False, True)}
