@@ -26,6 +26,8 @@ from gatewright.operators.metrics import DAY, HOUR, SECOND, counter_increase, co
 _OPS = {"==": operator.eq, "!=": operator.ne, ">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
 
 MINUTE = 60
+# How long a sample speaks for its series: after that the series counts as absent, which resets an alert.
+LOOKBACK = 5 * MINUTE
 
 # Severity and summary text of each rule.
 API_DOWN = ("critical", "dataset-api is not being scraped")
@@ -159,8 +161,8 @@ def fire(
     )
 
 
-def alert_api_down(up: DataFrame, keys: Sequence[str], for_seconds: int = 2 * MINUTE, max_gap_seconds: int | None = None) -> DataFrame:
-    """A scrape target reports ``up == 0``."""
+def alert_api_down(up: DataFrame, keys: Sequence[str], for_seconds: int = 2 * MINUTE, max_gap_seconds: int | None = LOOKBACK) -> DataFrame:
+    """A scrape target reports ``up == 0``. A silence longer than ``max_gap_seconds`` ends a run."""
     return fire(up, keys, "value", "==", 0.0, for_seconds, API_DOWN, max_gap_seconds)
 
 
@@ -217,8 +219,8 @@ def alert_freeze_blocked(
     return fire(grown, keys, "increase", ">", limit, for_seconds, FREEZE_BLOCKED, step_seconds)
 
 
-def alert_drift(scores: DataFrame, limit: float = 0.3, for_seconds: int = 15 * MINUTE, max_gap_seconds: int | None = None) -> DataFrame:
-    """Drift score of a (feature, model) above the limit."""
+def alert_drift(scores: DataFrame, limit: float = 0.3, for_seconds: int = 15 * MINUTE, max_gap_seconds: int | None = LOOKBACK) -> DataFrame:
+    """Drift score of a (feature, model) above the limit. A silence longer than ``max_gap_seconds`` ends a run."""
     return fire(scores, ["feature", "model"], "value", ">", limit, for_seconds, DRIFT, max_gap_seconds)
 
 

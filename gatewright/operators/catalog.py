@@ -223,7 +223,7 @@ def catalog_fold(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     held = versions.withColumns(
         {
             "__held_quality": F.col("quality") if "quality" in versions.columns else F.lit(None),
-            "__held_at": F.col("frozen_at") if "frozen_at" in versions.columns else F.lit(None).cast("timestamp"),
+            "__held_at": F.col("frozen_at") if "frozen_at" in versions.columns else F.lit(None),
             "__held_frozen": stored_frozen(versions),
         }
     )
@@ -232,7 +232,7 @@ def catalog_fold(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     return joined.withColumns(
         {
             "quality": quality,
-            "frozen_at": F.coalesce("__held_at", "__frozen_at"),
+            "frozen_at": F.coalesce("__held_at", "__frozen_at") if "frozen_at" in versions.columns else F.col("__frozen_at"),
             "frozen": F.col("__held_frozen") | F.col("__frozen_at").isNotNull(),
         }
     ).drop("__quality", "__frozen_at", "__held_quality", "__held_at", "__held_frozen")

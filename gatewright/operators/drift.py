@@ -11,14 +11,10 @@ from gatewright.functions.chunks import ordered_scan
 
 _BLOCK = 16
 SLICES = _BLOCK * _BLOCK
-# Bounds what is broadcast: one row with SLICES numbers per feature.
-MAX_FEATURES = 1_000
 
 
 def _pairs(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """One row per (feature, value) of every input row, missing values left out."""
-    if len(features) > MAX_FEATURES:
-        raise ValueError(f"at most {MAX_FEATURES} features at a time")
     pairs = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features]))
     return df.select(*by, pairs).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
@@ -29,8 +25,9 @@ def quantile_edges(counts: DataFrame, bins: int) -> DataFrame:
     ``counts`` has one row per (feature, value) with its number ``n``. Exact and
     distributed: distinct values are scanned in order, each feature cut into
     slices of about equal size. The cuts are approximate quantiles, which only
-    decide the balance; they are fetched first (``SLICES`` numbers per feature)
-    so that every part of the plan uses the same ones.
+    decide the balance; they are fetched first, by a job that runs when this is
+    called, so that every part of the plan uses the same ones. That is ``SLICES``
+    numbers for each feature the caller lists, however many rows there are.
     """
     points = [i / SLICES for i in range(1, SLICES)]
     found = counts.groupBy("feature").agg(F.sum("n").alias("total"), F.percentile_approx("v", points, 10_000).alias("cuts"))
@@ -41,7 +38,7 @@ def quantile_edges(counts: DataFrame, bins: int) -> DataFrame:
         return F.size(F.filter(cuts, lambda cut: cut < F.col("v")))
 
     # First the block, then the place among its cuts.
-    placed = counts.join(F.broadcast(whole), "feature").withColumn("slice", below(F.col("blocks")))
+    placed = counts.join(whole, "feature").withColumn("slice", below(F.col("blocks")))
     inside = below(F.slice("cuts", F.col("slice") * _BLOCK + 1, F.lit(_BLOCK - 1)))
     placed = placed.withColumn("slice", (F.col("slice") * _BLOCK + inside).cast("bigint")).drop("blocks", "cuts")
     ranked = ordered_scan(placed, ["feature"], ["v"], F.col("slice"), sum_upto={"upto": F.col("n")})
@@ -69,10 +66,11 @@ def psi(
 
     Bins follow the expected data's quantiles; only finding them shuffles
     values, everything else is counted per bin before the shuffle. Empty shares
-    are lifted to ``floor``. What is broadcast has one row per listed feature.
+    are lifted to ``floor``. Any number of features may be listed; their edges,
+    a row each, are broadcast when Spark finds them small enough.
     """
     baseline = _pairs(expected, features).groupBy("feature", "v").agg(F.count(F.lit(1)).alias("n"))
-    edges = F.broadcast(quantile_edges(baseline, bins))
+    edges = quantile_edges(baseline, bins)
 
     def shares(values: DataFrame, groups: Sequence[str], number: Column, name: str) -> DataFrame:
         binned = values.join(edges, "feature").withColumns({"bin": _bin(bins), "n": number})
@@ -81,7 +79,7 @@ def psi(
         return binned.groupBy(*groups, "feature").agg(F.array(*lifted).alias(name))
 
     observed = shares(_pairs(actual, features, by), by, F.lit(1), "actual")
-    joined = observed.join(F.broadcast(shares(baseline, [], F.col("n"), "expected")), "feature")
+    joined = observed.join(shares(baseline, [], F.col("n"), "expected"), "feature")
     terms = F.zip_with("actual", "expected", lambda a, e: (a - e) * F.log(a / e))
     score = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
     return joined.select(*by, "feature", score.alias("psi"), (score > limit).alias("drifted"))

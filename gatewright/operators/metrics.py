@@ -150,15 +150,16 @@ def counter_increase(
     ``t`` runs over the series' own sample times, or with ``step_seconds`` over
     a regular grid, which makes results of different series line up.
 
-    Series are cut into time chunks and every sample is also given to a later
-    chunk whose windows can still see it, so one series spreads over many tasks
-    at one shuffle. Inside a chunk each sample contributes the times it answers
+    Series are cut into time chunks and every sample is also given to the later
+    chunks whose windows can still see it, so one series spreads over many tasks
+    at one shuffle. ``chunk_seconds`` may be shorter than the window: a hot series
+    then fills more tasks, and a sample is copied ``window / chunk`` times. Inside a chunk each sample contributes the times it answers
     and the time it becomes the oldest sample in the window, which is when the
     sample before it leaves. The latest such time at or before ``t`` names the
     first sample of the window, so the cost per sample does not grow with it.
     """
     window = window_seconds * SECOND
-    width = max(chunk_seconds or HOUR, 4 * window_seconds) * SECOND
+    width = (chunk_seconds or max(HOUR, 4 * window_seconds)) * SECOND
 
     t = F.col("__t")
     home = F.floor(t / F.lit(width)).cast("bigint")

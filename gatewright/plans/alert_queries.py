@@ -33,6 +33,8 @@ from gatewright.plans.registry import Tables, query
 
 DAY = 24 * HOUR
 STEP = GRID[1]
+# Events of a user are hours apart, so a silence is longer here than between scrapes.
+SILENCE = 12 * HOUR
 
 
 def sustained_sql(source: str, keys: str, condition: str, seconds: int, gap: int | None = None) -> str:
@@ -80,9 +82,9 @@ def up_samples(t: Tables) -> DataFrame:
     return t.events.select("user_id", "ts", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"))
 
 
-@query(fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "'dataset-api is not being scraped'"))
+@query(fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "'dataset-api is not being scraped'", SILENCE))
 def alert_api_down(t: Tables) -> DataFrame:
-    return tidy(alerts.alert_api_down(up_samples(t), ["user_id"], 2 * HOUR))
+    return tidy(alerts.alert_api_down(up_samples(t), ["user_id"], 2 * HOUR, SILENCE))
 
 
 @query(
@@ -200,11 +202,11 @@ p AS (SELECT service, {', '.join(f"max({v}) FILTER (role = '{side}') AS {side}_{
 SELECT service, {', '.join(f'round({side}_{v}, 6) AS {side}_{v}' for side in ('champion', 'contender') for v in ('requests', 'error_rate', 'p95'))},
   CASE WHEN coalesce(contender_requests, 0) < 230 OR contender_error_rate IS NULL OR champion_error_rate IS NULL THEN 'HOLD'
     WHEN contender_error_rate > champion_error_rate + 0.01 OR coalesce(contender_p95 > champion_p95 * 1.01, false) THEN 'ROLLBACK' ELSE 'PROMOTE' END AS decision,
-  CASE WHEN coalesce(contender_requests, 0) < 230 THEN printf('only %.2f requests, need 230', coalesce(contender_requests, 0))
-    WHEN contender_error_rate IS NULL OR champion_error_rate IS NULL THEN 'no error rate for one of the revisions'
-    WHEN contender_error_rate > champion_error_rate + 0.01 THEN printf('contender error rate %.4f exceeds champion %.4f + 0.01', contender_error_rate, champion_error_rate)
-    WHEN coalesce(contender_p95 > champion_p95 * 1.01, false) THEN printf('contender p95 %.1f exceeds champion %.1f by more than 1%%', contender_p95, champion_p95)
-    ELSE 'contender within error and latency budget' END AS reason
+  CASE WHEN coalesce(contender_requests, 0) < 230 THEN printf('%.2f requests to the contender, fewer than 230', coalesce(contender_requests, 0))
+    WHEN contender_error_rate IS NULL OR champion_error_rate IS NULL THEN 'contender or champion has no error rate'
+    WHEN contender_error_rate > champion_error_rate + 0.01 THEN printf('errors: %.4f of the contender''s requests, %.4f of the champion''s, 0.01 more allowed', contender_error_rate, champion_error_rate)
+    WHEN coalesce(contender_p95 > champion_p95 * 1.01, false) THEN printf('latency: p95 %.1f of the contender, %.1f of the champion, factor 1.01 allowed', contender_p95, champion_p95)
+    ELSE 'errors and latency as good as the champion''s' END AS reason
 FROM p"""
 )
 def promotion_verdict(t: Tables) -> DataFrame:

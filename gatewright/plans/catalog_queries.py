@@ -145,13 +145,18 @@ LOG_SQL = """(SELECT event_id AS seq, ts, 'set-' || (user_id % 5)::VARCHAR AS da
     WHEN event_type = 'view' THEN 'maybe' ELSE 'passed' END AS status
   FROM events WHERE event_type <> 'click')"""
 
+# The catalog already holds some versions frozen, some judged and the rest untouched.
+STORED_SQL = """(SELECT s_suppkey::INTEGER AS version, s_suppkey % 7 = 0 AS was_frozen,
+  CASE WHEN s_suppkey % 7 < 2 THEN 'passed' WHEN s_suppkey % 7 = 2 THEN 'failed' END AS was FROM supplier)"""
+
 FOLD_SQL = f"""
-WITH a AS (SELECT *, action = 'quality' AND status IN ('passed', 'failed') AS valid FROM {LOG_SQL}),
-p AS (SELECT *, last_value(CASE WHEN known AND valid THEN status END IGNORE NULLS) OVER (
-    PARTITION BY dataset, version ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM a),
+WITH a AS (SELECT l.*, coalesce(was_frozen, false) AS was_frozen, was, action = 'quality' AND status IN ('passed', 'failed') AS valid
+  FROM {LOG_SQL} l LEFT JOIN {STORED_SQL} USING (version)),
+p AS (SELECT *, coalesce(last_value(CASE WHEN known AND valid AND NOT was_frozen THEN status END IGNORE NULLS) OVER (
+    PARTITION BY dataset, version ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), was) AS prior FROM a),
 f AS (SELECT dataset, version, min((ts, seq)) AS first_ok, min(ts) AS frozen_at FROM p
   WHERE known AND action = 'freeze' AND prior = 'passed' GROUP BY ALL),
-folded AS (SELECT p.*, f.frozen_at, (ts, seq) > first_ok AS after FROM p LEFT JOIN f USING (dataset, version)),
+folded AS (SELECT p.*, f.frozen_at, was_frozen OR coalesce((ts, seq) > first_ok, false) AS after FROM p LEFT JOIN f USING (dataset, version)),
 outcomes AS (SELECT *, CASE
   WHEN action = 'quality' AND NOT coalesce(valid, false) THEN 'bad_request'
   WHEN NOT known THEN 'not_found'
@@ -178,7 +183,16 @@ def log_dataset(user: str) -> Column:
 
 
 def log_versions(t: Tables) -> DataFrame:
-    return t.supplier.select(log_dataset("s_suppkey").alias("dataset"), F.col("s_suppkey").cast("int").alias("version"))
+    """A version per supplier, with the state that the catalog holds before the log."""
+    third, at = F.col("s_suppkey") % 7, lambda day: F.lit(day).cast("timestamp_ntz")
+    judged = F.struct(F.when(third < 2, "passed").otherwise("failed").alias("status"), at("2023-12-30").alias("recorded_at"))
+    return t.supplier.select(
+        log_dataset("s_suppkey").alias("dataset"),
+        F.col("s_suppkey").cast("int").alias("version"),
+        F.when(third < 3, judged).alias("quality"),
+        (third == 0).alias("frozen"),
+        F.when(third == 0, at("2023-12-31")).alias("frozen_at"),
+    )
 
 
 @query(f"{FOLD_SQL} SELECT seq, ts, version, status, outcome FROM outcomes WHERE action = 'quality'")
@@ -191,11 +205,14 @@ def freeze_gate(t: Tables) -> DataFrame:
     return catalog.freeze_gate(action_log(t), log_versions(t)).select("seq", "ts", "version", "prior_status", "outcome")
 
 
-STATE_SQL = f"""{FOLD_SQL}, state AS (SELECT s_suppkey::INTEGER AS version,
+STATE_SQL = f"""{FOLD_SQL}, late AS (SELECT version,
   arg_max(status, (ts, seq)) FILTER (action = 'quality' AND outcome = 'ok') AS status,
   arg_max(ts, (ts, seq)) FILTER (action = 'quality' AND outcome = 'ok') AS recorded_at,
-  max(frozen_at) FILTER (known) IS NOT NULL AS frozen, max(frozen_at) FILTER (known) AS frozen_at
-  FROM supplier LEFT JOIN outcomes ON version = s_suppkey GROUP BY 1)"""
+  max(frozen_at) FILTER (known) AS frozen_at FROM outcomes GROUP BY 1),
+state AS (SELECT version, coalesce(status, was) AS status,
+  coalesce(recorded_at, CASE WHEN was IS NOT NULL THEN TIMESTAMP '2023-12-30' END) AS recorded_at,
+  was_frozen OR frozen_at IS NOT NULL AS frozen, CASE WHEN was_frozen THEN TIMESTAMP '2023-12-31' ELSE frozen_at END AS frozen_at
+  FROM {STORED_SQL} LEFT JOIN late USING (version))"""
 
 
 def state(t: Tables) -> DataFrame:

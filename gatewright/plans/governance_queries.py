@@ -109,18 +109,23 @@ def told(df: DataFrame, messages: Column) -> DataFrame:
     return df.select("p_partkey", F.explode(F.array_distinct(messages)).alias("message"))
 
 
-REGISTRY_SQL = f"""SELECT DISTINCT p_partkey, 'image "' || image || '" is not from the approved registry {REGISTRY.rstrip('/')}' AS message
+def text_sql(text: str, *values: str) -> str:
+    """SQL for a denial text with its placeholders filled."""
+    return "'" + text.replace("%s", "{}").format(*[f"' || {v} || '" for v in values]) + "'"
+
+
+REGISTRY_SQL = f"""SELECT DISTINCT p_partkey, {text_sql(governance.FOREIGN_IMAGE, 'image', f"'{REGISTRY.rstrip('/')}'")} AS message
   FROM {CONTAINERS_SQL} WHERE kind IN ('Deployment', 'InferenceService') AND NOT starts_with(image, '{REGISTRY}')"""
-LATEST_SQL = f"""SELECT DISTINCT p_partkey, 'image "' || image || '" uses the mutable tag :latest; use a digest or a version tag' AS message
+LATEST_SQL = f"""SELECT DISTINCT p_partkey, {text_sql(governance.MUTABLE_TAG, 'image')} AS message
   FROM {CONTAINERS_SQL} WHERE image LIKE '%:latest'"""
 NEEDED = ", ".join(f"'{a}'" for a in governance.REQUIRED_ANNOTATIONS)
 MISSING_SQL = f"""(SELECT p_partkey, kind, namespace, name FROM {FACTS_SQL}, (SELECT unnest([{NEEDED}]) AS name)
   WHERE NOT (has_annotations AND (name = '{governance.REQUIRED_ANNOTATIONS[0]}' OR (name = '{governance.REQUIRED_ANNOTATIONS[2]}' AND has_card))))"""
-PROVENANCE_SQL = f"""SELECT p_partkey, 'production InferenceService is missing required annotation "' || name || '"' AS message
+PROVENANCE_SQL = f"""SELECT p_partkey, {text_sql(governance.MISSING_ANNOTATION, 'name')} AS message
   FROM {MISSING_SQL} WHERE kind = 'InferenceService' AND namespace = 'models-prod'"""
-MEMORY_SQL = f"""SELECT DISTINCT p_partkey, 'container "' || container || '" has no memory limit' AS message
+MEMORY_SQL = f"""SELECT DISTINCT p_partkey, {text_sql(governance.NO_MEMORY_LIMIT, 'container')} AS message
   FROM {CONTAINERS_SQL} WHERE memory_limit IS NULL"""
-ROOT_SQL = f"""SELECT p_partkey, 'pod securityContext must set runAsNonRoot: true' AS message
+ROOT_SQL = f"""SELECT p_partkey, {text_sql(governance.MAY_RUN_AS_ROOT)} AS message
   FROM {FACTS_SQL} WHERE kind = 'Deployment' AND NOT coalesce(non_root, false)"""
 
 

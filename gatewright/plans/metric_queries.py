@@ -89,31 +89,27 @@ def metric_label_filter(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT event_id, 'host-' || (user_id % 5)::VARCHAR || CASE WHEN event_type IN ('click', 'view')
-      THEN ':' || (9000 + user_id)::VARCHAR ELSE CASE WHEN user_id % 2 = 0 THEN ':80' ELSE '' END END AS address,
-    CASE WHEN event_type = 'view' THEN '/stats' ELSE '/metrics' END AS metrics_path,
-    event_type AS namespace, 'pod-' || user_id::VARCHAR AS pod FROM events WHERE user_id % 3 <> 0"""
+    """SELECT event_id, 'rack' || user_id % 4 || '-' || user_id % 5 AS place, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS family,
+    'box' || user_id % 5 AS box, event_type AS team, 'box' || user_id % 5 AS host
+    FROM events WHERE event_type IN ('click', 'signup')"""
 )
 def relabel(t: Tables) -> DataFrame:
-    user, kind = F.col("user_id"), F.col("event_type")
+    user = F.col("user_id")
     targets = t.events.select(
         "event_id",
-        F.concat(F.lit("host-"), (user % 5).cast("string"), F.when(user % 2 == 0, ":80").otherwise("")).alias("address"),
-        F.lit("/metrics").alias("metrics_path"),
-        F.when(user % 3 != 0, "true").otherwise("false").alias("meta_scrape"),
-        F.when(kind == "view", "/stats").otherwise("").alias("meta_path"),
-        F.when(kind.isin("click", "view"), (9000 + user).cast("string")).otherwise("").alias("meta_port"),
-        kind.alias("meta_namespace"),
-        F.concat(F.lit("pod-"), user.cast("string")).alias("meta_pod"),
+        F.concat(F.lit("z"), (user % 4).cast("string")).alias("zone"),
+        F.concat(F.lit("box"), (user % 5).cast("string")).alias("box"),
+        F.when(user % 2 == 0, "even_small").otherwise("odd_large").alias("flavour"),
+        F.col("event_type").alias("team"),
     )
     rules = [
-        labels.Relabel(("meta_scrape",), "true", "keep"),
-        labels.Relabel(("meta_path",), "(.+)", target="metrics_path"),
-        labels.Relabel(("address", "meta_port"), r"([^:]+)(?::\d+)?;(\d+)", target="address", replacement="$1:$2"),
-        labels.Relabel(("meta_namespace",), target="namespace"),
-        labels.Relabel(("meta_pod",), target="pod"),
+        labels.Relabel(("zone", "box"), r"z(\d);box(\d)", target="place", replacement="rack$1-$2"),
+        labels.Relabel(("team",), "click|sign.*", "keep"),
+        labels.Relabel(("flavour",), "([a-z]+)_.*", target="family"),
+        labels.Relabel(("team",), "nobody", target="box", replacement="none"),
+        labels.Relabel(("box",), target="host"),
     ]
-    return labels.relabel(targets, rules).select("event_id", "address", "metrics_path", "namespace", "pod")
+    return labels.relabel(targets, rules).select("event_id", "place", "family", "box", "team", "host")
 
 
 @query("SELECT c_custkey, greatest(c_acctbal, 0.001) AS balance FROM customer")

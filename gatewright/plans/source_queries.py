@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright import schemas
@@ -30,10 +30,17 @@ def raw_files(t: Tables) -> str:
     return base
 
 
-@query("SELECT DISTINCT 'day=2024-01-15' AS day, 'site=' || event_type AS site, true AS filled FROM events WHERE ts::DATE = DATE '2024-01-15'")
+@query(
+    """SELECT 'day=2024-01-15' AS day, 'site=' || event_type AS site, true AS filled, true AS named
+    FROM events WHERE ts::DATE = DATE '2024-01-15' GROUP BY event_type"""
+)
 def discover_objects(t: Tables) -> DataFrame:
+    """Per site: its objects hold something, and each has the camera and key that its own path says."""
     found = objects.discover_objects(t.spark, raw_files(t), "day=2024-01-15")
-    return found.groupBy("day", "site").agg((F.min("size") > 0).alias("filled"))
+    camera = F.regexp_extract("uri", r"([^/]*)\.csv\z", 1)
+    key = F.concat(F.lit("alpr/"), "day", F.lit("/"), "site", F.lit("/"), camera, F.lit(".csv"))
+    named = (F.col("camera_id") == camera) & (F.col("object") == key) & F.col("uri").endswith(key)
+    return found.groupBy("day", "site").agg((F.min("size") > 0).alias("filled"), F.bool_and(named).alias("named"))
 
 
 READS_SQL = "SELECT '0' || user_id::VARCHAR AS plate, 'cam-' || (user_id % 7)::VARCHAR AS camera_id, value AS confidence"
@@ -128,20 +135,36 @@ def save_catalog(t: Tables) -> DataFrame:
     return joined_catalog(catalog_store.load_catalog(t.spark, root))
 
 
+FILES = 4
+
+
+def arriving_files(df: DataFrame, path: str, number: Column) -> str:
+    """``df`` written as ``FILES`` files one after the other, each row in file ``number``, as an upstream job would."""
+    for k in range(FILES):
+        df.filter(number == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def out_of_order(row: Column) -> Column:
+    """Number of the file a row of January 2024 arrives in: by time, but up to 40 minutes late at the borders."""
+    seen = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(row, F.lit(3)) * 1200
+    return F.least(F.floor((seen - 1704067200) / (8 * 86400)), F.lit(FILES - 1))
+
+
 def stored_samples(t: Tables) -> str:
-    """Request counter samples as files of the general sample schema."""
+    """Request counter samples as files of the general sample schema, some samples late."""
     path = shared_dir(t.spark, "samples")
     labels = F.create_map(
         F.lit("route"), F.col("route"), F.lit("code"), F.col("code").cast("string"), F.lit("revision"), F.col("revision").cast("string")
     )
-    request_samples(t).select(
+    rows = request_samples(t).select(
         F.lit("requests_total").alias("metric"), labels.alias("labels"), F.col("ts").cast("timestamp").alias("ts"), "value"
-    ).write.parquet(path)
-    return path
+    )
+    return arriving_files(rows, path, out_of_order(F.unix_micros("ts")))
 
 
 def request_stream(t: Tables) -> DataFrame:
-    stream = samples.samples_stream(t.spark, stored_samples(t), schemas.SAMPLES)
+    stream = samples.samples_stream(t.spark, stored_samples(t), schemas.SAMPLES, files_per_trigger=1)
     return stream.select(
         F.col("labels")["route"].alias("route"),
         F.col("labels")["code"].cast("int").alias("code"),

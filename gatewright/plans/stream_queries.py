@@ -2,32 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.operators import quality
-from gatewright.plans.alert_queries import HOUR, UP_SQL, fire_sql
+from gatewright.plans.alert_queries import HOUR, SILENCE, UP_SQL, fire_sql
 from gatewright.plans.metric_queries import SAMPLES_SQL, SERIES, grid_increase_sql
 from gatewright.plans.registry import Tables, query
-from gatewright.plans.source_queries import request_stream
+from gatewright.plans.source_queries import arriving_files, out_of_order, request_stream
 from gatewright.session import shared_dir
 from gatewright.streaming import alerts, dedup, gate, rates
 from gatewright.streaming.sinks import drain
 
 
-def event_stream(t: Tables) -> DataFrame:
-    return (
-        t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    )
+def event_stream(t: Tables, number: Column | None = None) -> DataFrame:
+    """The events as a stream of files, one micro-batch each: some late by default, or by ``number``."""
+    number = out_of_order(F.col("event_id")) if number is None else number
+    path = arriving_files(t.events, shared_dir(t.spark, "events"), number)
+    stream = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS captured_at FROM events")
+@query(
+    """WITH r AS (SELECT user_id, event_type, date_trunc('hour', ts) AS captured_at, event_id, value FROM events)
+    SELECT * FROM (SELECT DISTINCT ON (user_id, event_type, captured_at) * FROM r ORDER BY user_id, event_type, captured_at, event_id)
+    WHERE captured_at <= (SELECT max(captured_at) FROM r) - INTERVAL 2 HOUR"""
+)
 def stream_dedup(t: Tables) -> DataFrame:
-    reads = event_stream(t.for_streams()).select("user_id", "event_type", F.date_trunc("hour", "ts").alias("captured_at"))
+    reads = event_stream(t.for_streams()).select(
+        "user_id", "event_type", F.date_trunc("hour", "ts").alias("captured_at"), "event_id", "value"
+    )
     out = shared_dir(t.spark, "sink")
     drain(
-        dedup.stream_dedup(reads, ["user_id", "event_type", "captured_at"], "captured_at", "2 hours"),
+        dedup.stream_dedup(reads, ["user_id", "event_type", "captured_at"], "captured_at", "2 hours", ["event_id"]),
         out,
         shared_dir(t.spark, "checkpoint"),
     )
@@ -50,21 +57,28 @@ def stream_rate_windows(t: Tables) -> DataFrame:
 
 @query(
     """SELECT CASE WHEN count(*) FILTER (NOT (value BETWEEN 0 AND 50)) = 0 THEN 'curated' ELSE 'quarantine' END AS place,
-    count(*)::BIGINT AS "rows", count(*) FILTER (NOT (value BETWEEN 0 AND 50))::BIGINT AS bad FROM events"""
+    batch, count(*)::BIGINT AS "rows", count(*) FILTER (NOT (value BETWEEN 0 AND 50))::BIGINT AS bad
+    FROM (SELECT value, least(floor(value / 20), 3)::INTEGER AS batch FROM events) GROUP BY batch"""
 )
 def stream_quality_gate(t: Tables) -> DataFrame:
+    """Files by the size of the value: the first two pass, the others do not."""
     root = shared_dir(t.spark, "gate")
     suite = [quality.not_null("ts"), quality.between("value", 0, 50), quality.unique("event_id")]
-    gate.stream_quality_gate(event_stream(t.for_streams()), suite, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
+    stream = event_stream(t.for_streams(), F.least(F.floor(F.col("value") / 20), F.lit(3)))
+    gate.stream_quality_gate(stream, suite, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
     filed = t.spark.read.parquet(f"{root}/rows")
-    return filed.groupBy("place").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("value").between(0, 50)).alias("bad"))
+    return filed.groupBy("place", "batch").agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("value").between(0, 50)).alias("bad"))
+
+
+FIRED_SQL = fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "''", SILENCE).replace(", 'critical' AS severity, '' AS summary", "")
 
 
-@query(fire_sql(UP_SQL, "user_id", "value", "value = 0", 2 * HOUR, "critical", "''").replace(", 'critical' AS severity, '' AS summary", ""))
+@query(f"SELECT * FROM ({FIRED_SQL}) WHERE ts <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR")
 def stream_alerts(t: Tables) -> DataFrame:
     up = event_stream(t.for_streams()).select("user_id", "ts", F.when(F.col("event_type") == "error", 0.0).otherwise(1.0).alias("value"))
     root = shared_dir(t.spark, "alerts")
-    alerts.stream_alerts(up, ["user_id"], F.col("value") == 0, 2 * HOUR, root, shared_dir(t.spark, "checkpoint")).awaitTermination()
+    down = F.col("value") == 0
+    alerts.stream_alerts(up, ["user_id"], down, 2 * HOUR, root, shared_dir(t.spark, "checkpoint"), SILENCE, HOUR).awaitTermination()
     fired = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/alerts")
     return fired.select(
         "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("active_since").cast("timestamp_ntz").alias("active_since"), "value"

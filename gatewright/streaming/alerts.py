@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gatewright.functions.chunks import micros
 from gatewright.operators.alerts import evaluate_runs, held_for
+from gatewright.operators.metrics import SECOND
 
 
 def stream_alerts(
@@ -19,13 +21,19 @@ def stream_alerts(
     root: str,
     checkpoint: str,
     max_gap_seconds: int | None = None,
+    delay_seconds: int = 60,
 ) -> StreamingQuery:
     """Firing evaluations of an unbounded input, written per micro-batch to ``<root>/alerts``.
 
-    The last evaluation of every series is carried from batch to batch in
-    ``<root>/state``, one small row per series. Both folders are keyed by batch
-    id and overwritten, so a repeated batch gives the same result. Rows not
-    newer than their series' last evaluation are late and dropped.
+    Evaluations may arrive up to ``delay_seconds`` behind the newest one. They
+    are held until that time has passed and then judged in their own order, so
+    files out of order give the alerts of the batch operator. What arrives later
+    still is dropped, and evaluations of the last ``delay_seconds`` wait.
+
+    The last judged evaluation of every series is carried from batch to batch
+    (``state``, one small row per series), and so are the held ones. All folders
+    are keyed by batch id and overwritten, so a repeated batch gives the same
+    result; those of batches that can no longer be repeated are removed.
     """
     keys = list(keys)
     if not keys:
@@ -33,19 +41,34 @@ def stream_alerts(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state = None
+        state, mark = None, None
         if batch_id > 0:
             state = spark.read.parquet(f"{root}/state/{batch_id - 1}")
-            last = state.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("ts").alias("__last"))
-            same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-            fresh = F.col("__last").isNull() | (F.col("ts") > F.col("__last"))
-            batch = batch.join(last, same, "left").filter(fresh).drop("__last", *[f"__{k}" for k in keys])
-        runs = evaluate_runs(batch, keys, condition, max_gap_seconds, state=state)
-        latest = F.max_by(F.struct("ts", "is_on", "active_since"), "ts").alias("__latest")
-        runs.groupBy(*keys).agg(latest).select(*keys, "__latest.*").write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
-        new = runs if state is None else runs.filter(~F.col("__state")).drop("__state")
-        fired = new.filter(F.col("is_on") & held_for(for_seconds)).drop("is_on")
-        fired.write.mode("overwrite").parquet(f"{root}/alerts/{batch_id}")
+            mark = spark.read.parquet(f"{root}/marks/{batch_id - 1}").first()
+            held = spark.read.schema(batch.schema).parquet(f"{root}/held/{batch_id - 1}")
+            fresh = batch if mark.closed is None else batch.filter(micros("ts") > mark.closed)
+            batch = fresh.unionByName(held)
+        # The source and the held rows are evaluated once, into this table.
+        batch.write.mode("overwrite").parquet(f"{root}/seen/{batch_id}")
+        seen = spark.read.schema(batch.schema).parquet(f"{root}/seen/{batch_id}")
+        latest = [x for x in (seen.agg(F.max(micros("ts"))).first()[0], mark and mark.newest) if x is not None]
+        newest = max(latest) if latest else None
+        closed = None if newest is None else newest - delay_seconds * SECOND
+        ready = seen.filter(micros("ts") <= F.lit(closed).cast("bigint"))
+        seen.filter(micros("ts") > F.lit(closed).cast("bigint")).write.mode("overwrite").parquet(f"{root}/held/{batch_id}")
+        runs = evaluate_runs(ready, keys, condition, max_gap_seconds, state=state).persist()
+        try:
+            last = F.max_by(F.struct("ts", "is_on", "active_since"), "ts").alias("__latest")
+            runs.groupBy(*keys).agg(last).select(*keys, "__latest.*").write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
+            new = runs if state is None else runs.filter(~F.col("__state")).drop("__state")
+            fired = new.filter(F.col("is_on") & held_for(for_seconds)).drop("is_on")
+            fired.write.mode("overwrite").parquet(f"{root}/alerts/{batch_id}")
+        finally:
+            runs.unpersist()
+        marks = spark.range(1).select(F.lit(newest).cast("bigint").alias("newest"), F.lit(closed).cast("bigint").alias("closed"))
+        marks.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/{batch_id}")
+        for name in ("seen", "held", "state", "marks"):
+            _remove(spark, f"{root}/{name}/{batch_id - 2}")
 
     return (
         stream.writeStream.foreachBatch(step)
@@ -53,3 +76,8 @@ def stream_alerts(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,21 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, salts: int = 8) -> DataFrame:
-    """Keep one row per natural key; repeats may arrive up to ``delay`` late.
+def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, order: Sequence[str]) -> DataFrame:
+    """Keep the first row per natural key in ``order``; repeats may arrive up to ``delay`` late.
 
-    The event time must be part of the key, as it is for a captured read: then
-    a key whose state has expired can only return as late data, which the
-    watermark drops, and the result is the distinct keys of the input.
-
-    A key with very many copies is first deduplicated in ``salts`` places by
-    input partition, so only a few copies meet in one task. Which copies share
-    a salt does not affect the result. ``salts=1`` leaves that step out.
+    The event time must be part of the key, as it is for a captured read. A key
+    is decided when the watermark has passed its time: all its copies that count
+    have arrived by then, so the same one stays as in a batch, whatever the
+    order of arrival, and the row appears that much later. A key with very many
+    copies is reduced in every map task before the shuffle.
     """
     if event_time not in keys:
         raise ValueError(f"{event_time} must be part of the natural key")
+    rest = [c for c in stream.columns if c not in keys]
     late = stream.withWatermark(event_time, delay)
-    if salts > 1:
-        salted = late.withColumn("__salt", F.spark_partition_id() % salts)
-        late = salted.dropDuplicatesWithinWatermark([*keys, "__salt"]).drop("__salt")
-    return late.dropDuplicatesWithinWatermark(list(keys))
+    if not rest:
+        return late.groupBy(*keys).agg(F.count(F.lit(1)).alias("__copies")).select(*stream.columns)
+    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")
+    return late.groupBy(*keys).agg(first).select(*keys, "__first.*").select(*stream.columns)

@@ -22,10 +22,11 @@ def stream_rate_windows(
 ) -> DataFrame:
     """Increase and rate per series over ``(end - window, end]``, for every closed window.
 
-    Windows end every ``step_seconds``. A series has at most one sample per
-    scrape interval, so samples are first reduced to one small state per
-    interval, and a window combines at most ``window / scrape`` of those.
-    (Several samples inside one interval count as its first and last one.)
+    Windows end every ``step_seconds``. Samples are first reduced to one small
+    state per scrape interval (first and last sample, their number, and the
+    increase between them with restarts counted), and a window combines at most
+    ``window / scrape`` of those. An interval's own samples are listed until it
+    closes: one, as a rule.
     """
     if window_seconds % scrape_seconds or step_seconds % scrape_seconds:
         raise ValueError("window and step must be whole numbers of scrape intervals")
@@ -33,26 +34,35 @@ def stream_rate_windows(
     at = (F.col("ts").cast("timestamp") - F.expr("INTERVAL 1 MICROSECOND")).alias("at")
     point = F.struct(micros("ts").alias("t"), F.col("value").cast("double").alias("v"))
     rows = samples.select(*keys, at, point.alias("point")).withWatermark("at", f"{delay_seconds} seconds")
-    steps = rows.groupBy(F.window("at", f"{scrape_seconds} seconds"), *keys).agg(
-        F.min("point").alias("head"), F.max("point").alias("tail"), F.count(F.lit(1)).alias("n")
-    )
-    windows = steps.groupBy(F.window("window", f"{window_seconds} seconds", f"{step_seconds} seconds").alias("over"), *keys).agg(
-        F.sort_array(F.collect_list(F.struct("head", "tail"))).alias("steps"), F.sum("n").alias("n")
-    )
 
     def grown(prev, value):
         return F.when(value < prev, value).otherwise(value - prev)
 
-    zero = F.struct(F.lit(None).cast("double").alias("prev"), F.lit(0.0).alias("raw"))
-    folded = F.aggregate(
-        "steps",
-        zero,
-        lambda acc, s: F.struct(
-            s["tail"]["v"].alias("prev"),
-            (acc["raw"] + F.coalesce(grown(acc["prev"], s["head"]["v"]), F.lit(0.0)) + grown(s["head"]["v"], s["tail"]["v"])).alias("raw"),
-        ),
-        lambda acc: acc["raw"],
+    def increase(points, head, tail, inner):
+        """Sum of the steps between and inside the items of a list in order."""
+        return F.aggregate(
+            points,
+            F.struct(F.lit(None).cast("double").alias("prev"), F.lit(0.0).alias("raw")),
+            lambda acc, p: F.struct(
+                tail(p).alias("prev"), (acc["raw"] + F.coalesce(grown(acc["prev"], head(p)), F.lit(0.0)) + inner(p)).alias("raw")
+            ),
+            lambda acc: acc["raw"],
+        )
+
+    listed = rows.groupBy(F.window("at", f"{scrape_seconds} seconds"), *keys).agg(F.sort_array(F.collect_list("point")).alias("points"))
+    value_of = lambda p: p["v"]
+    steps = listed.select(
+        "window",
+        *keys,
+        F.col("points")[0].alias("head"),
+        F.element_at("points", -1).alias("tail"),
+        F.size("points").alias("n"),
+        increase("points", value_of, value_of, lambda p: F.lit(0.0)).alias("inner"),
+    )
+    windows = steps.groupBy(F.window("window", f"{window_seconds} seconds", f"{step_seconds} seconds").alias("over"), *keys).agg(
+        F.sort_array(F.collect_list(F.struct("head", "tail", "inner"))).alias("steps"), F.sum("n").alias("n")
     )
+    folded = increase("steps", lambda s: s["head"]["v"], lambda s: s["tail"]["v"], lambda s: s["inner"])
     first, last = F.col("steps")[0]["head"], F.element_at("steps", -1)["tail"]
     end = micros(F.col("over.end"))
     found = windows.filter(F.col("n") >= 2).withColumn("raw", folded)

@@ -39,25 +39,50 @@ def split(rows, size):
     return [rows[i : i + size] for i in range(0, len(rows), size)]
 
 
-def test_alerts_continue_over_batches(spark, tmp_path):
+def fired(spark, tmp_path, condition, for_seconds, gap=None, delay=60):
+    stream_alerts_module.stream_alerts(
+        stream(spark, f"{tmp_path}/in"), ["s"], condition, for_seconds, f"{tmp_path}/out", f"{tmp_path}/cp", gap, delay
+    ).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/alerts").select("s", "ts", "active_since").collect()
+
+
+def test_alerts_over_files_out_of_order_equal_batch(spark, tmp_path):
     rows = points(1)
-    arrive(spark, f"{tmp_path}/in", split(rows, 96))
+    rng = random.Random(7)
+    shuffled = sorted(rows, key=lambda r: (r[1] + timedelta(seconds=rng.randrange(0, 120)), r[0]))
+    arrive(spark, f"{tmp_path}/in", split(shuffled, 96))
     on = (F.col("value") % 4) != 0
-    query = stream_alerts_module.stream_alerts(stream(spark, f"{tmp_path}/in"), ["s"], on, 45, f"{tmp_path}/out", f"{tmp_path}/cp", 40)
-    query.awaitTermination()
-    got = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/alerts").select("s", "ts", "active_since").collect()
-    batch = alerts.sustained_for(spark.createDataFrame(rows, SCHEMA), ["s"], on, 45, 40).filter("firing").select("s", "ts", "active_since").collect()
-    assert sorted(got) == sorted(batch) and len(got) > 20
+    got = fired(spark, tmp_path, on, 45, 40, delay=150)
+    batch = alerts.sustained_for(spark.createDataFrame(rows, SCHEMA), ["s"], on, 45, 40).filter("firing").select("s", "ts", "active_since")
+    expected = [r for r in batch.collect() if r.ts <= max(r[1] for r in rows) - timedelta(seconds=150)]
+    assert sorted(got) == sorted(expected) and len(got) > 20
+
 
+def test_late_off_evaluations_prevent_an_alert(spark, tmp_path):
+    minute = lambda m, v: ("a", T0 + timedelta(minutes=m), v)
+    arrive(spark, f"{tmp_path}/in", [[minute(m, 1.0) for m in (0, 1, 4, 5)], [minute(2, 0.0), minute(3, 0.0)], [minute(30, 0.0)]])
+    assert fired(spark, tmp_path, F.col("value") == 1, 180, delay=300) == []
 
-def test_late_evaluations_are_dropped(spark, tmp_path):
+
+def test_evaluations_behind_the_watermark_are_dropped(spark, tmp_path):
     late = [("a", T0 - timedelta(hours=1), 1.0), ("a", T0 + timedelta(seconds=120), 1.0)]
-    arrive(spark, f"{tmp_path}/in", [[("a", T0, 1.0)], late])
-    stream_alerts_module.stream_alerts(stream(spark, f"{tmp_path}/in"), ["s"], F.col("value") == 1, 60, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    got = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/alerts").collect()
+    arrive(spark, f"{tmp_path}/in", [[("a", T0, 1.0)], late, [("a", T0 + timedelta(seconds=400), 0.0)]])
+    got = fired(spark, tmp_path, F.col("value") == 1, 60)
     assert [(r.ts, r.active_since) for r in got] == [(T0 + timedelta(seconds=120), T0)]
 
 
+def test_rates_count_restarts_inside_an_interval(spark, tmp_path):
+    rng, value, rows = random.Random(3), 0, []
+    for i in range(400):
+        value = 0 if rng.random() < 0.1 else value + rng.randrange(9)
+        rows.append(("a", T0 + timedelta(seconds=5 * i), float(value)))
+    arrive(spark, f"{tmp_path}/in", split(rows, 90))
+    drain(rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 300, 60, 15, 30), f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = {r.ts: r.increase for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    batch = {r.ts: r.increase for r in metrics.counter_increase(spark.createDataFrame(rows, SCHEMA), ["s"], 300, 60).collect()}
+    assert len(got) > 25 and all(abs(got[k] - batch[k]) < 1e-6 for k in got)
+
+
 def test_rate_windows_equal_batch_on_closed_windows(spark, tmp_path):
     rows = points(2)
     arrive(spark, f"{tmp_path}/in", split(rows, 160))
@@ -71,12 +96,15 @@ def test_rate_windows_equal_batch_on_closed_windows(spark, tmp_path):
     assert all(abs(got[k] - expected[k]) < 1e-6 for k in got)
 
 
-def test_dedup_across_batches(spark, tmp_path):
-    rows = points(3, 40)
-    arrive(spark, f"{tmp_path}/in", [rows[:50], rows[30:], rows[60:]])
-    drain(dedup.stream_dedup(stream(spark, f"{tmp_path}/in"), ["s", "ts"], "ts", "1 hour"), f"{tmp_path}/out", f"{tmp_path}/cp")
-    got = spark.read.parquet(f"{tmp_path}/out").select("s", "ts").collect()
-    assert sorted(got) == sorted((r[0], r[1]) for r in rows)
+def test_dedup_keeps_the_first_over_batches(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [("ab"[i % 2], T0 + timedelta(minutes=i // 8), float(v)) for i, v in enumerate(rng.sample(range(1000), 160))]
+    arrive(spark, f"{tmp_path}/in", [rows[20:90], rows[:20] + rows[70:120], rows[120:]])
+    drain(dedup.stream_dedup(stream(spark, f"{tmp_path}/in"), ["s", "ts"], "ts", "15 minutes", ["value"]), f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").select("s", "ts", "value").collect()))
+    closed = max(r[1] for r in rows) - timedelta(minutes=15)
+    expected = sorted((s, ts, min(v for a, b, v in rows if (a, b) == (s, ts))) for s, ts in {r[:2] for r in rows} if ts <= closed)
+    assert got == expected and len(got) > 5
 
 
 def test_quality_gate_sorts_batches(spark, tmp_path):
