@@ -11,11 +11,14 @@ extra leading row. The result equals the plain window for any chunk width.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 CHUNK, LEAD = "__chunk", "__lead"
+# A key's rows at one instant that one task may well scan, and into how many parts more are cut.
+BURST_ROWS, BURST_PARTS = 100_000, 32
 
 
 def micros(ts: Column | str) -> Column:
@@ -29,6 +32,38 @@ def time_chunk(ts: Column | str, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
+def with_order_chunk(
+    df: DataFrame, keys: Sequence[str], ts: str, seq: str, seconds: int, burst_rows: int = BURST_ROWS, parts: int = BURST_PARTS
+) -> DataFrame:
+    """Add the chunk (``__chunk``) of every row along ``(ts, seq)``: a slice of time, and where that is not enough, a part of an instant.
+
+    Rows of a key at one instant would share a slice of any width. Instants with
+    more than ``burst_rows`` rows of a key are cut into ``parts`` by approximate
+    quantiles of ``seq``. They are looked for only in slices that have so many
+    rows, and a slice lists at most its rows divided by ``burst_rows`` of them.
+    """
+    slices = df.withColumn("__slice", time_chunk(ts, seconds))
+    full = slices.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > burst_rows).drop("__n")
+    crowded = _join_null_safe(slices.select(*keys, "__slice", ts, seq), full, [*keys, "__slice"], "left_semi")
+    instants = crowded.groupBy(*keys, "__slice", ts).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > burst_rows).drop("__n")
+    burst = _join_null_safe(crowded, instants, [*keys, "__slice", ts], "left_semi")
+    shares = [k / parts for k in range(1, parts)]
+    cuts = burst.groupBy(*keys, "__slice", ts).agg(F.percentile_approx(seq, shares, 1_000).alias("cuts"))
+    listed = cuts.groupBy(*keys, "__slice").agg(F.collect_list(F.struct(F.col(ts).alias("at"), "cuts")).alias("__bursts"))
+    placed = _join_null_safe(slices, listed, [*keys, "__slice"], "left")
+    before = F.array_max(F.filter("__bursts", lambda b: b["at"] <= F.col(ts)))
+    part = F.when(before["at"] == F.col(ts), F.size(F.filter(before["cuts"], lambda c: c < F.col(seq)))).when(before.isNotNull(), parts).otherwise(0)
+    chunk = F.struct(F.col("__slice").alias("slice"), micros(before["at"]).alias("after"), part.alias("part"))
+    return placed.withColumn(CHUNK, chunk).drop("__slice", "__bursts")
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on columns whose nulls equal each other, keeping the left side's names."""
+    named = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(F.col(f"__r_{c}")) for c in on])
+    return left.join(named, same, how).drop(*[f"__r_{c}" for c in on])
+
+
 def _order_value(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 

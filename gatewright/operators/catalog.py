@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gatewright.functions.chunks import (
+    BURST_ROWS,
     CHUNK,
     LEAD,
     by_chunk,
     in_chunk,
     ordered_scan,
     rows_before,
-    time_chunk,
     with_opening,
+    with_order_chunk,
     without_leads,
 )
 from gatewright.functions.hashing import source_id
@@ -95,7 +96,9 @@ def validate_version_refs(
     )
 
 
-def assign_versions(requests: DataFrame, versions: DataFrame, chunk_seconds: int = 30 * DAY) -> DataFrame:
+def assign_versions(
+    requests: DataFrame, versions: DataFrame, chunk_seconds: int = 30 * DAY, burst_rows: int = BURST_ROWS
+) -> DataFrame:
     """Number accepted requests per dataset, continuing after the versions already held.
 
     ``requests`` needs ``dataset``, ``requested_at`` and ``request_id``; the
@@ -103,22 +106,24 @@ def assign_versions(requests: DataFrame, versions: DataFrame, chunk_seconds: int
     """
     held = versions.groupBy("dataset").agg(F.max("version").alias("held"))
     # The count already held enters the scan as one earliest row per dataset.
-    numbered = requests.withColumns({"__step": F.lit(1).cast("bigint"), "__held": F.lit(False)})
+    chunked = with_order_chunk(requests, ["dataset"], "requested_at", "request_id", chunk_seconds, burst_rows)
+    numbered = chunked.withColumns({"__step": F.lit(1).cast("bigint"), "__held": F.lit(False)})
     base = held.select(
         "dataset",
         F.col("held").cast("bigint").alias("__step"),
         F.lit(True).alias("__held"),
     )
     stacked = numbered.unionByName(base, allowMissingColumns=True)
-    # Held rows carry no time: chunk and order put them first.
-    chunk = F.coalesce(time_chunk("requested_at", chunk_seconds), F.lit(-(2**62)))
+    # Held rows carry no time and no chunk: both orders put them first.
     scanned = ordered_scan(
-        stacked, ["dataset"], ["requested_at", "request_id"], chunk, sum_upto={"__number": F.col("__step")}
+        stacked, ["dataset"], ["requested_at", "request_id"], F.col(CHUNK), sum_upto={"__number": F.col("__step")}
     )
     return scanned.filter(~F.col("__held")).select(*requests.columns, F.col("__number").cast("int").alias("version"))
 
 
-def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = DAY) -> DataFrame:
+def fold_actions(
+    actions: DataFrame, versions: DataFrame, chunk_seconds: int = DAY, burst_rows: int = BURST_ROWS
+) -> DataFrame:
     """Outcome of every logged action, decided by the freeze gate.
 
     A freeze succeeds when the last valid verdict before it is ``passed``; the
@@ -138,9 +143,9 @@ def fold_actions(actions: DataFrame, versions: DataFrame, chunk_seconds: int = D
     exists = F.col("__created").isNotNull()
     valid = F.coalesce(is_quality & F.col("status").isin("passed", "failed"), F.lit(False))
     order = ["ts", "seq"]
-    log = actions.join(created, list(VERSION_KEY), "left").withColumns(
+    chunked = with_order_chunk(actions, VERSION_KEY, "ts", "seq", chunk_seconds, burst_rows)
+    log = chunked.join(created, list(VERSION_KEY), "left").withColumns(
         {
-            CHUNK: time_chunk("ts", chunk_seconds),
             # A version frozen from the start takes no verdict at all.
             "__verdict": F.when(exists & valid & ~F.col("__stored_frozen"), F.col("status")),
             "__asks": exists & is_freeze,

@@ -5,9 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
-from gatewright.functions.chunks import ordered_scan, time_chunk
+from gatewright.functions.chunks import CHUNK, ordered_scan, time_chunk, with_order_chunk
 from gatewright.operators import alerts, build, catalog, metrics, quality
+from gatewright.plans import all_queries
 
 FOLDER = "/root/testdata/sf0.001"
 T0 = datetime(2026, 9, 1)
@@ -23,9 +23,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries().keys() - WITH_ACTIONS))
+@pytest.mark.parametrize("name", sorted(all_queries.QUERIES.keys() - WITH_ACTIONS))
 def test_no_pairwise_join_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(all_queries.QUERIES[name](spark, FOLDER))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
         assert word not in text
 
@@ -82,3 +82,18 @@ def test_grid_increase_has_one_shuffle_of_samples(spark, tmp_path):
     spark.range(10).selectExpr("'a' as s", "timestamp_seconds(id) as ts", "1.0D as value").write.parquet(str(tmp_path / "s"))
     text = plan(metrics.counter_increase(spark.read.parquet(str(tmp_path / "s")), ["s"], 300, 15))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_bursts_of_one_instant_are_split(spark):
+    burst = spark.range(20_000).selectExpr(
+        "'d' as dataset", "1 as version", "id as seq", "id as request_id", "timestamp_seconds(1788220800) as ts", "timestamp_seconds(1788220800) as requested_at",
+        "if(id % 3 = 0, 'quality', 'freeze') as action", "if(id % 3 = 0, 'failed', null) as status",
+    )
+    rows = with_order_chunk(burst, ["dataset", "version"], "ts", "seq", 86_400, burst_rows=1_000)
+    sizes = [r["count"] for r in rows.groupBy(CHUNK).count().collect()]
+    assert len(sizes) >= 16 and max(sizes) < 2_500
+    versions = spark.createDataFrame([("d", 1)], "dataset string, version int")
+    folded = catalog.fold_actions(burst, versions, burst_rows=1_000)
+    assert {r.outcome: r["count"] for r in folded.groupBy("outcome").count().collect()} == {"ok": 6_667, "quality_not_passed": 13_333}
+    numbered = catalog.assign_versions(burst.select("dataset", "request_id", "requested_at"), versions, burst_rows=1_000)
+    assert numbered.filter("version <> request_id + 2").isEmpty() and numbered.count() == 20_000
