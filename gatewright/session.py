@@ -51,14 +51,20 @@ def local_session(cpus: int | str = 8, memory: str = "8g", **conf: str) -> Spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path below the cluster's shared checkpoint folder.
+    """A new path for intermediate data below the cluster's shared checkpoint folder.
 
     Only a local master may fall back to a folder of this machine; anywhere
-    else executors could not see it, so the setting is required.
+    else executors could not see it, so the setting is required. All paths of
+    an application lie in one folder, which goes when the application ends.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         root = os.path.join(tempfile.gettempdir(), "gatewright")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    run = f"{root.rstrip('/')}/gatewright-{spark.sparkContext.applicationId}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{run}/{purpose}-{uuid.uuid4().hex}"
