@@ -17,9 +17,10 @@ from array import array
 
 CUT = re.compile(r"(?<=\S)(?= \S)")
 #: White space other than blank and line feed, and the mark used for cutting.
-OTHER_SPACE = re.compile(r"[^\S \n]|[\x00\u180e]")
-#: A word of Latin letters followed by closing marks: the pre-tokenizer always parts them.
-TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([,.;:!?%&#*$)\]]+)", re.DOTALL)
+OTHER_SPACE = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"] + ["\0", "\u180e"]
+#: Marks that the pre-tokenizer always parts from a Latin letter before them.
+CLOSING = ",.;:!?%&#*$)]"
+LATIN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | {chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)}
 #: One piece of the pre-tokenizer: the model alone gives its ids.
 WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 LONG_UNIT = 64
@@ -35,73 +36,84 @@ def byte_alphabet() -> dict[int, str]:
 class ByteIds:
     """``ids(text)`` gives the little-endian unsigned 32-bit ids of a text as bytes."""
 
-    def __init__(self, file: str, cache_units: int = 400_000):
+    def __init__(self, file: str, cache_units: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
         self.cache_units = cache_units
         # Two generations bound the cache: a full young one becomes the old one.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _encode(self, units: list[str]) -> list[bytes]:
-        model, alphabet, out, rest = self.tokenizer.model, self.alphabet, {}, []
+    def _encode(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units the cache does not know: words by the model alone and all at once, the rest by the whole library."""
+        out, words, rest = {}, [], []
         for u in units:
-            if len(u) <= LONG_UNIT and WORD.fullmatch(u):
-                pieces = model.tokenize(u.encode().decode("latin-1").translate(alphabet))
-                out[u] = array("I", [p.id for p in pieces]).tobytes()
+            (words if len(u) <= LONG_UNIT and WORD.fullmatch(u) else rest).append(u)
+        if words:
+            joined = "\n".join(words)
+            if joined.isascii():
+                letters = joined.replace(" ", self.alphabet[32]).split("\n")
             else:
-                rest.append(u)
+                letters = joined.encode().decode("latin-1").translate(self.alphabet).split(self.alphabet[10])
+            tokenize = self.model.tokenize
+            for u, w in zip(words, letters):
+                out[u] = array("I", [p.id for p in tokenize(w)]).tobytes()
         for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
             out[u] = array("I", e.ids).tobytes()
-        return [out[u] for u in units]
+        return out
 
-    def _keep(self, key: str, value: bytes) -> None:
-        if len(key) <= LONG_UNIT:
-            if len(self.young) >= self.cache_units:
-                self.old, self.young = self.young, {}
-            self.young[key] = value
-
-    def _learn(self, keys: list[str]) -> dict[str, bytes]:
-        """Values of keys that are not in the young generation. A key is a unit as the library gets it."""
-        found, split, missing = {}, {}, {}
+    def _learn(self, keys: set[str]) -> dict[str, bytes]:
+        """Values of keys that are not in the young generation, which then holds them."""
+        young, old, found, split, missing = self.young, self.old, {}, [], set()
         for key in keys:
-            if key in self.old:
-                found[key] = self.old[key]
-            elif m := TAIL.fullmatch(key):
-                split[key] = m.groups()
-                for part in m.groups():
-                    if (value := self.young.get(part) or self.old.get(part)) is not None:
-                        found[part] = value
-                    else:
-                        missing[part] = None
+            value = old.get(key)
+            if value is not None:
+                found[key] = value
+                continue
+            word = key.rstrip(CLOSING)
+            if word != key and word and word[-1] in LATIN:
+                split.append((key, word, key[len(word) :]))
             else:
-                missing[key] = None
-        fresh = [k for k in missing if k not in found]
-        found.update(zip(fresh, self._encode(fresh)))
-        for key, (word, tail) in split.items():
+                missing.add(key)
+        for _, *parts in split:
+            for part in parts:
+                if part not in found and part not in missing:
+                    value = young.get(part) or old.get(part)
+                    if value is None:
+                        missing.add(part)
+                    else:
+                        found[part] = value
+        if missing:
+            found.update(self._encode(list(missing)))
+        for key, word, tail in split:
             found[key] = found[word] + found[tail]
-        for key, value in found.items():
-            self._keep(key, value)
+        if len(young) + len(found) > self.cache_units:
+            self.old, self.young = young, {}
+        long = [k for k in found if len(k) > LONG_UNIT]
+        self.young.update(found if not long else {k: v for k, v in found.items() if len(k) <= LONG_UNIT})
         return found
 
     def _units(self, units: list[str]) -> bytes:
         values = list(map(self.young.get, units))
         if None in values:
-            learned = self._learn(list({u for u, v in zip(units, values) if v is None}))
-            values = [learned[u] if v is None else v for u, v in zip(units, values)]
+            unknown = [k for k, v in enumerate(values) if v is None]
+            learned = self._learn({units[k] for k in unknown})
+            for k in unknown:
+                values[k] = learned[units[k]]
         return b"".join(values)
 
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        simple = not ("  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n")
-        if simple and not OTHER_SPACE.search(text):
-            return self._units(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
-        return self._units(CUT.split(text))
+        beside = "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
+        if beside or any(map(text.__contains__, OTHER_SPACE)):
+            return self._units(CUT.split(text))
+        return self._units(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
 
 
 @functools.lru_cache(maxsize=4)
