@@ -41,6 +41,7 @@ WORD_BITS = 32
 LANES = 512
 BLOCK_TOKENS = 1 << 17
 CHECKPOINT_STEPS = 128
+COUNT_TASKS = 16
 HEADER = struct.Struct("<IHHIII")
 MARK = struct.Struct("<II")
 FILES = "part BIGINT, uri STRING, n_docs BIGINT, n_tokens BIGINT"
@@ -211,6 +212,22 @@ def _spread(files: DataFrame) -> DataFrame:
     return files.repartition(max(1, files.count()))
 
 
+def summed_counts(parts: DataFrame, end_id: int) -> np.ndarray:
+    """Counts of all ids: ``COUNT_TASKS`` tasks add up what they read, the driver adds their sums (one number per id each)."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                part = np.frombuffer(zlib.decompress(packed), np.int64)
+                total = part + total if len(total) else part
+        if len(total):
+            yield pa.RecordBatch.from_pydict({"counts": [zlib.compress(total.tobytes(), 1)]}, schema=pa.schema([("counts", pa.binary())]))
+
+    sums = [np.frombuffer(zlib.decompress(r.counts), np.int64) for r in parts.repartition(COUNT_TASKS).mapInArrow(add, "counts BINARY").collect()]
+    return sum(sums, np.zeros(max([end_id + 1, *map(len, sums)]), np.int64))
+
+
 def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID) -> tuple[DataFrame, FrequencyTable]:
     """Tokenise ``docs`` and write them to files below ``folder`` in ascending ``doc_id``.
 
@@ -239,8 +256,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
                     lengths.append(len(ids))
         if doc_ids:
             yield pa.RecordBatch.from_pydict(
-                {"part": [part], "uri": [uri], "n_docs": [len(doc_ids)], "n_tokens": [sum(lengths)], "counts": [counts], "doc_ids": [doc_ids], "lengths": [lengths]},
-                schema=pa.schema([("part", pa.int64()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("counts", pa.list_(pa.int64())), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]),
+                {"part": [part], "uri": [uri], "n_docs": [len(doc_ids)], "n_tokens": [sum(lengths)], "counts": [zlib.compress(counts.tobytes(), 1)], "doc_ids": [doc_ids], "lengths": [lengths]},
+                schema=pa.schema([("part", pa.int64()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("counts", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64()))]),
             )
 
     row = "__row"
@@ -250,10 +267,8 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
         .sortWithinPartitions("doc_id", row)
         .select("doc_id", "text")
     )
-    plain = staged(ordered.mapInArrow(tokenise, f"{FILES}, counts ARRAY<BIGINT>, doc_ids ARRAY<BIGINT>, lengths ARRAY<BIGINT>"), "plain-ids")
-    totals = plain.select(F.posexplode("counts").alias("id", "n")).filter("n > 0").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(max([end_id, *totals["id"].to_pylist()]) + 1, np.int64)  # bounded by the vocabulary
-    counts[totals["id"].to_numpy()] = totals["n"].to_numpy()
+    plain = staged(ordered.mapInArrow(tokenise, f"{FILES}, counts BINARY, doc_ids ARRAY<BIGINT>, lengths ARRAY<BIGINT>"), "plain-ids")
+    counts = summed_counts(plain.select("counts"), end_id)
     shared = FrequencyTable.of_counts(counts)
     frequencies = shared.frequency.astype(np.int64)
     wide = tokenizer_width(file, end_id)
