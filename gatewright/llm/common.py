@@ -33,6 +33,20 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def hash_sample(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
+    """About ``limit`` rows of ``df`` (all if it has no more), taken by a hash of ``columns``.
+
+    The rows are counted first and the hash is compared with the share that is
+    wanted, a little below the limit. Nothing is sorted and no task sees more
+    than its own rows. The same rows give the same sample.
+    """
+    rows = df.count()
+    if rows <= limit:
+        return df
+    bound = int((0.95 * limit / rows - 0.5) * 2**64)
+    return df.filter(F.xxhash64(*columns) < F.lit(bound).cast("bigint"))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

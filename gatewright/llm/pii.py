@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.common import text_of
+from gatewright.llm.common import hash_sample, text_of
 from gatewright.llm.pii_spans import KINDS, base_spans, luhn, small_number
 
 TRAIN_WINDOWS = 400
@@ -309,7 +309,7 @@ def apart(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 def fit_field(docs: DataFrame, train_documents: int = TRAIN_DOCUMENTS, train_windows: int = TRAIN_WINDOWS) -> SemiMarkovField:
-    """A field fitted on at most ``train_windows`` windows of at most ``train_documents`` texts, taken by hash.
+    """A field fitted on at most ``train_windows`` windows of about ``train_documents`` texts, taken by hash.
 
     Half of the windows hold a base span, as far as there are so many. Each is at most ``MAX_WINDOW`` long,
     so what reaches the driver is bounded by the parameters.
@@ -326,8 +326,8 @@ def fit_field(docs: DataFrame, train_documents: int = TRAIN_DOCUMENTS, train_win
                         rows.append((text[a:b], ",".join(f"{k}:{s}:{e}" for s, e, k in own)))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)] if rows else [pa.array([], pa.string())] * 2, ["win", "spans"])
 
-    told = docs.select(text_of().alias("text")).filter(F.col("text").rlike("@|[0-9]{2}"))
-    sample = told.withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(train_documents).select("text")
+    told = docs.select("doc_id", text_of().alias("text")).filter(F.col("text").rlike("@|[0-9]{2}"))
+    sample = hash_sample(told, ["doc_id", "text"], train_documents).select("text")
     found = sample.mapInArrow(examples, "win STRING, spans STRING").distinct()
     order = F.xxhash64("win")
     rows = [r for has in (F.col("spans") != "", F.col("spans") == "") for r in found.filter(has).orderBy(order, "win", "spans").limit(train_windows // 2).collect()]

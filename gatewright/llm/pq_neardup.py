@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.common import staged
+from gatewright.llm.common import hash_sample, staged
 from gatewright.llm.components import Forest, connected_components
 
 THRESHOLD = 0.95
@@ -153,8 +153,8 @@ def stack(units: list[bytes], dim: int) -> np.ndarray:
 
 
 def fit_quantiser(distinct: DataFrame, dim: int, total: int, sample: int = SAMPLE, list_size: int = LIST_SIZE) -> Quantiser:
-    """A quantiser from at most ``sample`` vectors, taken by a hash of their digest."""
-    rows = distinct.orderBy(F.xxhash64("key"), "key").limit(sample).select("unit").toArrow()
+    """A quantiser from about ``sample`` vectors, taken by a hash of their digest."""
+    rows = hash_sample(distinct, ["key"], sample).select("unit").toArrow()
     lists = max(1, min(MAX_LISTS, total // list_size, sample // 8))
     return Quantiser.fit(stack([bytes(u) for u in rows["unit"].to_pylist()], dim), lists)
 

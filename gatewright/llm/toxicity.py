@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.common import text_of
+from gatewright.llm.common import hash_sample, staged, text_of
 
 ORDER = 4
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -225,16 +225,14 @@ def held_out():
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``limit`` labelled texts outside the held-out fold, taken by a hash of the id: ``text, toxic``."""
+    """About ``limit`` labelled texts outside the held-out fold, taken by a hash of the id: ``text, toxic``."""
     told = labels.select("doc_id", "toxic").dropna().filter(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = told.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     # The bound of the broadcast side is the limit.
+    sample = hash_sample(told, ["doc_id"], limit)
     return docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id").select("text", "toxic").distinct()
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> ToxicityModel:
-    from gatewright.llm.common import staged
-
     characters = character_model(docs)
     train = staged(training_rows(docs, labels, train_rows), "toxicity-train")
     sizes = {bool(r.toxic): r["count"] for r in train.groupBy((F.col("toxic") > 0).alias("toxic")).count().collect()}
