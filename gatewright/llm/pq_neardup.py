@@ -16,7 +16,7 @@ of them (or the bound, if that is smaller).
 Equal vectors are compared once. Lists are cut into blocks of members and of
 queries, so a crowded list is many tasks' work; what a block finds leaves it as
 link counts and a spanning forest, not as pairs. Centroids and codebooks are
-fitted on at most ``SAMPLE`` vectors, all vectors are indexed and queried.
+fitted on about ``SAMPLE`` vectors, all vectors are indexed and queried.
 
 Defined cases: null, zero or non-finite vectors, vectors with a null component
 and those without the commonest dimension link with nothing and are components

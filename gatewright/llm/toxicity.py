@@ -9,7 +9,7 @@ their restored words are then scored by a logistic model over a lexicon.
 
 The character model counts n-grams of all documents (``ALPHABET`` symbols to the
 ``ORDER``, so its size is fixed while its counts grow with the corpus). The
-lexicon and its weights come from at most ``TRAIN_ROWS`` labelled rows, taken by
+lexicon and its weights come from about ``TRAIN_ROWS`` labelled rows, taken by
 hash. Its entries are words and beginnings of words (``stem*``), chosen by how
 differently the classes use them and by how many contexts they appear in, since
 copies of one document say nothing more than it.
