@@ -58,7 +58,7 @@ def frame(spark, pairs):
     return spark.createDataFrame([(i, t, "x", 1) for i, t in pairs], SCHEMA)
 
 
-@pytest.mark.parametrize("seed, block", [(1, 192), (2, 16)])
+@pytest.mark.parametrize("seed, block", [(1, 640), (2, 16)])
 def test_equals_brute_force(spark, seed, block, monkeypatch):
     monkeypatch.setattr(op, "BLOCK", block)
     pairs = corpus(seed)
@@ -104,7 +104,7 @@ def test_metric_links_find_all():
         own[rng.choice(60, rng.integers(0, 12), replace=False)] = rng.choice(10**6, 1)[0]
         sets.append(np.unique(own))
     local, every = op.LocalSets(sets), np.arange(150)
-    found = {frozenset(p) for p in op.metric_links(local, every, every, 85, lambda q, m: False)}
+    found = {frozenset(p) for p in op.metric_links(local, every, every, 85)}
     expected = set()
     for a in range(150):
         for b in range(a):
@@ -112,3 +112,18 @@ def test_metric_links_find_all():
             if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
                 expected.add(frozenset((a, b)))
     assert found == expected
+
+
+def test_profiles_bound_what_sets_share():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 400), dtype=np.uint64)
+        a = np.unique(base)
+        b = np.unique(np.concatenate([base[: rng.integers(0, len(base) + 1)], rng.integers(0, 1 << 63, rng.integers(1, 300), dtype=np.uint64)]))
+        (n, p), (m, q) = (op.read_profile(op.profile(x)) for x in (a, b))
+        width = min(len(p), len(q))
+        most = np.minimum(p.reshape(width, -1).sum(axis=1), q.reshape(width, -1).sum(axis=1)).sum()
+        assert (n, m, p.sum()) == (len(a), len(b), len(a)) and shingles.common(a, b) <= most
+    same = np.arange(1 << 62, (1 << 62) + 5000, dtype=np.uint64)  # all in one range
+    n, counts = op.read_profile(op.profile(same))
+    assert n == 5000 and counts.max() >= 5000
