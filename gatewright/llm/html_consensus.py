@@ -3,9 +3,14 @@
 Each page scores its containers by the text they hold (links count against it,
 outer containers get a share of what inner ones hold) and votes for the best
 with their generalised paths: tags and classes from the root, numbers left out.
-Spark sums the votes per host and path; every page is then read again and its
-text taken from the best-voted path it has. A page whose host agrees on none of
-its paths keeps its own best container.
+Spark sums per host and path the votes, the pages that have text there, and the
+votes their rivals got on just these pages: the body and the page as a whole are
+the rivals of any container below them, and the other way round. A host agrees
+on a path that several pages have and that beats its rivals. Every page is then
+read again and its text taken from the agreed path it has that won the largest
+share of a vote per page, so a rare template is not outvoted by what it shares
+with common ones; the body and the whole page come last. A page without an
+agreed path keeps its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are known by their tags, roles and the names in their classes
@@ -23,13 +28,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.llm.html_blocks import CONTAINERS, Block, Element, parse
 
 OUTER_SHARE = 0.7
+#: Tags of the body and of the element that stands for the whole page.
+OUTER = frozenset(["", "body"])
 VOTES_PER_PAGE = 3
+#: The fewest pages that can agree on a path.
+LEAST_PAGES = 2
+#: What the tests compare of a host's list; the list itself is not cut.
 PATHS_PER_HOST = 8
 
 
@@ -83,38 +93,65 @@ def extract(page: str, paths: list[str]) -> str:
 
 
 def page_votes(pages: DataFrame) -> DataFrame:
-    """``host, path, vote``: every page's best containers, their votes adding up to at most one."""
+    """``host, path, outer, vote, rival, pages`` of all containers with text, summed per batch.
+
+    A page's best containers share at most one vote. ``rival`` is the best vote on the same page of the body or the
+    whole page (``outer``) for other containers, and of other containers for these two.
+    """
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            summed: dict[tuple[str, str], float] = {}
+            summed: dict[tuple[str, str, bool], list[float]] = {}
             for host, page in zip(*[c.to_pylist() for c in batch.columns]):
                 elements, blocks = parse(page)
-                best = [(k, s) for k, s in ranked(elements, blocks)[:VOTES_PER_PAGE] if s > 0]
+                scored = ranked(elements, blocks)
+                best = [(k, s) for k, s in scored[:VOTES_PER_PAGE] if s > 0]
                 total = sum(s * s for _, s in best)
+                votes = {(elements[k].path, elements[k].tag in OUTER): 0.0 for k, _ in scored}
                 for k, s in best:
-                    key = (host, elements[k].path)
-                    summed[key] = summed.get(key, 0.0) + s * s / total
-            yield pa.RecordBatch.from_pydict({"host": [h for h, _ in summed], "path": [p for _, p in summed], "vote": list(summed.values())}, schema=names)
-
-    names = pa.schema([("host", pa.string()), ("path", pa.string()), ("vote", pa.float64())])
+                    votes[elements[k].path, elements[k].tag in OUTER] += s * s / total
+                rival = {side: max((v for (_, o), v in votes.items() if o != side), default=0.0) for side in (False, True)}
+                for (path, outer), v in votes.items():
+                    row = summed.setdefault((host, path, outer), [0.0, 0.0, 0])
+                    row[0] += v
+                    row[1] += rival[outer]
+                    row[2] += 1
+            rows = [(*key, *row) for key, row in summed.items()]
+            yield pa.RecordBatch.from_pylist([dict(zip(names.names, r)) for r in rows], schema=names)
+
+    names = pa.schema([("host", pa.string()), ("path", pa.string()), ("outer", pa.bool_()), ("vote", pa.float64()), ("rival", pa.float64()), ("pages", pa.int64())])
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html")).dropna()
-    return rows.mapInArrow(vote, "host STRING, path STRING, vote DOUBLE")
+    return rows.mapInArrow(vote, "host STRING, path STRING, outer BOOLEAN, vote DOUBLE, rival DOUBLE, pages BIGINT")
+
+
+def path_shares(pages: DataFrame) -> DataFrame:
+    """``host, path, outer, share, agreed`` of every path that got a vote.
+
+    Sums are rounded so that their order of addition cannot matter. One page is added to those that share the votes,
+    so that a path of very few pages does not beat one that many pages agree on.
+    """
+    votes = page_votes(pages).groupBy("host", "path", "outer").agg(
+        F.round(F.sum("vote"), 6).alias("votes"), F.round(F.sum("rival"), 6).alias("rivals"), F.sum("pages").alias("pages")
+    )
+    agreed = (F.col("pages") >= LEAST_PAGES) & (F.col("votes") > F.col("rivals"))
+    share = F.round(F.col("votes") / (F.col("pages") + 1), 6)
+    return votes.filter("votes > 0").select("host", "path", "outer", share.alias("share"), agreed.alias("agreed"))
 
 
-def host_paths(pages: DataFrame, keep: int = PATHS_PER_HOST) -> DataFrame:
-    """``agreed_host, paths``: the best-voted paths of each host, the best first. Votes are rounded so that their order of addition cannot matter."""
-    votes = page_votes(pages).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
-    place = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))
-    best = votes.withColumn("place", place).filter(F.col("place") <= keep)
-    listed = F.array_sort(F.collect_list(F.struct("place", "path")))
-    return best.groupBy(F.col("host").alias("agreed_host")).agg(F.transform(listed, lambda s: s["path"]).alias("paths"))
+def host_paths(pages: DataFrame, agreed_only: bool = False) -> DataFrame:
+    """``agreed_host, paths``: the paths of each host that got votes, agreed ones first, of these the body and the whole page last, then by share."""
+    shares = path_shares(pages)
+    if agreed_only:
+        shares = shares.filter("agreed")
+    last = F.when(F.col("agreed"), F.col("outer").cast("int")).otherwise(2)
+    listed = F.array_sort(F.collect_list(F.struct(last.alias("last"), (-F.col("share")).alias("order"), "path")))
+    return shares.groupBy(F.col("host").alias("agreed_host")).agg(F.transform(listed, lambda s: s["path"]).alias("paths"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: ``page_id, url, text, n_chars``."""
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), host_of(F.col("url")).alias("own_host"))
-    joined = rows.join(host_paths(pages), F.col("own_host") == F.col("agreed_host"), "left").select("page_id", "url", "html", "paths")
+    joined = rows.join(host_paths(pages, agreed_only=True), F.col("own_host") == F.col("agreed_host"), "left").select("page_id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -82,3 +82,32 @@ def test_host_agrees_on_a_path(spark):
 
 def test_empty_table(spark):
     assert op.main_text(pages(spark, [])).count() == 0
+
+
+TWO = "<body><div class='%s'><h1>T%d</h1><p>%s</p></div><p>%s</p></body>"
+
+
+@pytest.mark.parametrize("rare", [1, 10])
+def test_rare_template_is_not_outvoted(spark, rare):
+    rows = [(i, "http://two.example/", TWO % ("common", i, LONG, "unmarked")) for i in range(90)]
+    rows += [(100 + i, "http://two.example/", TWO % ("rare", i, LONG, "unmarked")) for i in range(rare)]
+    for r in op.main_text(pages(spark, rows)).collect():
+        assert r.text == f"T{r.page_id % 100}\n\n{LONG.strip()}"
+
+
+def test_host_with_many_templates(spark):
+    name = "abcdefghijklmnopqrst"
+    rows = [(i, "http://many.example/", TWO % (name[i % 20], i, LONG, "unmarked")) for i in range(60)]
+    rows.append((60, "http://many.example/", TWO % ("t", 60, "main but short", LONG * 2)))
+    assert {r.page_id: r.text for r in op.main_text(pages(spark, rows)).collect()} == {
+        i: f"T{i}\n\n" + (LONG.strip() if i < 60 else "main but short") for i in range(61)
+    }
+
+
+def test_host_agrees_on_the_body(spark):
+    rows = [(i, "http://flat.example/", f"<body><p>{LONG}</p><div class='box'>more</div></body>") for i in range(9)]
+    rows.append((9, "http://flat.example/", f"<body><p>short</p><div class='box'>{LONG}</div></body>"))
+    rows += [(10 + i, "http://flat.example/", TWO % ("own", 10 + i, LONG, "unmarked")) for i in range(3)]
+    texts = {r.page_id: r.text for r in op.main_text(pages(spark, rows)).collect()}
+    assert texts[0] == LONG.strip() + "\n\nmore" and texts[9] == "short\n\n" + LONG.strip()
+    assert texts[11] == "T11\n\n" + LONG.strip()
