@@ -3,7 +3,9 @@
 The file's pre-tokenizer never joins what stands before a blank with what
 follows it, so a text may be cut in front of any blank, and on both sides of any
 line feed, that has a non-blank on either side: the ids of the units, one after
-the other, are the ids of the text.
+the other, are the ids of the text. The file's special strings, such as
+``<|endoftext|>``, have their own ids wherever they stand in a text, as the
+library has it; a unit with one goes through the whole library.
 Units are looked up in a cache that lives as long as the Python worker; only
 unknown ones go through the library, all of a text at once.
 """
@@ -41,7 +43,11 @@ class ByteIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        #: Strings that the library takes out of a text before the pre-tokenizer sees it.
+        self.special = tuple(t.content for t in added)
+        #: Those that a cut beside white space could change; a text with one is not cut.
+        self.uncut = tuple(t.content for t in added if t.lstrip or t.rstrip or t.single_word or t.normalized or any(c.isspace() or c == "\0" for c in t.content))
         self.model = self.tokenizer.model
         self.alphabet = byte_alphabet()
         self.cache_units = cache_units
@@ -53,7 +59,8 @@ class ByteIds:
         """Ids of units the cache does not know: words by the model alone and all at once, the rest by the whole library."""
         out, words, rest = {}, [], []
         for u in units:
-            (words if len(u) <= LONG_UNIT and WORD.fullmatch(u) else rest).append(u)
+            plain = len(u) <= LONG_UNIT and WORD.fullmatch(u) and not any(map(u.__contains__, self.special))
+            (words if plain else rest).append(u)
         if words:
             joined = "\n".join(words)
             if joined.isascii():
@@ -63,10 +70,12 @@ class ByteIds:
             tokenize = self.model.tokenize
             for u, w in zip(words, letters):
                 out[u] = array("I", [p.id for p in tokenize(w)]).tobytes()
-        for u, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            out[u] = array("I", e.ids).tobytes()
+        out.update(zip(rest, self._library(rest)))
         return out
 
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def _learn(self, keys: set[str]) -> dict[str, bytes]:
         """Values of keys that are not in the young generation, which then holds them."""
         young, old, found, split, missing = self.young, self.old, {}, [], set()
@@ -76,7 +85,7 @@ class ByteIds:
                 found[key] = value
                 continue
             word = key.rstrip(CLOSING)
-            if word != key and word and word[-1] in LATIN:
+            if word != key and word and word[-1] in LATIN and not any(map(key.__contains__, self.special)):
                 split.append((key, word, key[len(word) :]))
             else:
                 missing.add(key)
@@ -110,6 +119,8 @@ class ByteIds:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
+        if any(map(text.__contains__, self.uncut)):
+            return self._library([text])[0]
         beside = "  " in text or "\n " in text or " \n" in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
         if beside or any(map(text.__contains__, OTHER_SPACE)):
             return self._units(CUT.split(text))

@@ -1,3 +1,4 @@
+import functools
 import zlib
 from collections import defaultdict
 
@@ -97,3 +98,39 @@ def test_cached_ids_equal_the_library(cache):
         assert encoder.ids(text) == np.array(expected, dtype="<u4").tobytes(), repr(text)
     long = "wordwithoutblank" * 5000
     assert encoder.ids(long) == np.array(encoder.tokenizer.encode(long, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y, z<|endoftext|>.", "end<|endoftext|>, and\n<|endoftext|>\n", "<|endoftext|> " * 3000]
+
+
+@functools.cache
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
+
+
+def untouched(text):
+    return library().encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("cache", [3, 1000])
+def test_special_strings_have_the_ids_of_the_library(cache):
+    import random
+
+    encoder, rng = byte_ids.ByteIds(tokenizer_file("byte_bpe_50k.json"), cache_units=cache), random.Random(9)
+    assert untouched(SPECIAL[0]) == [64, 220, 50256, 275]
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "a", " ", "  ", "\n", "\t", ",", ".", "'s", "1", "\u00e9", " the"]
+    texts = SPECIAL + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    for text in texts:
+        assert encoder.ids(text) == np.array(untouched(text), dtype="<u4").tobytes(), repr(text)
+
+
+def test_packed_special_strings(spark):
+    rows = defaultdict(list)
+    for r in op.pack_documents(docs(spark, list(enumerate(SPECIAL)))).collect():
+        rows[r.doc_id].append(r)
+    for i, t in enumerate(SPECIAL):
+        ids = np.array([*untouched(t), 1], dtype="<u4")
+        for r in rows[i]:
+            assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())

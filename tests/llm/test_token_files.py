@@ -74,3 +74,15 @@ def test_files_hold_all_documents_in_order(spark):
 
 def test_empty_table(spark):
     assert op.round_trip(spark, docs(spark, [])).count() == 0
+
+
+def test_special_strings_have_the_ids_of_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library, at = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json")), 0
+    texts = ["a <|endoftext|> b", "x<|endoftext|>, y", "plain"]
+    rows = op.read_documents(*op.write_ids(docs(spark, list(enumerate(texts))), shared_uri(spark, "test-special"))).orderBy("start").collect()
+    for r, t in zip(rows, texts, strict=True):
+        ids = np.array([*library.encode(t, add_special_tokens=False).ids, 2], dtype="<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
