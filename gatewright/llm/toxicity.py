@@ -50,14 +50,17 @@ FOLDS, HELD_OUT = 5, 0
 #: Letters that a character is used for.
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SEPARATORS = " ._*-"
-COST_SAME, COST_LOOK, COST_REPEAT, COST_SEPARATOR = 0.05, 0.7, 0.7, 0.3
+COST_SAME, COST_LOOK, COST_REPEAT, COST_SEPARATOR, COST_WORD = 0.05, 0.7, 0.7, 0.3, 0.6
 
 _LOOKS = re.escape("".join(LOOKS_LIKE))
 MIXED = re.compile(rf"(?<![A-Za-z{_LOOKS}])(?:[A-Za-z]++[{_LOOKS}]|[{_LOOKS}]++[A-Za-z])[A-Za-z{_LOOKS}]*+(?![0-9])")
-REPEATED = re.compile(r"([A-Za-z])\1\1")
-SPACED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z{_LOOKS}](?:[ ._*\-][A-Za-z{_LOOKS}]){{2,}}(?![A-Za-z0-9])")
+REPEATED = re.compile(r"([A-Za-z])\1")
+LONG_RUN = re.compile(r"(.)\1{2,}", re.DOTALL)
+SPACED = re.compile(rf"(?<![A-Za-z0-9])[A-Za-z{_LOOKS}](?:[ ._*\-]++[A-Za-z{_LOOKS}]){{2,}}(?![A-Za-z0-9])")
+#: A word written out letter by letter may follow one of these as a word of its own.
+LEADING = re.compile(rf"[AaIi{_LOOKS}][ ._*\-]+(?=.+[ ._*\-])")
 WORD = re.compile(r"[^\W\d_]+")
-LONGEST = 40
+REMEMBERED = 64
 
 
 def codes(text: str) -> np.ndarray:
@@ -114,65 +117,90 @@ def character_model(docs: DataFrame) -> np.ndarray:
     return np.log(model).astype(np.float32).ravel()
 
 
-def lattice(stretch: str) -> list[list[tuple[str, float]]]:
-    """Per character what it may stand for ('' for nothing) and at which cost."""
+def lattice(stretch: str, words: bool = False) -> list[list[tuple[str, float]]]:
+    """Per character what it may stand for ('' for nothing, with ``words`` ' ' for the end of a word) and at which cost."""
     out, low = [], stretch.lower()
-    spaced, drawn = any(c in SEPARATORS for c in low), {m.group(1) for m in REPEATED.finditer(low)}
+    spaced = any(c in SEPARATORS for c in low)
     for k, char in enumerate(low):
-        options = []
+        options, before = [], low[k - 1] if k else ""
         if char in LETTERS:
             options.append((char, COST_SAME))
         options += [(c, COST_LOOK) for c in LOOKS_LIKE.get(char, "")]
         if char in SEPARATORS and spaced:
             options.append(("", COST_SEPARATOR))
-        elif char in drawn and k and char == low[k - 1]:
+            if words and before and before not in SEPARATORS:
+                options.append((" ", COST_WORD))
+        elif char == before and char in LETTERS:
             options.append(("", COST_REPEAT))
         out.append(options or [("", COST_LOOK)])
     return out
 
 
-def decode(stretch: str, model: np.ndarray) -> str:
-    """The most likely word behind a stretch: Viterbi over the lattice, a state being the last ``ORDER - 1`` symbols."""
+def decode(stretch: str, model: np.ndarray, words: bool = False) -> str:
+    """The most likely word (with ``words``: words) behind a stretch: Viterbi over the lattice, a state being the last ``ORDER - 1`` symbols."""
     size = ALPHABET ** (ORDER - 1)
-    best: dict[int, tuple[float, str]] = {0: (0.0, "")}
-    for options in lattice(stretch):
-        after: dict[int, tuple[float, str]] = {}
+    best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+    for options in lattice(stretch, words):
+        after: dict[int, tuple[float, tuple]] = {}
         for state, (score, word) in best.items():
             for char, cost in options:
                 if char:
-                    gram = state * ALPHABET + ord(char) - 96
-                    total, to, now = score - cost + float(model[gram]), gram % size, word + char
+                    gram = state * ALPHABET + (BOUNDARY if char == " " else ord(char) - 96)
+                    total, to, now = score - cost + float(model[gram]), gram % size, (word, char)
                 else:
                     total, to, now = score - cost, state, word
                 if to not in after or total > after[to][0]:
                     after[to] = (total, now)
         best = after
-    return max((score + float(model[state * ALPHABET]), word) for state, (score, word) in best.items())[1]
+    return max((score + float(model[state * ALPHABET]), _written(word)) for state, (score, word) in best.items())[1]
+
+
+def _written(word: tuple) -> str:
+    chars = []
+    while word:
+        word, char = word
+        chars.append(char)
+    return "".join(reversed(chars))
 
 
 def suspicious(text: str) -> list[str]:
-    """Stretches that may be disguised words, each once: look-alikes inside words, long repetitions, spaced letters."""
+    """Stretches that may be disguised words, each once: look-alikes inside words, repeated letters, spaced letters."""
     found = {m.group() for m in MIXED.finditer(text)}
-    for m in REPEATED.finditer(text):
-        start, end = m.span()
-        while start > 0 and m.start() - start < LONGEST and text[start - 1].isalpha():
+    end, m = 0, REPEATED.search(text)
+    while m:
+        start, last, end = m.start(), end, m.end()
+        while start > last and text[start - 1].isalpha():
             start -= 1
-        while end < len(text) and end - m.end() < LONGEST and text[end].isalpha():
+        while end < len(text) and text[end].isalpha():
             end += 1
         found.add(text[start:end])
+        m = REPEATED.search(text, end)
     found.update(m.group() for m in SPACED.finditer(text))
-    return [s.rstrip("!|+") for s in found if len(s) <= LONGEST]
+    return [s.rstrip("!|+") for s in found]
+
+
+def decoded_words(stretch: str, model: np.ndarray) -> list[str]:
+    """What a stretch may stand for: one word, and if it is spaced also the words it falls into and what follows a leading 'a' or 'I'."""
+    if not any(c in SEPARATORS for c in stretch):
+        return [decode(stretch, model)]
+    found = {decode(stretch, model), *decode(stretch, model, True).split(" ")}
+    leading = LEADING.match(stretch)
+    if leading:
+        found.add(decode(stretch[leading.end() :], model))
+    return sorted(found)
 
 
-def restored_words(text: str, model: np.ndarray, known: dict[str, str]) -> list[str]:
+def restored_words(text: str, model: np.ndarray, known: dict[str, list[str]]) -> list[str]:
     """Decoded words of a text's suspicious stretches; ``known`` remembers stretches and is bounded by the caller."""
     out = []
     for stretch in suspicious(text):
-        word = known.get(stretch)
-        if word is None:
-            word = known[stretch] = decode(stretch, model) if stretch else ""
-        if word:
-            out.append(word)
+        words = known.get(stretch)
+        if words is None:
+            # Three of a kind say all that more of them do.
+            words = decoded_words(LONG_RUN.sub(r"\1\1\1", stretch), model) if stretch else []
+            if len(stretch) <= REMEMBERED:
+                known[stretch] = words
+        out += filter(None, words)
     if len(known) > 100_000:
         known.clear()
     return out
@@ -243,7 +271,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
         """A table made from each text's words (with the word before it) and its label."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known: dict[str, str] = {}
+            known: dict[str, list[str]] = {}
             for batch in batches:
                 for rows in found(
                     (WORD.findall(t.lower()), restored_words(t, characters, known), y) for t, y in zip(*[c.to_pylist() for c in batch.columns])

@@ -101,3 +101,42 @@ def test_accuracy_on_labelled_documents(spark):
     frame, labels = table(spark, FOLDER, "documents"), table(spark, FOLDER, "labels")
     rows = op.score_documents(frame, op.fit(frame, labels)).filter("held_out").join(labels, "doc_id").collect()
     assert np.mean([r.predicted == r.toxic for r in rows]) > 0.93
+
+
+def test_suspicious_stretches_of_any_length():
+    assert op.suspicious("1d10t" + "!" * 40) == ["1d10t"]
+    assert op.suspicious("z" + "o" * 60) == ["z" + "o" * 60]
+    spaced = " ".join("youareanidiotyouareanidiot")
+    assert op.suspicious(spaced) == [spaced]
+    assert set(op.suspicious("i  d  i  o  t, or i--d--i--o--t, or iddiot")) == {"i  d  i  o  t", "i--d--i--o--t", "iddiot"}
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "mono z1d10t" + "!" * 40,
+        "mono zid" + "i" * 60 + "ot mi",
+        "such a z i d i o t",
+        "mono I z i d i o t",
+        "4 z i d i o t",
+        "z  i  d  i  o  t",
+        "z--i--d--i--o--t",
+        "z. i. d. i. o. t",
+        "zziiddiioott",
+        "zidiiot",
+        " ".join("monomizidiotlarapidobu"),
+        " ".join("monomi" * 8 + "zidiot" + "lara" * 8),
+    ],
+)
+def test_every_disguise_is_decoded(model, text):
+    assert model.scorer()(text) > 0.5
+
+
+def test_a_leading_article_is_no_part_of_a_word(model):
+    assert "zidiot" in op.restored_words("such a z i d i o t", model.characters, {})
+
+
+def test_long_stretches_take_linear_time(model):
+    score = model.scorer()
+    for text in ("ab" * 100_000 + "c", "x " * 20_000, "1a" * 20_000, "aab" * 20_000, "a" + " " * 300_000 + "b"):
+        assert 0 <= score(text) <= 1
