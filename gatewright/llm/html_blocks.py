@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from dataclasses import dataclass
@@ -10,7 +11,7 @@ TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+|[^<>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^\s\"'>][^\s>]*+)))?")
 NUMBERS = re.compile(r"[0-9]+")
 NAME_PARTS = re.compile(r"[a-z]+")
 
@@ -40,6 +41,11 @@ NOT_CONTENT_NAMES = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted promotion related "
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+#: Those that may hold most of a page's text and are still not its article.
+REPLIES = frozenset("comment comments consent cookie cookies disqus gdpr replies reply respond".split())
+#: After one of these a name says what the element has or lacks, not what it is.
+NO_MARK = frozenset("has have with without no non not".split())
+ATTRIBUTES = frozenset("class id role hidden aria-hidden style".split())
 NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 
 
@@ -51,6 +57,8 @@ class Element:
     skipped: bool
     in_header: bool
     link: bool
+    hard: bool = False
+    mark: int = 0
 
 
 @dataclass
@@ -62,7 +70,14 @@ class Block:
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m.group(1).lower(): (m.group(2) or m.group(3) or m.group(4) or "").lower() for m in ATTRIBUTE.finditer(raw)} if raw.strip() else {}
+    """Attributes of a start tag that matter here, by whole names; the first of equal names counts."""
+    found: dict[str, str] = {}
+    if raw.strip():
+        for name, *values in ATTRIBUTE.findall(raw):
+            name = name.lower()
+            if name in ATTRIBUTES and name not in found:
+                found[name] = "".join(values).lower()
+    return found
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:
@@ -80,14 +95,80 @@ def _skipped(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if "display:none" in attributes.get("style", "").replace(" ", ""):
         return True
-    return any(n in NOT_CONTENT_NAMES for n in NAME_PARTS.findall(attributes.get("class", "") + " " + attributes.get("id", "")))
+    return False
+
+
+@functools.lru_cache(maxsize=10_000)
+def _mark(names: str) -> int:
+    """0 if class and id names mark nothing, 1 if they mark what is not the article, 2 if that is replies or notices."""
+    found: set[str] = set()
+    for name in names.split():
+        for part in NAME_PARTS.findall(name):
+            if part in NO_MARK:
+                break
+            if part in NOT_CONTENT_NAMES:
+                found.add(part)
+    return 0 if not found else 1 if found.isdisjoint(REPLIES) else 2
+
+
+def _wrappers(elements: list[Element], blocks: list[Block], lost: dict[int, int]) -> frozenset[int]:
+    """Elements marked by their names that hold most of the page's unlinked text and are taken for wrappers of the article.
+
+    One that holds a main heading or an article is; replies and notices often hold articles of their own. Without these
+    an element is none if an article elsewhere has text, or if its names say replies or notices and other text is left.
+    """
+    held, heads, articles = [0] * len(elements), [False] * len(elements), [False] * len(elements)
+    for k in range(len(elements) - 1, 0, -1):
+        e = elements[k]
+        held[k] += lost.get(k, 0)
+        if e.skipped and not e.hard:
+            heads[k] |= e.tag in ("h1", "main") and not e.mark
+            up = e.parent
+            held[up] += held[k]
+            heads[up] |= heads[k]
+            articles[up] |= articles[k] or e.tag == "article" and not e.mark
+            articles[k] |= e.tag == "article"
+    left = sum(len(b.text) - b.link_chars for b in blocks)
+    half = (left + sum(lost.values())) / 2
+    marked = [k for k, e in enumerate(elements) if e.mark and not e.hard and held[k] > half]
+    if not marked:
+        return frozenset()
+    above, at = set(), marked[0]
+    while at >= 0:
+        above.add(at)
+        at = elements[at].parent
+    inside = [False] * len(elements)
+    for k, e in enumerate(elements):
+        inside[k] = k not in above and e.tag in ("article", "main") or e.parent >= 0 and inside[e.parent]
+    elsewhere = any(inside[b.owner] for b in blocks)
+    kept, before = set(), 0
+    for k in marked:
+        if kept:
+            left += before - held[k]
+        before = held[k]
+        replies = elements[k].mark == 2
+        if not (heads[k] or articles[k] and not replies or not left or not replies and not elsewhere):
+            break
+        kept.add(k)
+    return frozenset(kept)
 
 
 def parse(page: str) -> tuple[list[Element], list[Block]]:
     """Elements and blocks in page order. Element 0 stands for the whole page."""
+    elements, blocks, lost = _read(page, frozenset())
+    if lost:
+        kept = _wrappers(elements, blocks, lost)
+        if kept:
+            elements, blocks, _ = _read(page, kept)
+    return elements, blocks
+
+
+def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block], dict[int, int]]:
+    """Elements, blocks and the unlinked characters of each element that is skipped for its names; ``kept`` ones are not."""
     elements = [Element("", "", -1, False, False, False)]
     open_: list[int] = [0]
     blocks: list[Block] = []
+    lost: dict[int, int] = {}
     parts: list[str] = []
     state = {"owner": 0, "link": 0, "heading": False}
 
@@ -108,6 +189,10 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
             parts.append(text)
             if here.link:
                 state["link"] += len(text)
+        elif text and not here.hard and not here.link:
+            size = len(" ".join(text.split()))
+            if size:
+                lost[open_[-1]] = lost.get(open_[-1], 0) + size
 
     def close(tags: set[str] | frozenset[str], stop: set[str]) -> None:
         for depth in range(len(open_) - 1, 0, -1):
@@ -154,18 +239,23 @@ def parse(page: str) -> tuple[list[Element], list[Block]]:
         if raw.endswith("/") and ":" in tag:
             continue
         parent, attributes = elements[open_[-1]], _attributes(raw)
+        hard, mark = parent.hard or _skipped(tag, attributes), 0
+        if attributes and not hard and tag not in ("body", "html", "main") and len(elements) not in kept:
+            mark = _mark(f"{attributes.get('class', '')} {attributes.get('id', '')}")
         elements.append(
             Element(
                 tag,
                 f"{parent.path}>{_step(tag, attributes)}" if tag in CONTAINERS else parent.path,
                 open_[-1],
-                parent.skipped or _skipped(tag, attributes),
+                parent.skipped or hard or mark > 0,
                 parent.in_header or tag == "header",
                 parent.link or tag == "a",
+                hard,
+                mark,
             )
         )
         if elements[-1].skipped and not parent.skipped and tag not in BLOCKS and parts:
             add(" ")
         open_.append(len(elements) - 1)
     flush()
-    return elements, blocks
+    return elements, blocks, lost

@@ -111,3 +111,32 @@ def test_host_agrees_on_the_body(spark):
     texts = {r.page_id: r.text for r in op.main_text(pages(spark, rows)).collect()}
     assert texts[0] == LONG.strip() + "\n\nmore" and texts[9] == "short\n\n" + LONG.strip()
     assert texts[11] == "T11\n\n" + LONG.strip()
+
+
+ARTICLE = f"<article><h1>T</h1><p>{LONG}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='site has-sidebar'>{ARTICLE}</div>",
+        f"<div class='with-comments'>{ARTICLE}</div>",
+        f"<div id='no-banner'>{ARTICLE}</div>",
+        f"<div class='search-results'>{ARTICLE}</div><p>x</p>",
+        f"<div class='post comments-open'>{ARTICLE}</div>",
+        f"<div class='search-results'><h2>T</h2><p>{LONG}</p></div>",
+        f"<div data-hidden='false' title='a hidden thing'>{ARTICLE}</div>",
+        f"<div id='comments' width='5' data-grid='x'><p>{LONG[:50]}</p></div>{ARTICLE}",
+        f"{ARTICLE}<div class=comments><p>{LONG * 9}</p></div>",
+        f"<h2>T</h2><p>{LONG}</p><div class=comments><article>{LONG * 9}</article></div>",
+        f"{ARTICLE}<div class=sidebar><p>{LONG * 9}</p></div>",
+        f"<div class='widget'>{ARTICLE}<section class=replies>{LONG * 9}</section></div>",
+    ],
+)
+def test_wrappers_and_marks(page):
+    assert op.extract(f"<body>{page}</body>", []) == f"T\n\n{LONG.strip()}"
+
+
+def test_links_to_hidden_places_keep_their_texts():
+    assert op.extract(f"<p>see <a href='/hidden-gems'>gems</a> {LONG}</p>", []) == f"see gems {LONG.strip()}"
+    assert op.extract(f"<p title='hidden'>{LONG}</p><p hidden>no</p><p data-x=1 hidden=''>no</p>", []) == LONG.strip()
