@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_files, toxicity, warc
+from gatewright.llm import exact_dedup, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_align, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op8_pq_neardup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, folder, "documents"))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_align.align_documents(table(spark, folder, "documents"))
