@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_align, token_files, toxicity, warc
+from gatewright.llm import exact_dedup, hadamard_codes, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_align, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,46 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_align.align_documents(table(spark, folder, "documents"))
+
+
+def _codes_sql(rounds: int = hadamard_codes.ROUNDS, entries: int = hadamard_codes.ENTRIES, parts: int = hadamard_codes.PARTS) -> str:
+    """The rounds written out one after the other, for vectors of one length that ``parts`` divides."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, len(embedding) // {parts} AS size,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cells AS MATERIALIZED (
+  SELECT r, (i - 1) // size AS p, (i - 1) % size AS k, x
+  FROM (SELECT r, size, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept)
+),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, k, x FROM cells WHERE r <= {entries})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+near{n} AS MATERIALIZED (
+  SELECT r, p, min(s) AS s
+  FROM (SELECT c.r, c.p, {{'d': sum((c.x - b.x) * (c.x - b.x)), 'e': b.e}} AS s FROM cells c JOIN book{n} b USING (p, k) GROUP BY c.r, c.p, b.e)
+  GROUP BY r, p
+)""")
+        if n < rounds:
+            steps.append(f"""
+mean{n} AS MATERIALIZED (SELECT c.p, a.s.e AS e, c.k, sum(c.x) AS total, count(*) AS n FROM cells c JOIN near{n} a USING (r, p) GROUP BY ALL),
+book{n + 1} AS MATERIALIZED (
+  SELECT p, e, k, CAST(coalesce((total - ((total % n) + n) % n) // n, x) AS BIGINT) AS x FROM book{n} LEFT JOIN mean{n} USING (p, e, k)
+)""")
+    return f"""WITH {",".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', s.e), '' ORDER BY p) AS code, CAST(sum(s.d) AS BIGINT) AS error
+  FROM near{rounds} JOIN kept USING (r) GROUP BY r, vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, e, k)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+@query(_codes_sql())
+def op11_hadamard_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return hadamard_codes.compress(table(spark, folder, "embeddings"))
