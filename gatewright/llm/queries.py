@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gatewright.llm import exact_dedup, hadamard_codes, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_align, token_files, toxicity, warc
+from gatewright.llm import balanced_shards, exact_dedup, hadamard_codes, html_consensus, ngram_join, packing, pii, piece_codec, pq_neardup, token_align, token_files, toxicity, warc
 from gatewright.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ FROM coded
 @query(_codes_sql())
 def op11_hadamard_codes(spark: SparkSession, folder: str) -> DataFrame:
     return hadamard_codes.compress(table(spark, folder, "embeddings"))
+
+
+@query()
+def op13_balanced_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return balanced_shards.shard_documents(table(spark, folder, "documents"))
