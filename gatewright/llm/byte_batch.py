@@ -30,7 +30,7 @@ from gatewright.llm.byte_ids import CUT, OTHER_SPACE, byte_alphabet
 PLAIN = "^ ?[!-~¡-¬®-ɏ]+$"
 #: White space that makes a text be cut by :data:`CUT` instead of at every blank and line feed.
 BESIDE = "  |\n | \n|\n\n|^[ \n]|[ \n]$|[" + "".join(re.escape(c) if c.isprintable() else f"\\x{{{ord(c):x}}}" for c in OTHER_SPACE) + "]"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 TEXT = functools.partial(pa.scalar, type=pa.large_string())
 #: The pre-tokenizer of byte-level files.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -45,6 +45,8 @@ from gatewright.llm.common import staged, tokenizer_file
 PIECE = 64
 #: Pairs of a group beyond which its ids are counted before they are paired.
 LARGE_GROUP = 1024
+#: Text aligned at once, and text of a slice.
+ALIGN_BYTES = 2 << 20
 SLICE_BYTES = 8 << 20
 WORD_MARK = "▁"
 #: A slice as one row: figures per document, its held pairs (packed) and the slice's distinct pairs.
@@ -284,7 +286,7 @@ def align_slices(docs: DataFrame, file_a: str, file_b: str, slice_bytes: int = S
 
         number, gathered, both = TaskContext.get().partitionId() << 32, Gathered(), aligner(file_a, file_b)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, ALIGN_BYTES):
                 gathered.add(part.column(0), both.align(part.column(1)), part.column(1).nbytes)
                 if gathered.bytes >= slice_bytes:
                     yield gathered.row(number)
