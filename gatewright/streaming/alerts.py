@@ -1,17 +1,118 @@
-"""Sustained alerts on a stream of evaluations."""
+"""Sustained alerts on a stream of evaluations, with one run per series kept in Spark's state store."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from gatewright.functions.chunks import micros
-from gatewright.operators.alerts import evaluate_runs, held_for
 from gatewright.operators.metrics import SECOND
 
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Nested values are kept as JSON text in the state; times in them keep their microseconds.
+JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+AT, ON, SINCE = "__at", "__on", "__since"
+TRIGGER = {"availableNow": True}
+
+
+class _Runs(StatefulProcessor):
+    """Holds the evaluations of a series until the watermark has passed them, then judges them in their own order.
+
+    ``held`` lists the evaluations that wait, in order of arrival; ``run`` is the last judged one. A timer stands at the
+    first evaluation of every arrival, and after it fired at the first one that still waits. Fields are the key,
+    the other columns, the evaluation's time (microseconds) and truth, and, on arrival, the time that carries the watermark.
+    """
+
+    def __init__(self, held: T.StructType, out: T.StructType, for_micros: int, gap_micros: int | None):
+        self.held_type, self.fields, self.width = held, out.names, len(out) - len(held)
+        self.for_micros, self.gap_micros = for_micros, gap_micros
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.row = handle, Row(*self.fields)
+        self.held = handle.getListState("held", self.held_type)
+        self.run = handle.getValueState("run", "at BIGINT, is_on BOOLEAN, since BIGINT")
+
+    def _wake(self, at: int) -> None:
+        self.handle.registerTimer(-(-at // 1000))  # timers count milliseconds
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        closed = timerValues.getCurrentWatermarkInMs() * 1000
+        # Spark's own filter for late rows lags a batch behind; there is no watermark yet while it is 0.
+        fresh = [r for r in (tuple(r)[self.width : -1] for r in rows) if r[-2] > closed or not closed]
+        if fresh:
+            self.held.appendList(fresh)
+            self._wake(min(r[-2] for r in fresh))
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        closed = timerValues.getCurrentWatermarkInMs() * 1000
+        ready, waiting = [], []
+        for r in self.held.get():
+            (ready if r[-2] <= closed else waiting).append(tuple(r))
+        if not ready:
+            return  # an earlier timer of this key took them
+        if waiting:
+            self.held.put(waiting)
+            self._wake(min(r[-2] for r in waiting))
+        else:
+            self.held.clear()
+        was_at, was_on, since = self.run.get() or (None, False, None)
+        for r in sorted(ready, key=lambda r: r[-2]):
+            at, is_on = r[-2:]
+            silent = was_at is not None and self.gap_micros is not None and at - was_at > self.gap_micros
+            if is_on and (not was_on or silent):
+                since = at
+            if is_on and at - since >= self.for_micros:
+                yield self.row(*key, *r[:-2], at, since)
+            was_at, was_on = at, is_on
+        self.run.update((was_at, was_on, since if was_on else None))
+
+    def close(self) -> None:
+        pass
+
+
+def firing_evaluations(
+    stream: DataFrame, keys: Sequence[str], condition: Column, for_seconds: int, max_gap_seconds: int | None = None, delay_seconds: int = 60
+) -> DataFrame:
+    """The evaluations (``ts``) of an unbounded input that fire, with ``active_since``; columns are kept.
+
+    Evaluations may arrive up to ``delay_seconds`` behind the newest one. Each is
+    judged when the watermark has passed it, so files out of order give the
+    alerts of the batch operator, ``delay_seconds`` later; what arrives behind
+    the watermark is dropped, and so are evaluations without a time. Evaluations
+    of one series at the same instant are taken in order of arrival. A series'
+    evaluations of one micro-batch are one task's work: a rule gives one per
+    series and evaluation interval. Nested columns wait as JSON text, so their
+    maps need text keys. The state needs Spark's RocksDB provider.
+    """
+    keys = list(keys)
+    if not keys:
+        raise ValueError("series need at least one key column")
+    rest = [c for c in stream.columns if c not in (*keys, "ts")]
+    fields = {f.name: f for f in stream.schema.fields}
+    nested = [c for c in rest if isinstance(fields[c].dataType, (T.ArrayType, T.MapType, T.StructType))]
+    kept = [T.StructField(c, T.StringType()) if c in nested else fields[c] for c in (*keys, *rest)]
+    judged = [T.StructField(AT, T.LongType()), T.StructField(ON, T.BooleanType())]
+    held = T.StructType(kept[len(keys) :] + judged)
+    out = T.StructType(kept + [T.StructField(AT, T.LongType()), T.StructField(SINCE, T.LongType())])
+    rows = (
+        stream.filter("ts IS NOT NULL")
+        .withWatermark("ts", f"{delay_seconds} seconds")
+        .select(*keys, *[F.to_json(c, JSON).alias(c) if c in nested else c for c in rest], micros("ts").alias(AT), F.coalesce(condition, F.lit(False)).alias(ON), "ts")
+    )
+    gap = None if max_gap_seconds is None else max_gap_seconds * SECOND
+    fired = rows.groupBy(*keys).transformWithState(_Runs(held, out, for_seconds * SECOND, gap), out, "Append", "EventTime")
+    kind = fields["ts"].dataType
+    times = {"ts": F.timestamp_micros(AT).cast(kind), "active_since": F.timestamp_micros(SINCE).cast(kind)}
+    values = {c: F.from_json(c, fields[c].dataType, JSON) for c in nested}
+    return fired.withColumns(times | values).select(*stream.columns, "active_since")
+
 
 def stream_alerts(
     stream: DataFrame,
@@ -22,62 +123,21 @@ def stream_alerts(
     checkpoint: str,
     max_gap_seconds: int | None = None,
     delay_seconds: int = 60,
+    trigger: Mapping[str, object] = TRIGGER,
 ) -> StreamingQuery:
-    """Firing evaluations of an unbounded input, written per micro-batch to ``<root>/alerts``.
-
-    Evaluations may arrive up to ``delay_seconds`` behind the newest one. They
-    are held until that time has passed and then judged in their own order, so
-    files out of order give the alerts of the batch operator. What arrives later
-    still is dropped, and evaluations of the last ``delay_seconds`` wait.
-
-    The last judged evaluation of every series is carried from batch to batch
-    (``state``, one small row per series), and so are the held ones. All folders
-    are keyed by batch id and overwritten, so a repeated batch gives the same
-    result; those of batches that can no longer be repeated are removed.
-    """
-    keys = list(keys)
-    if not keys:
-        raise ValueError("series need at least one key column")
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state, mark = None, None
-        if batch_id > 0:
-            state = spark.read.parquet(f"{root}/state/{batch_id - 1}")
-            mark = spark.read.parquet(f"{root}/marks/{batch_id - 1}").first()
-            held = spark.read.schema(batch.schema).parquet(f"{root}/held/{batch_id - 1}")
-            fresh = batch if mark.closed is None else batch.filter(micros("ts") > mark.closed)
-            batch = fresh.unionByName(held)
-        # The source and the held rows are evaluated once, into this table.
-        batch.write.mode("overwrite").parquet(f"{root}/seen/{batch_id}")
-        seen = spark.read.schema(batch.schema).parquet(f"{root}/seen/{batch_id}")
-        latest = [x for x in (seen.agg(F.max(micros("ts"))).first()[0], mark and mark.newest) if x is not None]
-        newest = max(latest) if latest else None
-        closed = None if newest is None else newest - delay_seconds * SECOND
-        ready = seen.filter(micros("ts") <= F.lit(closed).cast("bigint"))
-        seen.filter(micros("ts") > F.lit(closed).cast("bigint")).write.mode("overwrite").parquet(f"{root}/held/{batch_id}")
-        runs = evaluate_runs(ready, keys, condition, max_gap_seconds, state=state).persist()
-        try:
-            last = F.max_by(F.struct("ts", "is_on", "active_since"), "ts").alias("__latest")
-            runs.groupBy(*keys).agg(last).select(*keys, "__latest.*").write.mode("overwrite").parquet(f"{root}/state/{batch_id}")
-            new = runs if state is None else runs.filter(~F.col("__state")).drop("__state")
-            fired = new.filter(F.col("is_on") & held_for(for_seconds)).drop("is_on")
-            fired.write.mode("overwrite").parquet(f"{root}/alerts/{batch_id}")
-        finally:
-            runs.unpersist()
-        marks = spark.range(1).select(F.lit(newest).cast("bigint").alias("newest"), F.lit(closed).cast("bigint").alias("closed"))
-        marks.coalesce(1).write.mode("overwrite").parquet(f"{root}/marks/{batch_id}")
-        for name in ("seen", "held", "state", "marks"):
-            _remove(spark, f"{root}/{name}/{batch_id - 2}")
-
-    return (
-        stream.writeStream.foreachBatch(step)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """:func:`firing_evaluations` appended to ``<root>/alerts``, exactly once per checkpoint."""
+    fired = firing_evaluations(stream, keys, condition, for_seconds, max_gap_seconds, delay_seconds)
+    conf = stream.sparkSession.conf
+    before = conf.get(PROVIDER_CONF, None)
+    conf.set(PROVIDER_CONF, ROCKSDB)  # a query keeps the setting it was started with
+    try:
+        return (
+            fired.writeStream.format("parquet")
+            .option("path", f"{root}/alerts")
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(**trigger)
+            .start()
+        )
+    finally:
+        conf.unset(PROVIDER_CONF) if before is None else conf.set(PROVIDER_CONF, before)

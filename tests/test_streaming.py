@@ -43,7 +43,7 @@ def fired(spark, tmp_path, condition, for_seconds, gap=None, delay=60):
     stream_alerts_module.stream_alerts(
         stream(spark, f"{tmp_path}/in"), ["s"], condition, for_seconds, f"{tmp_path}/out", f"{tmp_path}/cp", gap, delay
     ).awaitTermination()
-    return spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/alerts").select("s", "ts", "active_since").collect()
+    return spark.read.parquet(f"{tmp_path}/out/alerts").select("s", "ts", "active_since").collect()
 
 
 def test_alerts_over_files_out_of_order_equal_batch(spark, tmp_path):
@@ -71,6 +71,28 @@ def test_evaluations_behind_the_watermark_are_dropped(spark, tmp_path):
     assert [(r.ts, r.active_since) for r in got] == [(T0 + timedelta(seconds=120), T0)]
 
 
+def test_alerts_go_on_after_a_restart(spark, tmp_path):
+    rows = points(5)
+    on = (F.col("value") % 4) != 0
+    for part in split(rows, 160):  # every call is a query of its own, from the same checkpoint
+        arrive(spark, f"{tmp_path}/in", [part])
+        got = fired(spark, tmp_path, on, 45, 40, delay=30)
+    batch = alerts.sustained_for(spark.createDataFrame(rows, SCHEMA), ["s"], on, 45, 40).filter("firing").select("s", "ts", "active_since")
+    expected = [r for r in batch.collect() if r.ts <= max(r[1] for r in rows) - timedelta(seconds=30)]
+    assert sorted(got) == sorted(expected) and len(got) > 20
+
+
+def test_alerts_keep_other_columns_and_null_keys(spark, tmp_path):
+    folder, kinds = f"{tmp_path}/in", "s STRING, ts TIMESTAMP, value DOUBLE, n BIGINT, seen TIMESTAMP, tags MAP<STRING, INT>, at INT"
+    rows = [(s, T0 + timedelta(minutes=m), 1.0, None if m % 2 else 2**62 + m, T0, {"a": m}, m) for s in ("a", None) for m in range(6)]
+    spark.createDataFrame([*rows, ("a", None, 1.0, 1, T0, None, 1), ("z", T0 + timedelta(hours=1), 0.0, 1, None, {}, 1)], kinds).coalesce(1).write.parquet(folder)
+    frame = samples_stream(spark, folder, kinds, files_per_trigger=1)
+    stream_alerts_module.stream_alerts(frame, ["s"], F.col("value") == 1, 180, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out/alerts")
+    assert got.columns == [*frame.columns, "active_since"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(((*r, T0) for r in rows if r[-1] >= 3), key=repr)
+
+
 def test_rates_count_restarts_inside_an_interval(spark, tmp_path):
     rng, value, rows = random.Random(3), 0, []
     for i in range(400):
