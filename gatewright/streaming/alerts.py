@@ -12,13 +12,11 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 
 from gatewright.functions.chunks import micros
 from gatewright.operators.metrics import SECOND
+from gatewright.streaming.sinks import AVAILABLE_NOW, append, keyed_state
 
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Nested values are kept as JSON text in the state; times in them keep their microseconds.
 JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 AT, ON, SINCE = "__at", "__on", "__since"
-TRIGGER = {"availableNow": True}
 
 
 class _Runs(StatefulProcessor):
@@ -123,21 +121,9 @@ def stream_alerts(
     checkpoint: str,
     max_gap_seconds: int | None = None,
     delay_seconds: int = 60,
-    trigger: Mapping[str, object] = TRIGGER,
+    trigger: Mapping[str, object] = AVAILABLE_NOW,
 ) -> StreamingQuery:
     """:func:`firing_evaluations` appended to ``<root>/alerts``, exactly once per checkpoint."""
     fired = firing_evaluations(stream, keys, condition, for_seconds, max_gap_seconds, delay_seconds)
-    conf = stream.sparkSession.conf
-    before = conf.get(PROVIDER_CONF, None)
-    conf.set(PROVIDER_CONF, ROCKSDB)  # a query keeps the setting it was started with
-    try:
-        return (
-            fired.writeStream.format("parquet")
-            .option("path", f"{root}/alerts")
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(**trigger)
-            .start()
-        )
-    finally:
-        conf.unset(PROVIDER_CONF) if before is None else conf.set(PROVIDER_CONF, before)
+    with keyed_state(stream.sparkSession):
+        return append(fired, f"{root}/alerts", checkpoint, trigger)

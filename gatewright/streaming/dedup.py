@@ -9,16 +9,22 @@ from pyspark.sql import functions as F
 
 
 def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str, order: Sequence[str]) -> DataFrame:
-    """Keep the first row per natural key in ``order``; repeats may arrive up to ``delay`` late.
+    """Keep one row per natural key; repeats may arrive up to ``delay`` late.
 
-    The event time must be part of the key, as it is for a captured read. A key
-    is decided when the watermark has passed its time: all its copies that count
-    have arrived by then, so the same one stays as in a batch, whatever the
-    order of arrival, and the row appears that much later. A key with very many
-    copies is reduced in every map task before the shuffle.
+    With the event time in the key, as for a captured read, the first row in
+    ``order`` stays. A key is decided when the watermark has passed its time: all
+    its copies that count have arrived by then, so the same one stays as in a
+    batch, whatever the order of arrival, and the row appears that much later. A
+    key with very many copies is reduced in every map task before the shuffle.
+
+    Without it, the row that arrives first stays and appears at once. Its key is
+    remembered until the watermark has passed the row's time by ``delay``;
+    repeats until then are dropped, in later micro-batches too, and a repeat
+    after that is a new row. What arrives behind the watermark is dropped even
+    if its key is new. ``order`` does not decide between rows of one micro-batch.
     """
     if event_time not in keys:
-        raise ValueError(f"{event_time} must be part of the natural key")
+        return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
     rest = [c for c in stream.columns if c not in keys]
     late = stream.withWatermark(event_time, delay)
     if not rest:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gatewright.operators.quality import Expectation, run_suite
+from gatewright.streaming.sinks import AVAILABLE_NOW
 
 
-def stream_quality_gate(stream: DataFrame, suite: Sequence[Expectation], root: str, checkpoint: str) -> StreamingQuery:
+def stream_quality_gate(stream: DataFrame, suite: Sequence[Expectation], root: str, checkpoint: str, trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
     """Run the suite on every micro-batch and file its rows under the verdict.
 
     ``<root>/rows`` is one table partitioned by ``place`` (``curated`` when the
@@ -35,6 +36,6 @@ def stream_quality_gate(stream: DataFrame, suite: Sequence[Expectation], root: s
     return (
         stream.writeStream.foreachBatch(judge)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )

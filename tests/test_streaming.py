@@ -9,7 +9,7 @@ from gatewright.operators import alerts, metrics, quality
 from gatewright.sources.samples import samples_stream
 from gatewright.streaming import alerts as stream_alerts_module
 from gatewright.streaming import dedup, gate, rates
-from gatewright.streaming.sinks import drain
+from gatewright.streaming.sinks import drain, keyed_state
 
 T0 = datetime(2026, 9, 1)
 SCHEMA = "s string, ts timestamp, value double"
@@ -99,7 +99,8 @@ def test_rates_count_restarts_inside_an_interval(spark, tmp_path):
         value = 0 if rng.random() < 0.1 else value + rng.randrange(9)
         rows.append(("a", T0 + timedelta(seconds=5 * i), float(value)))
     arrive(spark, f"{tmp_path}/in", split(rows, 90))
-    drain(rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 300, 60, 15, 30), f"{tmp_path}/out", f"{tmp_path}/cp")
+    with keyed_state(spark):
+        drain(rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 300, 60, 30), f"{tmp_path}/out", f"{tmp_path}/cp")
     got = {r.ts: r.increase for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     batch = {r.ts: r.increase for r in metrics.counter_increase(spark.createDataFrame(rows, SCHEMA), ["s"], 300, 60).collect()}
     assert len(got) > 25 and all(abs(got[k] - batch[k]) < 1e-6 for k in got)
@@ -108,8 +109,9 @@ def test_rates_count_restarts_inside_an_interval(spark, tmp_path):
 def test_rate_windows_equal_batch_on_closed_windows(spark, tmp_path):
     rows = points(2)
     arrive(spark, f"{tmp_path}/in", split(rows, 160))
-    found = rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 300, 60, 15, 30)
-    drain(found, f"{tmp_path}/out", f"{tmp_path}/cp")
+    found = rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 300, 60, 30)
+    with keyed_state(spark):
+        drain(found, f"{tmp_path}/out", f"{tmp_path}/cp")
     got = {(r.s, r.ts): r.increase for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     batch = {(r.s, r.ts): r.increase for r in metrics.counter_increase(spark.createDataFrame(rows, SCHEMA), ["s"], 300, 60).collect()}
     closed = max(r[1] for r in rows) - timedelta(seconds=30)
@@ -118,6 +120,40 @@ def test_rate_windows_equal_batch_on_closed_windows(spark, tmp_path):
     assert all(abs(got[k] - expected[k]) < 1e-6 for k in got)
 
 
+def test_long_windows_with_short_steps_silence_and_lateness(spark, tmp_path):
+    rng, value, rows = random.Random(8), 0, []
+    for i in range(500):
+        value = 0 if rng.random() < 0.03 else value + rng.randrange(9)
+        if not 200 <= i < 320:  # silent for half an hour
+            rows.append(("a", T0 + timedelta(seconds=15 * i + rng.randrange(3)), float(value)))
+    rows.append(("z", T0 + timedelta(seconds=15 * 520), 1.0))
+    shuffled = sorted(rows, key=lambda r: r[1] + timedelta(seconds=rng.randrange(100)))
+    for part in split(shuffled, 130):  # a restart from the checkpoint each time
+        arrive(spark, f"{tmp_path}/in", [part])
+        with keyed_state(spark):
+            drain(rates.stream_rate_windows(stream(spark, f"{tmp_path}/in"), ["s"], 3600, 15, 120), f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = {(r.s, r.ts): r.increase for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    batch = {(r.s, r.ts): r.increase for r in metrics.counter_increase(spark.createDataFrame(rows, SCHEMA), ["s"], 3600, 15).collect()}
+    closed = max(r[1] for r in rows) - timedelta(seconds=120)
+    expected = {k: v for k, v in batch.items() if k[1] < closed}
+    assert got.keys() == expected.keys() and len(got) > 400
+    assert all(abs(got[k] - expected[k]) < 1e-6 for k in got)
+
+
+def test_dedup_by_a_key_without_time(spark, tmp_path):
+    at = lambda m: T0 + timedelta(minutes=m)
+    arrive(spark, f"{tmp_path}/in", [
+        [("a", at(0), 1.0), ("b", at(1), 1.0)],
+        [("a", at(8), 2.0), ("c", at(9), 2.0)],  # a repeat in a later batch
+        [("a", at(30), 3.0), ("b", at(5), 3.0)],  # a new row of a's, ten minutes after the first; a late repeat of b
+        [("d", at(2), 4.0), ("a", at(35), 4.0)],  # behind the watermark; a repeat
+    ])
+    drain(dedup.stream_dedup(stream(spark, f"{tmp_path}/in"), ["s"], "ts", "10 minutes", ["value"]), f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = sorted((r.s, r.value) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    print(got)
+    assert got[:1] == [("a", 1.0)] and ("b", 1.0) in got and ("c", 2.0) in got and ("a", 2.0) not in got and ("b", 3.0) not in got and ("a", 4.0) not in got
+
+
 def test_dedup_keeps_the_first_over_batches(spark, tmp_path):
     rng = random.Random(4)
     rows = [("ab"[i % 2], T0 + timedelta(minutes=i // 8), float(v)) for i, v in enumerate(rng.sample(range(1000), 160))]
