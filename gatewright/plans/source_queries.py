@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from gatewright import schemas
 from gatewright.plans.dataset_queries import FIRST_LINES_SQL, first_lines
 from gatewright.plans.metric_queries import SAMPLES_SQL, request_samples
 from gatewright.plans.quality_queries import LINE_SUITE_SQL, RESULT, line_results
 from gatewright.plans.registry import Tables, query
 from gatewright.session import shared_dir
 from gatewright.sources import catalog_store, curated, events_csv, objects, samples
-from gatewright.streaming.sinks import drain
+from gatewright.streaming.sinks import AS_THEY_COME, append, keyed_state
 
 
 def raw_files(t: Tables) -> str:
@@ -135,47 +137,60 @@ def save_catalog(t: Tables) -> DataFrame:
     return joined_catalog(catalog_store.load_catalog(t.spark, root))
 
 
-FILES = 4
+ARRIVALS = 4
 
 
-def arriving_files(df: DataFrame, path: str, number: Column) -> str:
-    """``df`` written as ``FILES`` files one after the other, each row in file ``number``, as an upstream job would."""
-    for k in range(FILES):
-        df.filter(number == k).coalesce(1).write.mode("append").parquet(path)
-    return path
+def in_arrivals(df: DataFrame, number: Column) -> list[str]:
+    """``df`` written once, as one folder per arrival: rows of arrival ``number``, those before the first or without a number in the first."""
+    path = shared_dir(df.sparkSession, "arrivals")
+    arrival = F.least(F.greatest(F.coalesce(number, F.lit(0)), F.lit(0)), F.lit(ARRIVALS - 1)).cast("int")
+    df.withColumn("__arrival", arrival).write.partitionBy("__arrival").parquet(path)
+    return [f"{path}/__arrival={k}" for k in range(ARRIVALS)]
+
+
+def run_arrivals(spark: SparkSession, folders: list[str], start: Callable[[str], StreamingQuery]) -> None:
+    """Run the query that ``start`` makes of a folder to which one arrival after the other is published, a micro-batch each."""
+    source = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark, "published"))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(source)
+    running = start(source.toString())
+    try:
+        for k, folder in enumerate(folders):
+            waiting = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if files.exists(waiting):
+                files.rename(waiting, spark._jvm.org.apache.hadoop.fs.Path(source, str(k)))
+                running.processAllAvailable()
+    finally:
+        running.stop()
 
 
 def out_of_order(row: Column) -> Column:
-    """Number of the file a row of January 2024 arrives in: by time, but up to 40 minutes late at the borders."""
+    """Arrival of a row of January 2024: by time, but up to 40 minutes late at the borders."""
     seen = F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(row, F.lit(3)) * 1200
-    return F.least(F.floor((seen - 1704067200) / (8 * 86400)), F.lit(FILES - 1))
+    return F.floor((seen - 1704067200) / (8 * 86400))
 
 
-def stored_samples(t: Tables) -> str:
-    """Request counter samples as files of the general sample schema, some samples late."""
-    path = shared_dir(t.spark, "samples")
+def run_samples(t: Tables, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` makes of the request counters as a stream of general samples, some late, read back from its sink."""
     labels = F.create_map(
         F.lit("route"), F.col("route"), F.lit("code"), F.col("code").cast("string"), F.lit("revision"), F.col("revision").cast("string")
     )
     rows = request_samples(t).select(
         F.lit("requests_total").alias("metric"), labels.alias("labels"), F.col("ts").cast("timestamp").alias("ts"), "value"
     )
-    return arriving_files(rows, path, out_of_order(F.unix_micros("ts")))
+    out, checkpoint = shared_dir(t.spark, "sink"), shared_dir(t.spark, "checkpoint")
+    label = lambda name: F.col("labels")[name]
 
+    def start(path: str) -> StreamingQuery:
+        stored = samples.samples_stream(t.spark, path, recursiveFileLookup="true")
+        series = stored.select(label("route").alias("route"), label("code").cast("int").alias("code"), label("revision").cast("int").alias("revision"), "ts", "value")
+        with keyed_state(t.spark):
+            return append(build(series), out, checkpoint, AS_THEY_COME)
 
-def request_stream(t: Tables) -> DataFrame:
-    stream = samples.samples_stream(t.spark, stored_samples(t), schemas.SAMPLES, files_per_trigger=1)
-    return stream.select(
-        F.col("labels")["route"].alias("route"),
-        F.col("labels")["code"].cast("int").alias("code"),
-        F.col("labels")["revision"].cast("int").alias("revision"),
-        "ts",
-        "value",
-    )
+    run_arrivals(t.spark, in_arrivals(rows, out_of_order(F.unix_micros("ts"))), start)
+    return t.spark.read.parquet(out)
 
 
 @query(f"SELECT route, code, revision, ts, value FROM {SAMPLES_SQL}")
 def samples_stream(t: Tables) -> DataFrame:
-    out = shared_dir(t.spark, "sink")
-    drain(request_stream(t), out, shared_dir(t.spark, "checkpoint"))
-    return t.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return run_samples(t, lambda stream: stream).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

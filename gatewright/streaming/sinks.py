@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 AVAILABLE_NOW = {"availableNow": True}
+AS_THEY_COME = {"processingTime": "0 seconds"}
 
 
 @contextlib.contextmanager
