@@ -1,9 +1,12 @@
 """Ids of many texts at once by a byte-level BPE file: every distinct unit of a batch is encoded once.
 
-Texts are cut into units where the file's pre-tokenizer never joins what stands
-on the two sides (see :mod:`gatewright.llm.byte_ids`). Cutting, and finding the
-distinct units of a batch, is Arrow's work; the distinct units are encoded
-together and their ids are gathered by unit. Nothing is kept between batches, so
+The file's pre-tokenizer never joins what stands before a blank with what follows
+it, so a text may be cut in front of any blank, and on both sides of any line feed,
+that has a non-blank on either side: the ids of the units, one after the other, are
+the ids of the text. The file's special strings, such as ``<|endoftext|>``, have
+their own ids wherever they stand in a text, as the library has it. Cutting, and
+finding the distinct units of a batch, is Arrow's work; the distinct units are
+encoded together and their ids are gathered by unit. Nothing is kept between batches, so
 memory is bounded by the batch: callers slice texts with :func:`slices`.
 
 Units of plain characters go, one per line, through one call of a BPE encoder
@@ -24,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from gatewright.llm.byte_ids import CUT, OTHER_SPACE, byte_alphabet
-
+CUT = re.compile(r"(?<=\S)(?= \S)")
+#: White space other than blank and line feed, and the mark used for cutting.
+OTHER_SPACE = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"] + ["\0", "\u180e"]
 #: A unit of printable characters of the Latin blocks, perhaps after one blank.
 PLAIN = "^ ?[!-~¡-¬®-ɏ]+$"
 #: White space that makes a text be cut by :data:`CUT` instead of at every blank and line feed.
@@ -38,8 +42,9 @@ WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 def bytes_of_letters() -> dict[str, int]:
     """The byte that each letter of a byte-level vocabulary stands for."""
-    moved = byte_alphabet()
-    return {moved.get(b, chr(b)): b for b in range(256)}
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}  # stand for themselves, the others for the characters from 256 on
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b) if b in printable else chr(256 + others.index(b)): b for b in range(256)}
 
 
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -187,6 +192,12 @@ class ByteBatch:
         return ids[ragged(starts[at], counts[at])], sums_by_run(counts[at], places)
 
 
+    def documents(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode` with an end id after every text's ids."""
+        ids, counts = self.encode(texts)
+        return np.insert(ids, np.cumsum(counts), end_id).astype("<u4"), counts + 1
+
+
 @functools.lru_cache(maxsize=2)
 def byte_batch(file: str, special_as_text: bool = False) -> ByteBatch:
     """One instance per file and Python worker."""

@@ -20,12 +20,13 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewright.llm.byte_ids import byte_ids
+from gatewright.llm.byte_batch import byte_batch, slices
 from gatewright.llm.common import staged, text_of, tokenizer_file
 
 CAPACITY = 2048
@@ -68,20 +69,19 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[tuple[int, int
 def cut_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces of every document: full ones from its start, then the rest. The end id is the document's last."""
     file = tokenizer or tokenizer_file("byte_bpe_50k.json")
-    closing = end_id.to_bytes(4, "little")
-    width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = byte_ids(file)
+        encoder = byte_batch(file)
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                data = encoder.ids(text) + closing
-                total = len(data) // 4
-                for at in range(0, len(data), width):
-                    piece = data[at : at + width]
-                    out.append((doc_id, at // 4, len(piece) // 4, zlib.crc32(piece), total))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)] if out else [pa.array([], pa.int64())] * 5, names)
+            for part in slices(batch, 1):
+                ids, counts = encoder.documents(part.column(1), end_id)
+                data, out, first = memoryview(ids), [], 0
+                for doc_id, total in zip(part.column(0).to_pylist(), counts.tolist()):
+                    for at in range(0, total, capacity):
+                        length = min(capacity, total - at)
+                        out.append((doc_id, at, length, zlib.crc32(data[first + at : first + at + length]), total))
+                    first += total
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(cut, PIECES)
@@ -119,16 +119,14 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
     """The packed pieces with their ``ids``, for documents with unique ids: read them by ``sequence_id``, ``offset``."""
     file = tokenizer or tokenizer_file("byte_bpe_50k.json")
-    closing = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
-        encoder = byte_ids(file)
+        encoder = byte_batch(file)
         for batch in batches:
-            data = [encoder.ids(t) + closing for t in batch.column(1).to_pylist()]
-            ids = pa.array([np.frombuffer(d, "<u4").astype("i8") for d in data], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "doc_ids"])
+            for part in slices(batch, 1):
+                ids, counts = encoder.documents(part.column(1), end_id)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(ids, pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "doc_ids"])
 
     whole = docs.select("doc_id", text_of().alias("text")).mapInArrow(encode, "doc_id BIGINT, doc_ids ARRAY<BIGINT>")
     return packed.join(whole, "doc_id").select(

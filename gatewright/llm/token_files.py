@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gatewright.llm.byte_ids import byte_ids
+from gatewright.llm.byte_batch import byte_batch, slices
 from gatewright.llm.common import staged, text_of, tokenizer_file
 from gatewright.llm.files import reading, shared_uri, writing
 
@@ -237,23 +237,22 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
     plain file is coded to its final one.
     """
     spark, file = docs.sparkSession, tokenizer or tokenizer_file("byte_bpe_50k.json")
-    closing = end_id.to_bytes(4, "little")
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), byte_ids(file)
-        vocabulary = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+        part, encoder = TaskContext.get().partitionId(), byte_batch(file)
+        vocabulary = max(encoder.vocabulary, end_id + 1)
         counts, doc_ids, lengths = np.zeros(vocabulary, np.int64), [], []
         uri = f"{folder}/plain/{part:06d}.ids"
         with writing(uri) as raw, pa.CompressedOutputStream(raw, "zstd") as out:
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = np.frombuffer(encoder.ids(text) + closing, "<u4")
-                    np.add.at(counts, ids, 1)
+                for some in slices(batch, 1):
+                    ids, sizes = encoder.documents(some.column(1), end_id)
+                    counts += np.bincount(ids, minlength=vocabulary)
                     out.write(ids.astype("<u2" if vocabulary <= 1 << 16 else "<u4").tobytes())
-                    doc_ids.append(doc_id)
-                    lengths.append(len(ids))
+                    doc_ids.extend(some.column(0).to_pylist())
+                    lengths.extend(sizes.tolist())
         if doc_ids:
             yield pa.RecordBatch.from_pydict(
                 {"part": [part], "uri": [uri], "n_docs": [len(doc_ids)], "n_tokens": [sum(lengths)], "counts": [zlib.compress(counts.tobytes(), 1)], "doc_ids": [doc_ids], "lengths": [lengths]},
@@ -297,7 +296,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id
 
 def tokenizer_width(file: str, end_id: int = END_ID) -> int:
     """Bytes of an id in the plain files."""
-    return 2 if max(byte_ids(file).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    return 2 if max(byte_batch(file).vocabulary, end_id + 1) <= 1 << 16 else 4
 
 
 def read_documents(files: DataFrame, table: FrequencyTable) -> DataFrame:

@@ -50,7 +50,6 @@ def test_each_stage_against_a_plain_version(spark, stages):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     total, used = defaultdict(int), defaultdict(int)
     for r in rows[4]:
         total[r.doc_id] += r.length

@@ -18,7 +18,6 @@ def plain(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], dtype="<u4")
 
 
