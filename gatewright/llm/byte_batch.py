@@ -27,14 +27,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CUT = re.compile(r"(?<=\S)(?= \S)")
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 #: White space other than blank and line feed, and the mark used for cutting.
 OTHER_SPACE = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n"] + ["\0", "\u180e"]
 #: A unit of printable characters of the Latin blocks, perhaps after one blank.
 PLAIN = "^ ?[!-~¡-¬®-ɏ]+$"
 #: White space that makes a text be cut by :data:`CUT` instead of at every blank and line feed.
 BESIDE = "  |\n | \n|\n\n|^[ \n]|[ \n]$|[" + "".join(re.escape(c) if c.isprintable() else f"\\x{{{ord(c):x}}}" for c in OTHER_SPACE) + "]"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+LIBRARY_CHARACTERS = 1 << 17
 TEXT = functools.partial(pa.scalar, type=pa.large_string())
 #: The pre-tokenizer of byte-level files.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -170,16 +171,26 @@ class ByteBatch:
             first = np.delete(ids, ends)
         if plain.all():
             return first, first_counts
-        odd = self.tokenizer.encode_batch(units.filter(pa.array(~plain)).to_pylist(), add_special_tokens=False)
-        odd_ids = [e.ids for e in odd]
+        odd = list(self._library(units.filter(pa.array(~plain)).to_pylist()))
         counts = np.zeros(len(units), np.int64)
-        counts[plain], counts[~plain] = first_counts, [len(i) for i in odd_ids]
+        counts[plain], counts[~plain] = first_counts, [len(i) for i in odd]
         starts = np.zeros(len(units), np.int64)
-        both = np.concatenate([first, np.fromiter((i for x in odd_ids for i in x), np.uint32)])
+        both = np.concatenate([first, *odd])
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
         starts[order] = np.cumsum(counts[order]) - counts[order]
         return both[ragged(starts, counts)], counts
 
+    def _library(self, units: list[str]) -> Iterator[np.ndarray]:
+        """Ids of units by the file's library, a few at a time: what it returns is many times as large as its ids."""
+        some, size = [], 0
+        for k, unit in enumerate(units):
+            some.append(unit)
+            size += len(unit)
+            if size >= LIBRARY_CHARACTERS or k == len(units) - 1:
+                for found in self.tokenizer.encode_batch(some, add_special_tokens=False):
+                    yield np.array(found.ids, np.uint32)
+                some, size = [], 0
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (unsigned 32-bit) of all texts one after the other, and how many each text has."""
         whole = None

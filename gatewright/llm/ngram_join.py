@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.llm.common import staged, text_of
@@ -56,6 +56,8 @@ SKETCH_BLOCKS = 64
 FILTER_BITS = 24
 FILTER_TASKS = 16
 BLOCK = 640
+BLOCK_SHINGLES = 1 << 20
+GROUP_PARTS = 64
 LEAF = 24
 PIVOTS = 4
 
@@ -289,16 +291,25 @@ def metric_links(
 
 
 def blocks_of(groups: DataFrame) -> DataFrame:
-    """``g, mb, qb, asks, k``: the rows of each group (``g, k, query``) dealt to blocks.
+    """``g, mb, qb, asks, k``: the rows of each group (``g, k, query, n``) dealt to blocks.
 
     Each query is to be compared with every row of its group (queries are members
-    too). A block has about ``BLOCK`` members and ``BLOCK`` queries, so that a large
-    group is the work of many tasks.
+    too); every group has one. A block has about ``BLOCK`` members and ``BLOCK``
+    queries, fewer if they have more than ``BLOCK_SHINGLES`` together, so that a
+    large group is the work of many tasks, and long sets fit into one. Rows look
+    their group's shape up by group and a part of it, so that no group is dealt
+    to one task; groups of one block, nearly all, need no look-up.
     """
+    def blocks(rows: Column, shingles: Column) -> Column:
+        return F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES)).cast("int")
+
+    asked = F.col("query").cast("int")
     sizes = groups.groupBy("g").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m_blocks"), F.ceil(F.sum(F.col("query").cast("int")) / BLOCK).cast("int").alias("q_blocks")
+        blocks(F.count(F.lit(1)), F.sum("n")).alias("m_blocks"), blocks(F.sum(asked), F.sum(asked * F.col("n"))).alias("q_blocks")
     )
-    sized = groups.join(sizes.filter("q_blocks > 0"), "g")
+    part = F.pmod(F.xxhash64("k", F.lit(1)), F.lit(GROUP_PARTS)).cast("int")
+    large = sizes.filter("m_blocks > 1 OR q_blocks > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(GROUP_PARTS - 1))))
+    sized = groups.withColumn("part", part).join(large, ["g", "part"], "left").fillna(1, ["m_blocks", "q_blocks"])
     at = F.pmod(F.xxhash64("k"), F.lit(1 << 20))
     as_member = F.transform(F.sequence(F.lit(0), F.col("q_blocks") - 1), lambda q: F.struct((at % F.col("m_blocks")).cast("int").alias("mb"), q.alias("qb"), F.lit(False).alias("asks")))
     as_query = F.transform(F.sequence(F.lit(0), F.col("m_blocks") - 1), lambda m: F.struct(m.alias("mb"), (at % F.col("q_blocks")).cast("int").alias("qb"), F.lit(True).alias("asks")))
@@ -403,7 +414,7 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     stars = regions.filter("k <> pivot").select("k", "pivot").distinct()
     size = distinct.select(F.col("k").alias("sk"), F.col("n").alias("sn"))
     stars = stars.join(size, F.col("k") == F.col("sk")).drop("sk").withColumnRenamed("sn", "n")
-    stars = stars.join(size, F.col("pivot") == F.col("sk")).filter(F.least("n", "sn") * 100 >= percent * F.greatest("n", "sn")).select("k", "pivot")
+    stars = stars.join(size, F.col("pivot") == F.col("sk")).filter(F.least("n", "sn") * 100 >= percent * F.greatest("n", "sn")).select("k", "pivot", "n", "sn")
     stars = staged(stars, "shingle-stars")
     # Every set that is compared at all is in a region of several.
     profiles = staged(sets_of(docs, distinct.join(regions.select("k").distinct(), "k").select("k", "rep"), words, key, profile), "shingle-profiles")
@@ -414,8 +425,8 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         sets = sets_of(docs, distinct.join(blocks.select("k").distinct(), "k").select("k", "rep"), words, key)
         return staged(block_links(blocks, sets, percent), "shingle-links")
 
-    hubs = stars.select(F.col("pivot").alias("g"), F.col("pivot").alias("k"), F.lit(True).alias("query")).distinct()
-    first = links(stars.select(F.col("pivot").alias("g"), "k", F.lit(False).alias("query")).unionByName(hubs))
+    hubs = stars.select(F.col("pivot").alias("g"), F.col("pivot").alias("k"), F.lit(True).alias("query"), F.col("sn").alias("n")).distinct()
+    first = links(stars.select(F.col("pivot").alias("g"), "k", F.lit(False).alias("query"), "n").unionByName(hubs))
 
     known = staged(connected_components(first), "shingle-balls").select(F.col("node").alias("k"), F.col("component").alias("ball"))
     # All pairs with the region's own pivot are done.
@@ -423,16 +434,16 @@ def similar_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     several = inside.groupBy("s").agg(F.min("ball").alias("b1"), F.max("ball").alias("b2")).filter("b1 < b2").select("s")
     ring = F.floor(F.log("sn") / F.lit(math.log(100 / min(percent, 99.9999)) * (1 + 1e-9))).cast("bigint")
     sized = inside.join(several, "s").join(size, F.col("member") == F.col("sk"))
-    rings = sized.select(F.explode(F.array(ring, ring + 1)).alias("ring"), "s", F.col("member").alias("k"), "ball")
-    rings = staged(rings.select(F.xxhash64("s", "ring").alias("g"), "k", "ball"), "shingle-rings")
+    rings = sized.select(F.explode(F.array(ring, ring + 1)).alias("ring"), "s", F.col("member").alias("k"), "ball", F.col("sn").alias("n"))
+    rings = staged(rings.select(F.xxhash64("s", "ring").alias("g"), "k", "ball", "n"), "shingle-rings")
     balls = rings.groupBy("g", "ball").agg(F.count(F.lit(1)).alias("m"))
     largest = balls.groupBy("g").agg(F.max(F.struct("m", "ball")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("balls"))
     unsettled = largest.filter("balls > 1").select("g", F.col("top.ball").alias("main"), "all")
-    left = staged(rings.join(unsettled, "g").select("g", "k", (F.col("ball") != F.col("main")).alias("query"), "all"), "shingle-unsettled")
+    left = staged(rings.join(unsettled, "g").select("g", "k", (F.col("ball") != F.col("main")).alias("query"), "n", "all"), "shingle-unsettled")
     # Small rings with the same documents are one.
-    small = left.filter(F.col("all") <= BLOCK).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "query"))).alias("them"))
-    small = small.groupBy("them").agg(F.min("g").alias("g")).select("g", F.explode("them").alias("it")).select("g", "it.k", "it.query")
-    second = links(small.unionByName(left.filter(F.col("all") > BLOCK).select("g", "k", "query")))
+    small = left.filter(F.col("all") <= BLOCK).groupBy("g").agg(F.array_sort(F.collect_list(F.struct("k", "query", "n"))).alias("them"))
+    small = small.groupBy("them").agg(F.min("g").alias("g")).select("g", F.explode("them").alias("it")).select("g", "it.k", "it.query", "it.n")
+    second = links(small.unionByName(left.filter(F.col("all") > BLOCK).select("g", "k", "query", "n")))
 
     linked = connected_components(first.unionByName(second))
     members = staged(linked.join(distinct.select(F.col("k").alias("node"), "rep"), "node"), "shingle-components")

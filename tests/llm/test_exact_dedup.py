@@ -40,6 +40,43 @@ def test_later_batch_is_anti_joined(spark):
     assert index.table().count() == 3
 
 
+def answers(frame):
+    return sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in frame.collect())
+
+
+def test_an_index_is_opened_again_by_its_path(spark, tmp_path):
+    path = str(tmp_path / "index")
+    first = op.DigestIndex.create(spark, path=path, buckets=3)
+    op.exact_dedup(rows(spark, [(5, "a"), (6, "b")]), first, "first").collect()
+    spark.sql(f"DROP TABLE {first.name}")  # a session that never heard of the table
+    other = spark.newSession()
+    again = op.DigestIndex.create(other, path=path)
+    assert (again.buckets, again.table().count()) == (3, 2)
+    found = answers(op.exact_dedup(rows(other, [(9, "A"), (10, "c")]), again, "second"))
+    assert found == [(9, 5, 1, False), (10, 10, 1, True)]
+    assert op.DigestIndex.create(spark, name=again.name, path=path).table().count() == 3
+    with pytest.raises(ValueError):
+        op.DigestIndex.create(spark, path=path, buckets=4)
+
+
+def test_a_batch_added_again_changes_nothing(spark, tmp_path):
+    index = op.DigestIndex.create(spark, path=str(tmp_path / "index"), buckets=2)
+    op.exact_dedup(rows(spark, [(1, "x")]), index, "0").collect()
+    pairs = [(5, "a"), (6, "A"), (6, "a"), (7, "x"), (None, "n"), (None, "N")]
+    first = [sorted(map(repr, op.exact_dedup(rows(spark, some).repartition(parts), index, "1").collect())) for some, parts in ((pairs, 1), (pairs[::-1], 3))]
+    assert first[0] == first[1] and index.table().count() == 3
+    kept = [sorted(map(repr, op.drop_exact_copies(rows(spark, pairs), index, "1").select("doc_id").collect())) for _ in "ab"]
+    assert kept[0] == kept[1] and len(kept[0]) == 2
+
+
+def test_columns_with_any_name(spark):
+    names = ["__row", "__digest", "__batch", "row", "digest", "batch", "doc", "best", "own", "keep_id"]
+    frame = spark.createDataFrame([(1, "a", *names), (2, "A", *names)], "doc_id BIGINT, text STRING, " + ", ".join(f"`{n}` STRING" for n in names))
+    out = op.drop_exact_copies(frame)
+    assert out.columns == frame.columns and [tuple(r) for r in out.collect()] == [(2, "A", *names)]
+    assert answers(op.exact_dedup(frame)) == [(1, 2, 2, False), (2, 2, 2, True)]
+
+
 @pytest.mark.parametrize("pairs", [[], [(1, None)]])
 def test_tiny(spark, pairs):
     assert op.exact_dedup(rows(spark, pairs)).count() == len(pairs)
