@@ -15,14 +15,16 @@ from gatewright.plans.registry import Tables, query
 REGISTRY = "registry.example.com/"
 KINDS = ("Deployment", "InferenceService", "StatefulSet")
 
-# The facts a manifest is written from; the tag, kind and gaps vary with the part.
+# The facts a manifest is written from; the tag, kind and gaps vary with the part. Some fields have another type than the rules
+# expect: a truth value written as text is none, a number is a limit, and a name that is a list is told as it is written.
 FACTS_SQL = f"""(SELECT p_partkey,
   CASE p_size % 3 WHEN 0 THEN 'Deployment' WHEN 1 THEN 'InferenceService' ELSE 'StatefulSet' END AS kind,
   CASE WHEN p_size % 2 = 0 THEN 'models-prod' ELSE 'models' END AS namespace,
   CASE WHEN p_partkey % 5 = 0 THEN 'docker.io/' ELSE '{REGISTRY}' END || lower(p_type)
     || CASE WHEN p_partkey % 4 = 0 THEN ':latest' ELSE ':v1' END AS image,
-  CASE WHEN p_partkey % 6 <> 0 THEN '256Mi' END AS memory,
-  CASE WHEN p_partkey % 7 < 4 THEN p_partkey % 7 < 3 END AS non_root,
+  CASE WHEN p_partkey % 6 <> 0 THEN CASE WHEN p_partkey % 13 = 0 THEN '268435456' ELSE '256Mi' END END AS memory,
+  CASE WHEN p_partkey % 7 < 4 AND p_partkey % 11 <> 0 THEN p_partkey % 7 < 3 END AS non_root,
+  CASE WHEN p_partkey % 17 = 0 THEN '["api"]' ELSE 'api' END AS main_name,
   p_partkey % 3 = 0 AS has_init, p_partkey % 2 = 0 AS has_card, p_partkey % 9 <> 0 AS has_annotations FROM part)"""
 
 
@@ -72,7 +74,11 @@ def manifests(t: Tables) -> DataFrame:
             ).alias("object")
         ).alias("review")
     )
-    return facts(t).select("p_partkey", F.to_json(document).alias("manifest"))
+    text, key = F.to_json(document), F.col("p_partkey")
+    text = F.when(key % 11 == 0, F.regexp_replace(text, '"runAsNonRoot":(true|false)', '"runAsNonRoot":"$1"')).otherwise(text)
+    text = F.when(key % 13 == 0, F.replace(text, F.lit('"memory":"256Mi"'), F.lit('"memory":268435456'))).otherwise(text)
+    text = F.when(key % 17 == 0, F.replace(text, F.lit('"name":"api"'), F.lit('"name":["api"]'))).otherwise(text)
+    return facts(t).select("p_partkey", text.alias("manifest"))
 
 
 def parsed(t: Tables) -> DataFrame:
@@ -96,7 +102,7 @@ def parse_manifests(t: Tables) -> DataFrame:
     )
 
 
-CONTAINERS_SQL = f"""(SELECT p_partkey, kind, 'api' AS container, image, memory AS memory_limit FROM {FACTS_SQL}
+CONTAINERS_SQL = f"""(SELECT p_partkey, kind, main_name AS container, image, memory AS memory_limit FROM {FACTS_SQL}
   UNION ALL SELECT p_partkey, kind, 'init', image, NULL FROM {FACTS_SQL} WHERE has_init)"""
 
 
@@ -123,7 +129,7 @@ MISSING_SQL = f"""(SELECT p_partkey, kind, namespace, name FROM {FACTS_SQL}, (SE
   WHERE NOT (has_annotations AND (name = '{governance.REQUIRED_ANNOTATIONS[0]}' OR (name = '{governance.REQUIRED_ANNOTATIONS[2]}' AND has_card))))"""
 PROVENANCE_SQL = f"""SELECT p_partkey, {text_sql(governance.MISSING_ANNOTATION, 'name')} AS message
   FROM {MISSING_SQL} WHERE kind = 'InferenceService' AND namespace = 'models-prod'"""
-MEMORY_SQL = f"""SELECT DISTINCT p_partkey, {text_sql(governance.NO_MEMORY_LIMIT, 'container')} AS message
+MEMORY_SQL = f"""SELECT DISTINCT p_partkey, {text_sql(governance.NO_MEMORY_LIMIT, "coalesce(container, '<missing>')")} AS message
   FROM {CONTAINERS_SQL} WHERE memory_limit IS NULL"""
 ROOT_SQL = f"""SELECT p_partkey, {text_sql(governance.MAY_RUN_AS_ROOT)} AS message
   FROM {FACTS_SQL} WHERE kind = 'Deployment' AND NOT coalesce(non_root, false)"""
