@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows with long texts go to Python in batches bounded by bytes, not only by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
