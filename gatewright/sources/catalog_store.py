@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewright import schemas
+from gatewright.session import shared_dir
+from gatewright.sources.json_entries import BrokenDocument, broken_documents, document_entries
 
 _DOCUMENT_VERSION = (
     "STRUCT<dataset: STRING, version: INT, source_ids: ARRAY<STRING>, row_count: BIGINT, splits: MAP<STRING, BIGINT>, "
@@ -31,25 +33,41 @@ def empty_catalog(spark: SparkSession) -> dict[str, DataFrame]:
     return {name: spark.createDataFrame([], ddl) for name, ddl in schemas.CATALOG.items()}
 
 
+def entries_of(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The parsed values (``v``) of each section, cut from the documents once."""
+    broken = broken_documents(spark, path).head(3)
+    if broken:
+        raise BrokenDocument(f"{', '.join(r.file for r in broken)} cannot be read")
+    stored = shared_dir(spark, "snapshot-entries")
+    document_entries(spark, path, ["versions"]).write.partitionBy("section").parquet(stored)
+    entries = spark.read.schema("file STRING, entry STRING, section STRING").parquet(stored)
+    kinds = {"sources": _struct(schemas.SOURCES), "datasets": _struct(schemas.DATASETS), "versions": _DOCUMENT_VERSION}
+    return {
+        name: entries.filter(F.col("section") == name).select(F.from_json("entry", kind, {"mode": "FAILFAST"}).alias("v")) for name, kind in kinds.items()
+    }
+
+
 def import_catalog_snapshot(spark: SparkSession, path: str, multiline: bool = True) -> dict[str, DataFrame]:
     """Catalog tables from JSON snapshots: one document per file, or one per line.
 
     A missing path is an empty catalog; unreadable text is an error. A document
-    is one value and is read by one task: this migrates catalogs that one
-    process could hold, larger ones come as one document per line.
+    per file may have any size: it is cut into its entries by the tasks that
+    read it, so its largest entry is what one task must hold.
     """
-    reader = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", str(multiline).lower()).option("mode", "FAILFAST")
     try:
-        documents = reader.json(path)
+        if multiline:
+            listed = entries_of(spark, path)
+        else:
+            documents = spark.read.schema(SNAPSHOT_SCHEMA).option("mode", "FAILFAST").json(path)
+            listed = {name: documents.select(F.explode(name).alias("__k", "v")) for name in ("sources", "datasets", "versions")}
+            listed["versions"] = listed["versions"].select(F.explode("v").alias("v"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_catalog(spark)
-    sources = documents.select(F.explode("sources").alias("__k", "s")).select("s.*")
-    datasets = documents.select(F.explode("datasets").alias("__k", "d")).select("d.*")
-    listed = documents.select(F.explode("versions").alias("name", "vs")).select(F.explode("vs").alias("v")).select("v.*")
-    versions = listed.drop("source_ids").withColumn("frozen", F.coalesce("frozen", F.lit(False)))
-    version_sources = listed.select("dataset", "version", F.posexplode("source_ids").alias("pos", "source_id"))
+    sources, datasets, cited = (listed[name].select("v.*") for name in ("sources", "datasets", "versions"))
+    versions = cited.drop("source_ids").withColumn("frozen", F.coalesce("frozen", F.lit(False)))
+    version_sources = cited.select("dataset", "version", F.posexplode("source_ids").alias("pos", "source_id"))
     actions = spark.createDataFrame([], schemas.ACTIONS)
     return {
         "sources": sources, "datasets": datasets, "versions": versions, "version_sources": version_sources, "actions": actions,

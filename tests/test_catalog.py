@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gatewright import schemas
 from gatewright.operators import catalog
-from gatewright.sources import catalog_store
+from gatewright.sources import catalog_store, json_entries
 
 T0 = datetime(2026, 9, 1)
 LOG = "dataset string, version int, ts timestamp, seq long, action string, status string"
@@ -166,6 +166,65 @@ def test_snapshot_import_save_and_reload(spark, tmp_path):
     assert catalog.assign_versions(request, loaded["versions"]).first().version == 2
 
 
+def large_snapshot(sources, datasets, seed=3):
+    """A snapshot whose names and texts are full of commas, brackets, quotes and escapes."""
+    import random
+
+    rng = random.Random(seed)
+    odd = [",", "{", "}", "[", "]", '"', "\\", '\\"', "\n", "é", "a", '{"id": "x"}, ', ":", " "]
+    text = lambda: "".join(rng.choice(odd) for _ in range(rng.randrange(12)))
+    ids = [f"s{k}{text()}" for k in range(sources)]
+    names = [f"d{k}{text()}" for k in range(datasets)]
+    return {
+        "versions": {
+            n: [
+                {"dataset": n, "version": v + 1, "source_ids": rng.sample(ids, min(3, sources)), "row_count": v, "splits": {text() + "x": 1}, "created_by": text(),
+                 "quality": {"status": "passed", "report_uri": text(), "failed_checks": [text(), text()]} if v % 2 else None}
+                for v in range(rng.randrange(4))
+            ] for n in names
+        },
+        "later": {"sources": {"a": {"id": "no source"}}, "x": [1, [2, {"b": "c, d"}]]},
+        "sources": {i: {"id": i, "uri": text(), "size_bytes": k} for k, i in enumerate(ids)},
+        "datasets": {n: {"name": n, "owner": text(), "pii": None} for n in names},
+        "last": None,
+    }
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_one_document_is_read_by_many_tasks(spark, tmp_path, indent):
+    written = large_snapshot(60, 40)
+    path = tmp_path / "catalog.json"
+    path.write_text(json.dumps(written, indent=indent, ensure_ascii=False))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert json_entries.fragments(spark, str(path)).rdd.getNumPartitions() > 8
+        cut = catalog_store.import_catalog_snapshot(spark, str(path))
+        found = {name: sorted(map(repr, rows.collect())) for name, rows in cut.items()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (tmp_path / "line.json").write_text(json.dumps(written))
+    whole = catalog_store.import_catalog_snapshot(spark, str(tmp_path / "line.json"), multiline=False)
+    assert found == {name: sorted(map(repr, rows.collect())) for name, rows in whole.items()}
+    assert len(found["sources"]) == 60 and len(found["datasets"]) == 40
+
+
+@pytest.mark.parametrize("text, counts", [("{}", (0, 0, 0)), ('{"sources": {}, "versions": {"d": [], "e": null}, "datasets": null}', (0, 0, 0)), ('{"versions":{"d":[{"dataset":"d"},{"dataset":"d"}]},"sources":{"a":{"id":"a"}}}', (1, 0, 2))])
+def test_small_documents(spark, tmp_path, text, counts):
+    (tmp_path / "catalog.json").write_text(text)
+    tables = catalog_store.import_catalog_snapshot(spark, str(tmp_path / "catalog.json"))
+    assert tuple(tables[n].count() for n in ("sources", "datasets", "versions")) == counts
+
+
+@pytest.mark.parametrize("text", ["{", '{"sources": {"a": {"id": "a"}}', '{"sources": "a}', '{"sources": {"a": {"id" "a"}}}', "}{"])
+def test_broken_documents_fail(spark, tmp_path, text):
+    (tmp_path / "bad.json").write_text(text)
+    with pytest.raises(Exception):
+        catalog_store.import_catalog_snapshot(spark, str(tmp_path / "bad.json"))["sources"].collect()
+
+
 def test_missing_snapshot_is_empty_and_bad_text_fails(spark, tmp_path):
     tables = catalog_store.import_catalog_snapshot(spark, str(tmp_path / "none.json"))
     assert set(tables) == set(schemas.CATALOG) and all(t.isEmpty() for t in tables.values())
