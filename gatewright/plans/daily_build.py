@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from gatewright import schemas
 from gatewright.functions.dates import capture_interval
+from gatewright.functions.positions import with_position
 from gatewright.operators import build, catalog, quality
 from gatewright.plans.suites import event_suite
 from gatewright.sources import curated
 from gatewright.sources.catalog_store import load_catalog, save_catalog
 from gatewright.sources.events_csv import FILE_ORDER, read_events_csv
-from gatewright.sources.objects import discover_objects
+from gatewright.sources.objects import discover_objects, objects_path
 
 
 @dataclass(frozen=True)
@@ -88,10 +89,8 @@ def build_day(
     request = spark.createDataFrame([(dataset, 1)], "dataset string, request_id long").withColumn("requested_at", clock)
     version = catalog.assign_versions(request, held).first().version
 
-    # Spark's readers take their paths from the driver, which holds the day's file listing.
-    paths = sorted(row.uri for row in objects.select("uri").collect())
     seen = Observation()
-    reads = read_events_csv(spark, paths).observe(seen, F.count(F.lit(1)).alias("rows"))
+    reads = read_events_csv(spark, objects_path(raw, day)).observe(seen, F.count(F.lit(1)).alias("rows"))
     storage_uri = curated.write_curated(curate(reads), f"{root}/curated", dataset, version, replace=True)
     table = curated.read_curated(spark, f"{root}/curated", dataset, version)
     splits = {row.split: row["rows"] for row in build.split_counts(table).collect()}
@@ -117,9 +116,8 @@ def build_day(
     )
     # Only this run's actions, on the one version they concern; all other versions stay as they are stored.
     state = catalog.catalog_fold(actions, versions)
-    positions = spark.createDataFrame([(uri, pos) for pos, uri in enumerate(paths)], "uri string, pos int")
-    cited = resolved.join(positions, "uri").select(
-        F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "pos", F.col("id").alias("source_id")
+    cited = with_position(resolved.select("uri", F.col("id").alias("source_id")), ["uri"]).select(
+        F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), F.col("pos").cast("int").alias("pos"), "source_id"
     )
     save_catalog(
         {

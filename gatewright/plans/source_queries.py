@@ -50,9 +50,7 @@ READS_SQL = "SELECT '0' || user_id::VARCHAR AS plate, 'cam-' || (user_id % 7)::V
 
 @query(f"{READS_SQL}, ts AS captured_at FROM events")
 def read_events_csv(t: Tables) -> DataFrame:
-    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{raw_files(t)}/alpr")
-    paths = [row.path for row in files.select("path").collect()]
-    reads = events_csv.read_events_csv(t.spark, paths)
+    reads = events_csv.read_events_csv(t.spark, f"{raw_files(t)}/alpr")
     return reads.select("plate", "camera_id", "confidence", F.col("captured_at").cast("timestamp_ntz").alias("captured_at"))
 
 
@@ -114,6 +112,30 @@ def snapshot_files(t: Tables) -> str:
     return path
 
 
+def snapshot_document(t: Tables) -> str:
+    """The same catalog as one document: its pieces in order, written to one file."""
+    path = shared_dir(t.spark, "document")
+    whole = F.from_json("value", catalog_store.SNAPSHOT_SCHEMA)
+    lines = t.spark.read.text(snapshot_files(t)).select(whole.alias("d"))
+    first = lines.agg(F.min(F.map_keys("d.sources")[0])).head()[0]
+    key = F.map_keys("d.sources")[0]
+    entry = lambda name: F.concat(F.when(key == first, "").otherwise(","), F.regexp_extract(F.to_json(f"d.{name}"), r"(?s)^\{(.*)\}$", 1))
+    names = ("sources", "datasets", "versions")
+    pieces = [lines.select(F.lit(2 * k + 1).alias("at"), key.alias("key"), entry(name).alias("value")) for k, name in enumerate(names)]
+    marks = [(2 * k, "", ("{" if not k else "},") + f'"{name}":{{') for k, name in enumerate(names)] + [(2 * len(names), "", "}}")]
+    rows = t.spark.createDataFrame(marks, "at INT, key STRING, value STRING")
+    for piece in pieces:
+        rows = rows.union(piece)
+    rows.orderBy("at", "key").coalesce(1).select("value").write.text(path)
+    return path
+
+
+@query(SNAPSHOT_SQL)
+def import_catalog_document(t: Tables) -> DataFrame:
+    """One large document, cut into its entries by the tasks that read it."""
+    return joined_catalog(catalog_store.import_catalog_snapshot(t.spark, snapshot_document(t)))
+
+
 def joined_catalog(tables: dict[str, DataFrame]) -> DataFrame:
     versions = tables["versions"].select("dataset", "version", "row_count", "frozen")
     owners = tables["datasets"].select(F.col("name").alias("dataset"), "pii")

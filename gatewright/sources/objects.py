@@ -14,6 +14,10 @@ class NoObjects(ValueError):
     """The day has no raw objects."""
 
 
+def objects_path(base: str, day: str, root: str = "alpr") -> str:
+    return f"{base.rstrip('/')}/{root}/{day}"
+
+
 def discover_objects(spark: SparkSession, base: str, day: str, root: str = "alpr", suffix: str = ".csv") -> DataFrame:
     """Objects below ``<base>/<root>/<day>/``: uri, object key, size, modification time, site, camera, day.
 
@@ -23,7 +27,7 @@ def discover_objects(spark: SparkSession, base: str, day: str, root: str = "alpr
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*{suffix}")
-        .load(f"{base.rstrip('/')}/{root}/{day}")
+        .load(objects_path(base, day, root))
         .select(F.col("path").alias("uri"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     )
     if files.isEmpty():

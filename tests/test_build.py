@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gatewright.functions import hashing, labels
 from gatewright.operators import build
 from gatewright.schemas import READ_KEY
+from gatewright.functions import positions
 from gatewright.sources import curated, events_csv, objects
 
 
@@ -175,6 +176,39 @@ def test_reader_skips_blank_lines_and_wants_a_header(spark, tmp_path):
         events_csv.read_events_csv(spark, [str(folder / "c.csv"), str(folder / "empty.csv")])
 
 
+def test_many_files_of_three_layouts_are_one_scan(spark, tmp_path):
+    layouts = ["plate,camera_id,confidence", "confidence,plate,site", "site,camera_id,plate,confidence"]
+    expected = []
+    for k in range(60):
+        names = layouts[k % 3].split(",")
+        rows = [{"plate": f"{k:03d}-{i}", "camera_id": f"c{k}", "site": "north, \"upper\"", "confidence": f"0.{i + 1}"} for i in range(1 + k % 4)]
+        quoted = lambda v: '"' + v.replace('"', '\\"') + '"'
+        write(f"{tmp_path}/d{k % 7}/f {k}.csv", layouts[k % 3] + "\n" + "".join(",".join(quoted(r[n]) for n in names) + "\n" for r in rows))
+        expected += [(r["plate"], r["camera_id"] if "camera_id" in names else None, r["site"] if "site" in names else None, float(r["confidence"])) for r in rows]
+    (tmp_path / "d0" / "notes.txt").write_text("no table")
+    found = events_csv.read_events_csv(spark, str(tmp_path))
+    assert sorted(map(repr, found.select("plate", "camera_id", "site", "confidence").collect())) == sorted(
+        map(repr, spark.createDataFrame(expected, "plate string, camera_id string, site string, confidence double").collect())
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("csv") == 1 and "Union" not in plan
+    assert found.select("source_uri").distinct().count() == 60
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path):
+    write(f"{tmp_path}/a.csv", 'plate,site\n1,"two\nlines"\n2,x\n')
+    write(f"{tmp_path}/b.csv", 'site,plate\n"a, b\n\nc",3\n')
+    rows = events_csv.read_events_csv(spark, str(tmp_path), multiline=True).collect()
+    assert sorted((r.plate, r.site) for r in rows) == [("1", "two\nlines"), ("2", "x"), ("3", "a, b\n\nc")]
+
+
+@pytest.mark.parametrize("count", [0, 1, 500])
+def test_positions_follow_the_order(spark, count):
+    rows = spark.range(count).selectExpr("id * 7919 % 499 AS a", "cast(id AS string) AS b").repartition(5)
+    found = [(r.pos, r.a, r.b) for r in positions.with_position(rows, ["a", "b"]).orderBy("pos").collect()]
+    assert [p for p, *_ in found] == list(range(count)) and [x[1:] for x in found] == sorted(x[1:] for x in found)
+
+
 def test_curated_csv_is_read_back(spark, tmp_path):
     df = spark.createDataFrame([("001", "x,y")], "a string, b string")
     curated.write_curated(df, str(tmp_path), "d", 1, "csv")
