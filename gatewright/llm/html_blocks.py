@@ -34,19 +34,35 @@ CLOSES = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, set()),
 }
-NOT_CONTENT = frozenset("nav footer aside form button select dialog head menu label".split())
+NOT_CONTENT = frozenset("nav footer aside select dialog head menu".split())
+#: Tags that are not content either, unless they hold most of the page's text.
+FORMS = frozenset("form button label".split())
 #: Parts of class and id names that mark what is not the article.
 NOT_CONTENT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner banners breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer gdpr "
     "login masthead menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted promotion related "
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+#: Those that are as common in names of subjects (a share price, a tasting menu): beside a word that is no part of a page
+#: they mark only what consists of links.
+SUBJECTS = frozenset(
+    "banner banners login masthead menu modal nav navigation newsletter notice notices notification popup promo promoted promotion related respond "
+    "search share sharing signup social sponsor sponsored subscribe widget widgets".split()
+)
+#: Words for parts of a page.
+PAGE_PARTS = frozenset(
+    "alert alerts area article articles bar block blocks body bottom box btn button buttons card cards center close col column container content deal deals "
+    "desktop dropdown feed feeds fixed float form group head header holder icon icons inner item items js last layout left link links list lists main "
+    "message messages mobile more offer offers outer overlay page pages panel post posts primary right row secondary section sections slot small sticky "
+    "stories story sub submenu tab tabs text title toggle top trigger unit units up view wrap wrapper zone".split()
+)
 #: Those that may hold most of a page's text and are still not its article.
 REPLIES = frozenset("comment comments consent cookie cookies disqus gdpr replies reply respond".split())
+IF_LINKS = 3
 #: After one of these a name says what the element has or lacks, not what it is.
 NO_MARK = frozenset("has have with without no non not".split())
 ATTRIBUTES = frozenset("class id role hidden aria-hidden style".split())
-NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
+NOT_CONTENT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu".split())
 
 
 @dataclass
@@ -100,15 +116,36 @@ def _skipped(tag: str, attributes: dict[str, str]) -> bool:
 
 @functools.lru_cache(maxsize=10_000)
 def _mark(names: str) -> int:
-    """0 if class and id names mark nothing, 1 if they mark what is not the article, 2 if that is replies or notices."""
+    """What class and id names mark: 0 nothing, 1 what is not the article, 2 replies or notices, ``IF_LINKS`` what is not the article if it is links."""
     found: set[str] = set()
+    unsure = False
     for name in names.split():
+        marks: set[str] = set()
+        subject = False
         for part in NAME_PARTS.findall(name):
             if part in NO_MARK:
                 break
             if part in NOT_CONTENT_NAMES:
-                found.add(part)
-    return 0 if not found else 1 if found.isdisjoint(REPLIES) else 2
+                marks.add(part)
+            elif part not in PAGE_PARTS:
+                subject = True
+        if subject and marks and marks <= SUBJECTS:
+            unsure = True
+        else:
+            found |= marks
+    return IF_LINKS if unsure and not found else 0 if not found else 1 if found.isdisjoint(REPLIES) else 2
+
+
+def _subjects(elements: list[Element], lost: dict[int, int], linked: dict[int, int]) -> frozenset[int]:
+    """Elements whose names are those of a subject rather than of a part of the page: what they hold is not mostly links."""
+    plain, links = [0] * len(elements), [0] * len(elements)
+    for k in range(len(elements) - 1, 0, -1):
+        plain[k] += lost.get(k, 0)
+        links[k] += linked.get(k, 0)
+        if elements[k].skipped and not elements[k].hard:
+            plain[elements[k].parent] += plain[k]
+            links[elements[k].parent] += links[k]
+    return frozenset(k for k, e in enumerate(elements) if e.mark == IF_LINKS and plain[k] > links[k])
 
 
 def _wrappers(elements: list[Element], blocks: list[Block], lost: dict[int, int]) -> frozenset[int]:
@@ -155,20 +192,25 @@ def _wrappers(elements: list[Element], blocks: list[Block], lost: dict[int, int]
 
 def parse(page: str) -> tuple[list[Element], list[Block]]:
     """Elements and blocks in page order. Element 0 stands for the whole page."""
-    elements, blocks, lost = _read(page, frozenset())
+    elements, blocks, lost, linked = _read(page, frozenset())
     if lost:
-        kept = _wrappers(elements, blocks, lost)
+        kept = _subjects(elements, lost, linked)
         if kept:
-            elements, blocks, _ = _read(page, kept)
+            elements, blocks, lost, _ = _read(page, kept)
+        if lost:
+            wrappers = _wrappers(elements, blocks, lost)
+            if wrappers:
+                elements, blocks, _, _ = _read(page, kept | wrappers)
     return elements, blocks
 
 
-def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block], dict[int, int]]:
-    """Elements, blocks and the unlinked characters of each element that is skipped for its names; ``kept`` ones are not."""
+def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block], dict[int, int], dict[int, int]]:
+    """Elements, blocks, and the unlinked and the linked characters of each element that is skipped for its names; ``kept`` ones are not."""
     elements = [Element("", "", -1, False, False, False)]
     open_: list[int] = [0]
     blocks: list[Block] = []
     lost: dict[int, int] = {}
+    linked: dict[int, int] = {}
     parts: list[str] = []
     state = {"owner": 0, "link": 0, "heading": False}
 
@@ -189,10 +231,10 @@ def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block],
             parts.append(text)
             if here.link:
                 state["link"] += len(text)
-        elif text and not here.hard and not here.link:
-            size = len(" ".join(text.split()))
+        elif text and not here.hard:
+            size, sums = len(" ".join(text.split())), linked if here.link else lost
             if size:
-                lost[open_[-1]] = lost.get(open_[-1], 0) + size
+                sums[open_[-1]] = sums.get(open_[-1], 0) + size
 
     def close(tags: set[str] | frozenset[str], stop: set[str]) -> None:
         for depth in range(len(open_) - 1, 0, -1):
@@ -240,8 +282,10 @@ def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block],
             continue
         parent, attributes = elements[open_[-1]], _attributes(raw)
         hard, mark = parent.hard or _skipped(tag, attributes), 0
-        if attributes and not hard and tag not in ("body", "html", "main") and len(elements) not in kept:
-            mark = _mark(f"{attributes.get('class', '')} {attributes.get('id', '')}")
+        if not hard and len(elements) not in kept and tag not in ("body", "html", "main"):
+            mark = _mark(f"{attributes.get('class', '')} {attributes.get('id', '')}") if attributes else 0
+            if tag in FORMS or attributes.get("role") == "form":
+                mark = mark if mark in (1, 2) else 1
         elements.append(
             Element(
                 tag,
@@ -258,4 +302,4 @@ def _read(page: str, kept: frozenset[int]) -> tuple[list[Element], list[Block],
             add(" ")
         open_.append(len(elements) - 1)
     flush()
-    return elements, blocks, lost
+    return elements, blocks, lost, linked

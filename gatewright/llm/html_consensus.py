@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatewright.llm.common import staged
 from gatewright.llm.html_blocks import CONTAINERS, Block, Element, parse
 
 OUTER_SHARE = 0.7
@@ -39,8 +40,9 @@ OUTER = frozenset(["", "body"])
 VOTES_PER_PAGE = 3
 #: The fewest pages that can agree on a path.
 LEAST_PAGES = 2
-#: What the tests compare of a host's list; the list itself is not cut.
-PATHS_PER_HOST = 8
+#: Paths of all hosts together that go to every task as they are; beyond that a host's pages are dealt to ``HOST_PARTS`` parts.
+BROADCAST_BYTES = 32 << 20
+HOST_PARTS = 64
 
 
 def host_of(url: Column) -> Column:
@@ -148,10 +150,25 @@ def host_paths(pages: DataFrame, agreed_only: bool = False) -> DataFrame:
     return shares.groupBy(F.col("host").alias("agreed_host")).agg(F.transform(listed, lambda s: s["path"]).alias("paths"))
 
 
+def with_paths(rows: DataFrame, agreed: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` with the ``paths`` of their ``own_host``, null if it has none.
+
+    ``agreed`` is a written table. Its size is measured: a small one goes to every
+    task and no page moves. With a larger one pages are dealt by host and a part
+    of it, and the hosts' rows to all parts, so that no host is one task's work.
+    """
+    size = agreed.agg(F.sum(F.length("agreed_host") + F.aggregate("paths", F.lit(64), lambda n, p: n + F.length(p) + 32)).alias("size")).head().size or 0
+    if size <= most:
+        return rows.join(F.broadcast(agreed), F.col("own_host") == F.col("agreed_host"), "left")
+    part = F.pmod(F.xxhash64("page_id", "url"), F.lit(HOST_PARTS)).cast("int")
+    spread = agreed.withColumn("agreed_part", F.explode(F.sequence(F.lit(0), F.lit(HOST_PARTS - 1))))
+    return rows.withColumn("own_part", part).join(spread, (F.col("own_host") == F.col("agreed_host")) & (F.col("own_part") == F.col("agreed_part")), "left")
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row: ``page_id, url, text, n_chars``."""
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), host_of(F.col("url")).alias("own_host"))
-    joined = rows.join(host_paths(pages, agreed_only=True), F.col("own_host") == F.col("agreed_host"), "left").select("page_id", "url", "html", "paths")
+    joined = with_paths(rows, staged(host_paths(pages, agreed_only=True), "host-paths")).select("page_id", "url", "html", "paths")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,15 +18,18 @@ queries, so a crowded list is many tasks' work; what a block finds leaves it as
 link counts and a spanning forest, not as pairs. Centroids and codebooks are
 fitted on about ``SAMPLE`` vectors, all vectors are indexed and queried.
 
-Defined cases: null, zero or non-finite vectors, vectors with a null component
-and those without the commonest dimension link with nothing and are components
-of their own. Rows with equal ids are separate vectors in the counts. The
+Vectors of each dimension that occurs are searched on their own, with a quantiser
+of their own: those of different dimensions have no cosine.
+
+Defined cases: null, zero or non-finite vectors and vectors with a null component
+link with nothing and are components of their own. An empty table gives no rows. Rows with equal ids are separate vectors in the counts. The
 smallest id of a component names it; a vector with null id keeps a null name
 if it is alone. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -227,20 +230,14 @@ def search(distinct: DataFrame, quantiser: Quantiser, dim: int, threshold: float
     return links, found.filter("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: ``vec_id, n_links, component_id, kept``."""
-    rows = staged(_checked(vectors), "pq-vectors")
-    dims = rows.filter("dim IS NOT NULL").groupBy("dim").count().orderBy(F.desc("count"), "dim").head()
-    alone = rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if dims is None:
-        return alone
-    fine = F.col("dim").eqNullSafe(F.lit(dims.dim))
+def _of_dimension(rows: DataFrame, dim: int, threshold: float) -> DataFrame:
+    """:func:`near_duplicates` of the valid rows of one dimension, with a quantiser of their own."""
     distinct = staged(
-        rows.filter(fine).groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit"))
+        rows.groupBy("key").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("unit").alias("unit"))
         .withColumn("rep", F.coalesce("least", F.lit(-(2**62)) - F.monotonically_increasing_id())),
         "pq-distinct",
     )
-    links, edges = search(distinct, fit_quantiser(distinct, dims.dim, distinct.count()), dims.dim, threshold)
+    links, edges = search(distinct, fit_quantiser(distinct, dim, distinct.count()), dim, threshold)
     component = connected_components(edges)
     named = (
         distinct.select("key", "rep", "least", "n")
@@ -252,6 +249,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
             F.coalesce("component", "least").alias("component_id"),
         )
     )
-    joined = rows.filter(fine).join(named.hint("merge"), F.col("key") == F.col("found"))
-    linked = joined.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
-    return linked.unionByName(rows.filter(~fine).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")))
+    joined = rows.join(named.hint("merge"), F.col("key") == F.col("found"))
+    return joined.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Per row: ``vec_id, n_links, component_id, kept``."""
+    rows = staged(_checked(vectors), "pq-vectors")
+    # Vectors of different dimensions have no cosine: each dimension is a search of its own.
+    dims = [r.dim for r in rows.filter("dim IS NOT NULL").select("dim").distinct().orderBy("dim").collect()]
+    alone = rows.filter("dim IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    found = [_of_dimension(rows.filter(F.col("dim") == d), d, threshold) for d in dims]
+    return functools.reduce(DataFrame.unionByName, found, alone)

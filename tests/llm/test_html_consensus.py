@@ -64,7 +64,7 @@ def plain_vote(rows):
             best = [x for x in op.ranked(elements, blocks)[: op.VOTES_PER_PAGE] if x[1] > 0]
             for k, s in best:
                 votes[url.split("/")[2].lower()][elements[k].path] += s * s / sum(t * t for _, t in best)
-    return {h: sorted(v, key=lambda p: (-round(v[p], 6), p))[: op.PATHS_PER_HOST] for h, v in votes.items()}
+    return {h: sorted(v, key=lambda p: (-round(v[p], 6), p)) for h, v in votes.items()}
 
 
 def test_host_agrees_on_a_path(spark):
@@ -130,6 +130,12 @@ ARTICLE = f"<article><h1>T</h1><p>{LONG}</p></article>"
         f"{ARTICLE}<div class=comments><p>{LONG * 9}</p></div>",
         f"<h2>T</h2><p>{LONG}</p><div class=comments><article>{LONG * 9}</article></div>",
         f"{ARTICLE}<div class=sidebar><p>{LONG * 9}</p></div>",
+        f"<form action='/x'><nav>menu</nav>{ARTICLE}<button>Send</button></form>",
+        f"<form id='aspnetForm'><div><h2>T</h2><p>{LONG}</p></div></form>",
+        f"<label>{ARTICLE}</label>",
+        f"{ARTICLE}<form><p>Sign up for our letters</p></form>",
+        f"{ARTICLE}<div class='related-posts'><p>More of {LONG}</p></div>",
+        f"{ARTICLE}<div class='menu-evening'><a href=/a>Soup of the day</a> <a href=/b>Bread</a></div>",
         f"<div class='widget'>{ARTICLE}<section class=replies>{LONG * 9}</section></div>",
     ],
 )
@@ -137,6 +143,60 @@ def test_wrappers_and_marks(page):
     assert op.extract(f"<body>{page}</body>", []) == f"T\n\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize("name", ["share-price", "social-policy", "related-work", "tasting-menu", "search_history", "banner-years"])
+def test_names_of_subjects_inside_an_article(name):
+    page = f"<article><h1>T</h1><p>{LONG}</p><div class='{name}'><p>A subject of its own, <a href='/s'>seen</a> here.</p></div></article>"
+    assert op.extract(f"<body>{page}</body>", []) == f"T\n\n{LONG.strip()}\n\nA subject of its own, seen here."
+
+
+def plain_main_text(rows):
+    """The whole query with dictionaries: votes, shares and lists per host, then the first agreed path with text."""
+    hosts = defaultdict(list)
+    for i, url, page in rows:
+        hosts[url.split("/")[2].lower() if url and "//" in url else None].append((i, page or ""))
+    out = {}
+    for host, listed in hosts.items():
+        sums = defaultdict(lambda: [0.0, 0.0, 0])
+        for _, page in listed if host else []:
+            elements, blocks = parse(page)
+            scored = op.ranked(elements, blocks)
+            best = [x for x in scored[: op.VOTES_PER_PAGE] if x[1] > 0]
+            votes = defaultdict(float)
+            for k, _ in scored:
+                votes[elements[k].path, elements[k].tag in ("", "body")] += 0.0
+            for k, s in best:
+                votes[elements[k].path, elements[k].tag in ("", "body")] += s * s / sum(t * t for _, t in best)
+            for (path, outer), v in votes.items():
+                row = sums[path, outer]
+                row[0] += v
+                row[1] += max((w for (_, o), w in votes.items() if o != outer), default=0.0)
+                row[2] += 1
+        agreed = [(outer, -round(round(v, 6) / (n + 1), 6), path) for (path, outer), (v, r, n) in sums.items() if v > 0 and n >= 2 and round(v, 6) > round(r, 6)]
+        for i, page in listed:
+            out[i] = op.extract(page, [path for *_, path in sorted(agreed)])
+    return out
+
+
+def test_query_equals_the_plain_version(spark):
+    import random
+
+    rng = random.Random(4)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n))
+    kinds = ["<body><div class='c{0}'><h1>{1}</h1><p>{2}</p></div><div class='side'>{3}</div></body>", "<body><p>{2}</p><section class='s{0}'>{3}</section></body>", "<main><div><p>{2}</p></div><div class='d{0}'><p>{3}</p></div></main>"]
+    rows = [(i, f"http://h{rng.randrange(5)}.example/p", rng.choice(kinds).format(rng.randrange(3), words(2), words(rng.randrange(60)), words(rng.randrange(60)))) for i in range(150)]
+    rows += [(200, None, kinds[0].format(1, "a", "b", "c")), (201, "http://h1.example", None), (202, "http://h1.example", "")]
+    assert {r.page_id: r.text for r in op.main_text(pages(spark, rows)).collect()} == plain_main_text(rows)
+
+
+def test_pages_of_a_large_host_are_dealt_to_parts(spark):
+    rows = [(i, f"http://h{i % 3}.example/{i}", f"<body><div class='c{i % 3}'><p>{LONG}</p></div><div class='box'><p>{'x ' * i}</p></div></body>") for i in range(60)]
+    frame = pages(spark, rows + [(99, None, "<p>alone")])
+    own = frame.select("page_id", "url", op.host_of(op.F.col("url")).alias("own_host"))
+    agreed = op.staged(op.host_paths(frame, agreed_only=True), "test-paths")
+    found = [sorted((r.page_id, r.paths) for r in op.with_paths(own, agreed, most).collect()) for most in (1 << 20, 0)]
+    assert found[0] == found[1] and len(found[0]) == 61 and found[0][0][1]
+
+
 def test_links_to_hidden_places_keep_their_texts():
     assert op.extract(f"<p>see <a href='/hidden-gems'>gems</a> {LONG}</p>", []) == f"see gems {LONG.strip()}"
     assert op.extract(f"<p title='hidden'>{LONG}</p><p hidden>no</p><p data-x=1 hidden=''>no</p>", []) == LONG.strip()

@@ -58,6 +58,17 @@ def test_odd_vectors(spark):
     assert found == sorted((i, near.get(i, 0), smallest.get(i, i), i not in smallest) for i, _ in rows)
 
 
+def test_every_dimension_is_searched(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, [1.0, 2.0, 3.0]), (4, [1.0, 2.0, 3.0]), (5, [3.0, -1.0, 0.0])]
+    rows += [(100 + i, v) for i, v in made(60, 4, 2)] + [(300 + i, v) for i, v in made(40, 9, 3)]
+    expected = {}
+    for dim in (2, 3, 4, 9):
+        expected |= brute([r for r in rows if len(r[1]) == dim])
+    found = {r.vec_id: (r.n_links, r.component_id) for r in op.near_duplicates(frame(spark, rows)).collect()}
+    assert found[2] == (1, 1) and found[4] == (1, 3) and found.keys() == expected.keys()
+    assert np.mean([found[i] == expected[i] for i in found]) > 0.98
+
+
 def test_nothing_to_compare(spark):
     assert op.near_duplicates(frame(spark, [])).count() == 0
     assert [tuple(r) for r in op.near_duplicates(frame(spark, [(1, None)])).collect()] == [(1, 0, 1, True)]
