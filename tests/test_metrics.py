@@ -236,6 +236,34 @@ def test_quantile_edges_are_exact_with_outliers(spark):
     assert [edges[f"e{k}"] for k in range(1, 10)] == [ordered[math.ceil(len(values) * k / 10) - 1] for k in range(1, 10)]
 
 
+@pytest.mark.parametrize("most", [1_000_000, 3])
+def test_bracketed_edges_are_exact(spark, most):
+    rng = random.Random(12)
+    columns = {
+        "ties": [float(rng.randrange(40)) for _ in range(6000)] + [1e15, -1e15, float("inf")] + [7.0] * 3000,
+        "wide": [rng.lognormvariate(0, 9) * rng.choice([-1, 1]) for _ in range(9003)],
+        "same": [2.5] * 9003,
+    }
+    rows = [*zip(*columns.values()), (None, float("nan"), None)]
+    frame = spark.createDataFrame(rows, "ties double, wide double, same double").repartition(3)
+    stored = drift.merged_sketches(drift.value_sketches(frame.limit(100), list(columns)).unionByName(drift.value_sketches(frame.subtract(frame.limit(100)), list(columns))))
+    for sketches in (None, drift.value_sketches(frame, list(columns), 8)):  # a bad sketch costs passes, not exactness
+        found = {r.feature: r for r in drift.bracketed_edges(frame, list(columns), 10, sketches, most).collect()}
+        for name, values in columns.items():
+            ordered = sorted(values)
+            assert [found[name][f"e{k}"] for k in range(1, 10)] == [ordered[math.ceil(len(values) * k / 10) - 1] for k in range(1, 10)]
+    assert {r.feature for r in stored.collect()} == set(columns)
+
+
+def test_psi_from_stored_sketches(spark):
+    base = spark.range(3000).selectExpr("cast(id * 7 % 1000 as double) as x", "rand(3) as y").persist()
+    parts = drift.value_sketches(base.filter("x < 300"), ["x", "y"]).unionByName(drift.value_sketches(base.filter("x >= 300"), ["x", "y"]))
+    actual = base.selectExpr("x + 100 as x", "y * y as y")
+    plain, stored = (sorted(map(tuple, drift.psi(base, actual, ["x", "y"], sketches=s).collect())) for s in (None, drift.merged_sketches(parts)))
+    assert plain == stored and len(plain) == 2
+    assert drift.psi(base.limit(0), actual, ["x"]).count() == 0
+
+
 def test_label_filter_and_relabel(spark):
     df = spark.createDataFrame([({"job": "a", "code": "503"}, 1), ({"job": "a", "code": "5030"}, 2), ({"code": "500"}, 3)], "l map<string,string>, v int")
     assert [r.v for r in labels.label_filter(df, "l", {"job": "a"}, {"code": "5.."}).collect()] == [1]
