@@ -33,9 +33,17 @@ DAY = 86_400
 VERSION_KEY = ("dataset", "version")
 
 
-def register_sources(new: DataFrame, existing: DataFrame, order: Sequence[str]) -> DataFrame:
+def _meeting(rows: DataFrame, column: str, stored: DataFrame, buckets: int | None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join by ``column``. A side stored in ``buckets`` stays where it lies, the other is dealt to them."""
+    return (rows, stored) if buckets is None else (rows.repartition(buckets, column), stored.hint("merge"))
+
+
+def register_sources(new: DataFrame, existing: DataFrame, order: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Ids for newly listed sources: a known uri keeps its id, an unknown one gets a new id.
 
+    ``buckets`` says that ``existing`` is stored by uri in so many buckets; it is
+    then not shuffled.
+
     Repeats of a uri within ``new`` collapse to the first in ``order``.
     ``created`` tells which rows must be appended to the ``sources`` table.
     A source without uri is a bad request: it gets no id and is not created.
@@ -43,26 +51,27 @@ def register_sources(new: DataFrame, existing: DataFrame, order: Sequence[str])
     named = F.coalesce(F.col("uri"), F.lit("")) != ""
     first = dedup_first(new, ["uri"], order)
     known = existing.select("uri", F.col("id").alias("known_id"))
-    return first.join(known, "uri", "left").select(
+    here, there = _meeting(first, "uri", known, buckets)
+    return here.join(there, "uri", "left").select(
         F.when(named, F.coalesce("known_id", source_id(F.col("uri")))).alias("id"),
         *first.columns,
         (F.col("known_id").isNull() & named).alias("created"),
     )
 
 
-def create_datasets(new: DataFrame, existing: DataFrame, order: Sequence[str], ensure: bool = False) -> DataFrame:
+def create_datasets(new: DataFrame, existing: DataFrame, order: Sequence[str], ensure: bool = False, buckets: int | None = None) -> DataFrame:
     """Outcome per requested dataset: ``created`` or, when the name is taken, ``conflict``.
 
     The first request for a name wins; later ones in the same batch conflict.
     With ``ensure`` a taken name counts as ``ok``. A missing or empty name is a
-    ``bad_request``.
+    ``bad_request``. ``buckets`` says that ``existing`` is stored by name in so
+    many buckets; it is then not shuffled.
     """
     taken = "ok" if ensure else "conflict"
     names = existing.select("name", F.lit(True).alias("exists"))
+    here, there = _meeting(dedup_first(new, ["name"], order).select("name", *order), "name", names, buckets)
     winners = (
-        dedup_first(new, ["name"], order)
-        .select("name", *order)
-        .join(names, "name", "left")
+        here.join(there, "name", "left")
         .select("name", *order, F.coalesce(~F.col("exists"), F.lit(True)).alias("free"))
     )
     # ``order`` belongs to the join key, so a name requested very often is spread over tasks.
@@ -72,22 +81,28 @@ def create_datasets(new: DataFrame, existing: DataFrame, order: Sequence[str], e
 
 
 def validate_version_refs(
-    requests: DataFrame, request_sources: DataFrame, datasets: DataFrame, sources: DataFrame
+    requests: DataFrame,
+    request_sources: DataFrame,
+    datasets: DataFrame,
+    sources: DataFrame,
+    dataset_buckets: int | None = None,
+    source_buckets: int | None = None,
 ) -> DataFrame:
     """``ok`` or ``not_found`` per version request (``request_id``, ``dataset``, ...).
 
-    ``request_sources`` has one row per (request_id, source_id). Ids are made
-    distinct before they meet the catalog, so an id cited by very many
-    requests is looked up once.
+    ``request_sources`` has one row per (request_id, source_id). Ids and names are
+    made distinct before they meet the catalog, so one that very many requests
+    cite is looked up once. Sides of the catalog that are stored in buckets, by
+    name and by id, are not shuffled if their numbers of buckets are given.
     """
-    unknown = request_sources.select("source_id").distinct().join(
-        sources.select(F.col("id").alias("source_id")), "source_id", "left_anti"
-    )
+    cited, held = _meeting(request_sources.select("source_id").distinct(), "source_id", sources.select(F.col("id").alias("source_id")), source_buckets)
+    unknown = cited.join(held, "source_id", "left_anti")
     broken = (
         request_sources.join(unknown, "source_id", "left_semi").select("request_id").distinct()
         .withColumn("broken", F.lit(True))
     )
-    known = datasets.select(F.col("name").alias("dataset"), F.lit(True).alias("known"))
+    named, stored = _meeting(requests.select("dataset").distinct(), "dataset", datasets.select(F.col("name").alias("dataset")), dataset_buckets)
+    known = named.join(stored, "dataset", "left_semi").withColumn("known", F.lit(True))
     ok = F.col("broken").isNull() & F.col("known").isNotNull()
     return (
         requests.join(broken, "request_id", "left")

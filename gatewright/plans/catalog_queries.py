@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewright.operators import catalog
-from gatewright.plans.registry import Tables, query
+from gatewright.plans.registry import ORACLES, Tables, query
+from gatewright.sources.keyed_tables import KeyedTable
 
 SUPPLIER_URI = "'s3://raw/' || s_nationkey::VARCHAR || '/' || s_name"
 
@@ -51,6 +52,18 @@ def register_sources(t: Tables) -> DataFrame:
     return catalog.register_sources(listed, sources_table(t), order)
 
 
+STORED_BUCKETS = 8
+
+
+@query(ORACLES["register_sources"])
+def register_sources_stored(t: Tables) -> DataFrame:
+    """Against a stored catalog, which stays where it lies."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey"]
+    listed = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(supplier_uri().alias("uri"), *order)
+    stored = KeyedTable.of(sources_table(t), ["uri"], STORED_BUCKETS)
+    return catalog.register_sources(listed, stored.rows(), order, STORED_BUCKETS)
+
+
 @query(
     """
 WITH asked AS (SELECT n_name AS name, c_custkey, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) AS rn
@@ -241,6 +254,13 @@ def get_version(t: Tables) -> DataFrame:
     return catalog.get_version(numbered(t), "NATION_3", 42).select("dataset", "version", "request_id", "requested_at")
 
 
+@query(f"SELECT dataset, version, request_id, requested_at FROM {VERSIONS_SQL} WHERE dataset = 'NATION_3' AND version = 42")
+def get_version_stored(t: Tables) -> DataFrame:
+    """From versions stored by dataset: one bucket is read, and of that what may hold the version."""
+    stored = KeyedTable.of(numbered(t).select("dataset", "version", "request_id", "requested_at"), ["dataset", "version"], STORED_BUCKETS)
+    return stored.lookup("NATION_3", 42)
+
+
 @query(
     f"""SELECT 'src-' || s_suppkey::VARCHAR AS id, {SUPPLIER_URI} AS uri, s_nationkey AS created_at
     FROM supplier WHERE s_acctbal > 0 ORDER BY created_at, id LIMIT 20"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gatewright import schemas
 from gatewright.operators import catalog
 from gatewright.sources import catalog_store, json_entries
+from gatewright.sources.keyed_tables import KeyedTable
 
 T0 = datetime(2026, 9, 1)
 LOG = "dataset string, version int, ts timestamp, seq long, action string, status string"
@@ -139,6 +140,61 @@ def test_list_sources(spark):
     assert catalog.list_sources(df, 0).count() == 3 and catalog.list_sources(df, -1).count() == 3
 
 
+def scanned(frame):
+    """Rows that the scans of a collected frame gave out."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_a_look_up_reads_a_small_share(spark):
+    versions = spark.range(200_000).selectExpr("concat('d', id % 2000) AS dataset", "cast(id div 2000 AS int) + 1 AS version", "id AS n")
+    table = KeyedTable.of(versions, ["dataset", "version"], 8)
+    for key in (("d77", 13), ("d1999", 100), ("d1", 1)):
+        frame = table.lookup(*key)
+        expected = versions.filter((F.col("dataset") == key[0]) & (F.col("version") == key[1])).collect()
+        assert frame.collect() == expected and len(expected) == 1
+        assert scanned(frame) < 0.2 * 200_000
+    assert table.lookup("d77").count() == 100 and table.lookup("none", 1).count() == 0
+    again = KeyedTable.open(spark, "dataset STRING, version INT, n BIGINT", ["dataset", "version"], 8, table.path)
+    again.append(spark.createDataFrame([("d77", 101, 5)], "dataset string, version int, n bigint"))
+    assert again.lookup("d77").count() == 101 and again.lookup("d77", 101).first().n == 5
+
+
+def exchanges_above(plan, path):
+    """Whether the scan of a table stands below an exchange."""
+    lines = plan.split("\n")
+    at = next(k for k, line in enumerate(lines) if "FileScan" in line and path in line)
+    depth, found = lines[at].index("FileScan"), []
+    for line in reversed(lines[:at]):
+        indent = len(line) - len(line.lstrip(" :+-*(0123456789)"))
+        if indent < depth:
+            depth = indent
+            found.append(line.strip(" :+-"))
+    joins = next(k for k, line in enumerate(found) if "Join" in line)
+    return any("Exchange" in line for line in found[:joins])
+
+
+def test_a_stored_catalog_is_not_shuffled(spark):
+    rng = random.Random(5)
+    sources = spark.createDataFrame([(f"s{k}", f"u{k}") for k in range(50)], "id string, uri string")
+    datasets = spark.createDataFrame([(f"d{k}",) for k in range(20)], "name string")
+    new = spark.createDataFrame([(f"u{rng.randrange(90)}", k) for k in range(200)] + [(None, 500)], "uri string, at int")
+    asked = spark.createDataFrame([(f"d{rng.randrange(40)}", k) for k in range(60)] + [("", 99), (None, 98)], "name string, at int")
+    requests = spark.createDataFrame([(k, f"d{k % 30}") for k in range(80)] + [(99, None)], "request_id int, dataset string")
+    cited = spark.createDataFrame([(k, f"s{k * 7 % 60}") for k in range(80)], "request_id int, source_id string")
+    by_uri, by_id, by_name = KeyedTable.of(sources, ["uri"], 3), KeyedTable.of(sources, ["id"], 5), KeyedTable.of(datasets, ["name"], 3)
+    pairs = [
+        (catalog.register_sources(new, sources, ["at"]), catalog.register_sources(new, by_uri.rows(), ["at"], 3), [by_uri]),
+        (catalog.create_datasets(asked, datasets, ["at"]), catalog.create_datasets(asked, by_name.rows(), ["at"], buckets=3), [by_name]),
+        (catalog.validate_version_refs(requests, cited, datasets, sources), catalog.validate_version_refs(requests, cited, by_name.rows(), by_id.rows(), 3, 5), [by_name, by_id]),
+    ]
+    for plain, stored, tables in pairs:
+        plan = stored._sc._jvm.PythonSQLUtils.explainString(stored._jdf.queryExecution(), "simple")
+        assert sorted(map(repr, plain.collect())) == sorted(map(repr, stored.collect()))
+        for table in tables:
+            assert not exchanges_above(plan, table.name)
+
+
 SNAPSHOT = {
     "sources": {"s1": {"id": "s1", "uri": "u1", "size_bytes": 5, "created_at": "2026-09-01T08:00:00.123456789Z"}},
     "datasets": {"d": {"name": "d", "pii": "direct", "retention_days": 90}},
