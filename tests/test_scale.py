@@ -16,6 +16,7 @@ T0 = datetime(2026, 9, 1)
 WITH_ACTIONS = {
     "discover_objects", "read_events_csv", "write_curated", "read_curated", "write_quality_report", "import_catalog_snapshot",
     "save_catalog", "samples_stream", "stream_dedup", "stream_rate_windows", "stream_quality_gate", "stream_alerts",
+    "import_catalog_document", "stream_dedup_untimed", "register_sources_stored", "get_version_stored",
 }
 
 
