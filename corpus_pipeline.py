@@ -8,7 +8,7 @@ returns pieces of sequences, the others documents.
 
 Near-duplicates are linked at a Jaccard similarity of 0.8 of five-word shingles.
 Stages keep null and empty texts (one row of equal texts stays), rows without id
-where they are the only copy, and columns they do not know.
+where they are the only copy, and columns they do not know. An empty table gives no pieces.
 """
 
 from __future__ import annotations
