@@ -14,13 +14,16 @@ agreed path keeps its own best container.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are known by their tags, roles and the names in their classes
-and ids; headings in a header inside the container stay. A line break element
+and ids. A form that holds most of a page's text is a wrapper of it, and a name
+that may as well be a subject's (``share-price``) marks only links; headings in a header inside the container stay. A line break element
 is white space, a block element ends a block.
 
 Defined cases: a null html is an empty page with empty text. Pages without a
 host take no part in the vote and use their own best container. Pages cut off
 anywhere, even in a tag, are read as far as they go. Rows with equal ids vote
-and are extracted one by one.
+and are extracted one by one. Of paths with equal shares the first in the
+alphabet counts, of containers with equal scores the outer one. A long page is
+read in linear time. An empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations

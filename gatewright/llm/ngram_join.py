@@ -29,6 +29,8 @@ from a sketch of shingle counts over all documents, of fixed size.
 Defined cases: a text with fewer words than a shingle is one shingle; null texts
 and texts without words have an empty set and link with nothing. Rows with equal
 ids are documents of their own that share an id; the smallest id names a group.
+Long texts count with all their shingles. An empty table gives no rows; further
+columns are ignored, and kept by :func:`drop_similar`.
 Shingles are 64-bit hashes. Sets are named by 64-bit digests; should two sets
 get one name, a second digest shows it and the join starts over with another key.
 """

@@ -14,6 +14,8 @@ serves most of a text. Decoding is the library's.
 Defined cases: null and empty texts have no ids; white space, the word mark
 itself and characters outside the vocabulary (their UTF-8 bytes become byte
 tokens) are encoded as the library does. Repeated rows and ids are kept as rows.
+Long texts take linear time. An empty table gives no rows; further columns are
+ignored.
 """
 
 from __future__ import annotations

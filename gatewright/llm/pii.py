@@ -15,7 +15,10 @@ words that hold a digit or an at sign, and the neighbours of a bracketed "at" or
 
 Added spans are called ``crf_email`` and so on; one that overlaps a base span is
 left out. A null text is an empty one and has none; rows with equal or null ids
-are judged one by one; a sample without any base span adds nothing.
+are judged one by one; a sample without any base span adds nothing. Texts of any
+length are read whole. Of equally good segmentations the first one found counts. An
+empty table gives no rows; further columns are ignored, and kept by
+:func:`mask_documents`.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ lanes' states (unsigned 64 bit); the words (unsigned 32 bit). File: blocks, foot
 
 Documents are ordered by ``doc_id``, nulls first, equal ids in the order of the
 input. A null text is an empty one and holds only its end id. An empty table
-gives no files. A text may be as long as memory allows for one row.
+gives no files. A text may be as long as memory allows for one row. Further columns
+are ignored.
 """
 
 from __future__ import annotations

@@ -18,6 +18,10 @@ Defined cases: null and empty texts hold no word and score the model's prior.
 Rows with equal ids are scored one by one; several labels of an id count as
 toxic if one does; rows with a null id are scored, never learned from. Without
 labels of both classes every score is 0. Texts of any length are scored whole.
+Of equally likely ways to the same last letters the first one counts, of equally
+likely words the last in the alphabet, of entries with equal statistics the longer. An empty table gives no scores, and a
+model without weights. Further columns, whatever their names, are ignored, and
+kept by :func:`drop_toxic`.
 """
 
 from __future__ import annotations

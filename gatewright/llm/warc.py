@@ -13,7 +13,8 @@ digests are joined, payloads are shuffled once, and a skewed digest is split by
 Defined cases: a null html is an empty payload. A null ``page_id`` loses to any
 other; if all ids of a payload are null, all its records are responses. Rows
 repeated with the smallest ``page_id`` are responses too. Line breaks in a URL
-are percent-encoded, a null URL is left out. An empty table writes no archive.
+are percent-encoded, a null URL is left out. An empty table writes no archive. A
+long payload is one record; further columns are ignored.
 """
 
 from __future__ import annotations
