@@ -63,7 +63,7 @@ class DigestIndex:
                 raise ValueError(f"the index at {path} has {found} buckets, not {buckets}")
         else:
             found = buckets or shuffle_width(spark)
-            spark.createDataFrame([(found,)], "buckets INT").coalesce(1).write.json(shape)
+            spark.range(1).select(F.lit(found).alias("buckets")).coalesce(1).write.json(shape)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({INDEX_SCHEMA}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {found} BUCKETS LOCATION '{path}'"
